@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.shape import flat
-from checks.sqlviews import V_LOG, day, log, threat, with_views
+from checks.sqlviews import V_THREAT, day, log, threat
 from logwarden.operators import detect as op
 from logwarden.plans import views as v
 
@@ -119,6 +119,15 @@ ORACLE = {
         SELECT id, source_ip, threat_type FROM v_threat n WHERE id % 3 <> 0 AND NOT EXISTS (
           SELECT 1 FROM v_threat s WHERE s.id % 3 = 0 AND s.source_ip = n.source_ip AND s.threat_type = n.threat_type
             AND s.ts BETWEEN n.ts - INTERVAL 1 DAY AND n.ts)"""),
+    "threat_dedup_chain": "WITH RECURSIVE " + V_THREAT + """,
+        chain AS (
+          SELECT source_ip, threat_type, min(ts) AS ts FROM v_threat GROUP BY source_ip, threat_type
+          UNION ALL
+          SELECT c.source_ip, c.threat_type, min(t.ts) FROM chain c JOIN v_threat t
+            ON t.source_ip = c.source_ip AND t.threat_type = c.threat_type AND t.ts > c.ts + INTERVAL 2 DAY
+          GROUP BY c.source_ip, c.threat_type, c.ts)
+        SELECT min(id) AS id, source_ip, threat_type FROM chain JOIN v_threat USING (source_ip, threat_type, ts)
+        GROUP BY source_ip, threat_type, ts""",
     "threat_log_link": log(f"""
         , kinds AS (
           SELECT id, source_ip, unnest(list_filter([

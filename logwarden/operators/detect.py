@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -288,14 +287,15 @@ def threat_dedup_15m(threats: DataFrame, store: DataFrame, gap_s: int = rules.TH
     slots = store.groupBy("source_ip", "threat_type", F.floor(sec / gap_s).alias("_slot")).agg(
         F.min(sec).alias("first"), F.max(sec).alias("last")
     )
+    none = F.lit(None).cast("bigint")
     seen = (
         slots.select(
             "source_ip",
             "threat_type",
             F.inline(
                 F.array(
-                    F.struct(F.col("_slot"), F.col("first").alias("own_first"), F.lit(None).cast("bigint").alias("prev_last")),
-                    F.struct(F.col("_slot") + 1, F.lit(None).cast("bigint"), F.col("last")),
+                    F.struct(F.col("_slot"), F.col("first").alias("own_first"), none.alias("prev_last")),
+                    F.struct((F.col("_slot") + 1).alias("_slot"), none.alias("own_first"), F.col("last").alias("prev_last")),
                 )
             ),
         )
@@ -315,29 +315,26 @@ def threat_dedup_15m(threats: DataFrame, store: DataFrame, gap_s: int = rules.TH
 def threat_dedup_chain(threats: DataFrame, gap_s: int = rules.THREAT_DEDUP_S, order: str = "id") -> DataFrame:
     """Within one batch, keep a threat of an (ip, type) and silence those up to ``gap_s`` after it.
 
-    What is kept depends on what was kept before, so each run is followed in order.  A pause longer
-    than the gap starts a new run; runs hold one number per second, not the rows themselves.
+    What is kept depends on what was kept before, so the times of a key are followed in order.  They
+    are reduced to one row per second first and streamed through in sorted batches: no group is ever
+    held as a whole.
     """
     keys = ["source_ip", "threat_type"]
-    sec = epoch("timestamp")
-    seconds = threats.groupBy(*keys, sec.alias("sec")).agg(F.min(order).alias("_first"))
-    w = Window.partitionBy(*keys).orderBy("sec")
-    new_run = F.coalesce((F.col("sec") - F.lag("sec").over(w) > gap_s).cast("bigint"), F.lit(1))
-    runs = seconds.withColumn("_new", new_run).withColumn("_run", F.sum("_new").over(w)).drop("_new")
-
-    def follow(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("sec")
-        times = pdf["sec"].to_numpy()
-        kept, i = [], 0
-        while i < len(times):
-            kept.append(i)
-            i = int(times.searchsorted(times[i] + gap_s, side="right"))
-        return pdf.iloc[kept]
-
-    kept = runs.groupBy(*keys, "_run").applyInPandas(follow, runs.schema)
-    return threats.withColumn("sec", sec).join(
-        kept.select(*keys, "sec", F.col("_first").alias(order)), [*keys, "sec", order], "left_semi"
-    ).drop("sec")
+    seconds = threats.groupBy(*keys, epoch("timestamp").alias("sec")).agg(F.min(order).alias(order))
+
+    def follow(batches):
+        key, last = None, 0
+        for pdf in batches:
+            keep = []
+            for ip, kind, sec in zip(pdf["source_ip"], pdf["threat_type"], pdf["sec"]):
+                kept = key != (ip, kind) or sec - last > gap_s
+                if kept:
+                    key, last = (ip, kind), sec
+                keep.append(kept)
+            yield pdf[keep]
+
+    kept = seconds.repartition(*keys).sortWithinPartitions(*keys, "sec").mapInPandas(follow, seconds.schema)
+    return threats.join(kept.select(*keys, order), [*keys, order], "left_semi")
 
 
 def evidence_types(scan_verdicts=("drop", "DROP")) -> Column:
