@@ -23,6 +23,20 @@ def words(s, d):
     return events, texts
 
 
+MORE_WORDS = {
+    "brute_force": " login attempt", "suspicious_pattern": " sql injection union select", "ddos": " flood traffic",
+    "anomaly": " malware virus payload", "port_scan": "",
+}
+
+
+def rich(s, d):
+    """The threat view with texts in which the classes find enough words."""
+    more = None
+    for kind, text in MORE_WORDS.items():
+        more = F.when(F.col("threat_type") == kind, text) if more is None else more.when(F.col("threat_type") == kind, text)
+    return v.v_threat(s, d).withColumn("description", F.concat("description", more))
+
+
 def suppressions(s, d):
     """One suppression per listed address, one per type and one per text part, some expired or off."""
     rows = v.v_ioc(s, d).select(
@@ -70,11 +84,11 @@ QUERIES = {
         op.classify_threat_text(words(s, d)[0]), "id", "class", "class_confidence", "class_severity", "match_score"),
     "classify_threat_text_documents": lambda s, d: flat(
         op.classify_threat_text(words(s, d)[1]), "id", "class", "class_confidence", "class_severity", "match_score"),
-    "classify_summary": lambda s, d: flat(op.classify_summary(v.v_threat(s, d))),
-    "sequence_detect": lambda s, d: flat(op.sequence_detect(v.v_threat(s, d), hours=48)),
-    "sequence_detect_by_ip": lambda s, d: flat(op.sequence_detect(v.v_threat(s, d), hours=HOURS, by="source_ip")),
-    "predict_next_threat": lambda s, d: flat(op.predict_next_threat(v.v_threat(s, d))),
-    "predict_next_threat_oldest": lambda s, d: flat(op.predict_next_threat(v.v_threat(s, d), last_n=60, order="oldest")),
+    "classify_summary": lambda s, d: flat(op.classify_summary(rich(s, d))),
+    "sequence_detect": lambda s, d: flat(op.sequence_detect(rich(s, d), hours=48)),
+    "sequence_detect_by_ip": lambda s, d: flat(op.sequence_detect(rich(s, d), hours=HOURS, by="source_ip")),
+    "predict_next_threat": lambda s, d: flat(op.predict_next_threat(rich(s, d).where("threat_type <> 'anomaly'"))),
+    "predict_next_threat_oldest": lambda s, d: flat(op.predict_next_threat(rich(s, d).where("threat_type <> 'anomaly'"), last_n=60, order="oldest")),
     "incident_create": lambda s, d: flat(
         op.incident_create(v.v_threat(s, d)), "incident_id", "title", "description", "severity", "status", "priority", "threat_ids",
         "ioc_ids", "created_at AS ts"),
@@ -151,7 +165,10 @@ classed AS (SELECT s.id{extra}, coalesce(class, 'unknown') AS class, coalesce(c,
   coalesce(m, 0) AS match_score FROM {source} s LEFT JOIN best ON best.id = s.id AND rn = 1)"""
 
 
-CLASSED = class_sql("description", "threat_type", "v_threat", ", s.ts, s.source_ip")
+RICH = "v_rich AS (SELECT * REPLACE (description || CASE threat_type " + " ".join(
+    f"WHEN '{k}' THEN '{t}'" for k, t in MORE_WORDS.items()) + " END AS description) FROM v_threat)"
+CLASSED = RICH + ", " + class_sql("description", "threat_type", "v_rich", ", s.ts, s.source_ip")
+PLAIN = class_sql("description", "threat_type", "v_threat", ", s.ts, s.source_ip")
 SEQ = "seqs AS (SELECT * FROM (VALUES " + ", ".join(
     f"({i}, '{name}', {steps!r}, '{severity}')" for i, (name, steps, severity) in enumerate(rules.ATTACK_SEQUENCES)
 ) + ") AS t(o, sequence_type, steps, severity))"
@@ -194,7 +211,7 @@ ORACLE = {
     "pattern_persist_first": threat(f""", {KEYED}
         SELECT pattern_type, min_by(pattern_key, (first, pattern_key)) AS pattern_key, min_by(n, (first, pattern_key)) AS event_count, 'active' AS status
         FROM big WHERE pattern_type <> 'port_scan' GROUP BY pattern_type"""),
-    "classify_threat_text": threat(f", {CLASSED} SELECT id, class, round(class_confidence, 6) AS class_confidence, class_severity, match_score FROM classed"),
+    "classify_threat_text": threat(f", {PLAIN} SELECT id, class, round(class_confidence, 6) AS class_confidence, class_severity, match_score FROM classed"),
     "classify_threat_text_documents": "WITH src AS (SELECT doc_id AS id, text, source FROM documents), " + class_sql("text", "source", "src")
         + " SELECT id, class, round(class_confidence, 6) AS class_confidence, class_severity, match_score FROM classed",
     "classify_summary": threat(f"""{', ' + CLASSED}, c AS (SELECT * FROM classed ORDER BY ts DESC, id DESC LIMIT 100)
@@ -203,8 +220,8 @@ ORACLE = {
         UNION ALL SELECT 'total', 'average_confidence', count(*), round(avg(class_confidence), 3) FROM c"""),
     "sequence_detect": sequences("", 48),
     "sequence_detect_by_ip": sequences("source_ip", HOURS),
-    "predict_next_threat": predict("SELECT * FROM classed ORDER BY ts DESC, id DESC LIMIT 5"),
-    "predict_next_threat_oldest": predict("SELECT * FROM (SELECT * FROM classed ORDER BY ts DESC, id DESC LIMIT 60) ORDER BY ts, id LIMIT 5"),
+    "predict_next_threat": predict("SELECT * FROM classed WHERE class <> 'malware' ORDER BY ts DESC, id DESC LIMIT 5"),
+    "predict_next_threat_oldest": predict("SELECT * FROM (SELECT * FROM classed WHERE class <> 'malware' ORDER BY ts DESC, id DESC LIMIT 60) ORDER BY ts, id LIMIT 5"),
     "incident_create": threat(f"""
         SELECT 'INC-' || strftime(ts, '%Y%m%d') || '-' || upper(substr(md5(CAST(id AS VARCHAR)), 1, 8)) AS incident_id,
           {TITLE} || ' from ' || source_ip AS title, description, CASE WHEN risk_score >= 7 THEN 'high' ELSE 'medium' END AS severity,

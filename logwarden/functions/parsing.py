@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -68,9 +70,39 @@ def event_time(text: Column, as_of: Column) -> Column:
     return F.coalesce(known, as_of)
 
 
+LITERAL = r"(?:\\[^A-Za-z0-9]|[^\\.^$*+?()\[\]{}|])+"
+
+
+def literal_words(pattern: str) -> tuple[list[str], bool] | None:
+    """Words of a pattern that is only a choice of literals, and whether case matters; else None."""
+    whole = re.fullmatch(rf"(\(\?i\))?\(({LITERAL}(?:\|{LITERAL})*)\)", pattern)
+    if whole is None:
+        return None
+    words = [re.sub(r"\\(.)", r"\1", w) for w in re.findall(LITERAL, whole[2])]
+    return words, whole[1] is None
+
+
+def has_tag(raw: Column, low: Column, pattern: str) -> Column:
+    """Whether the pattern occurs; a choice of literals is searched as substrings, several times
+    faster than as a regex."""
+    literal = literal_words(pattern)
+    if literal is None:
+        return raw.rlike(pattern)
+    words, case_matters = literal
+    text = raw if case_matters else low
+    hit = None
+    for word in words:
+        found = text.contains(word if case_matters else word.lower())
+        hit = found if hit is None else hit | found
+    return hit
+
+
 def suspicious_tags(raw: Column, tags=rules.SUSPICIOUS_TAGS) -> Column:
     """Names of the matching tag patterns, in rule order."""
-    return F.array_compact(F.array(*[F.when(raw.rlike(p), name) for name, p in tags]))
+    def found(low: Column) -> Column:
+        return F.array_compact(F.array(*[F.when(has_tag(raw, low, p), name) for name, p in tags]))
+
+    return found(F.lower(raw))
 
 
 def firewall_verdict(raw: Column, verdicts=rules.FIREWALL_VERDICTS) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logwarden import rules
-from logwarden.common import lookup, operator, title_case
+from logwarden.common import evaluate_once, lookup, operator, title_case
 
 
 def _score_text(score: Column) -> Column:
@@ -85,22 +85,35 @@ def explanation_text(threats: DataFrame, templates=None, default: str = rules.EX
     return threats.withColumn("explanation", column.otherwise(_fill(default, values)))
 
 
-def intent_pattern(words: list[str]) -> str:
+def whole_word(word: str) -> bool:
     """Words of up to four characters match as whole words, longer ones and phrases anywhere."""
-    return "|".join(
-        rf"\b{re.escape(w)}\b" if len(w) <= 4 and " " not in w else re.escape(w) for w in words
-    )
+    return len(word) <= 4 and " " not in word
+
+
+def intent_pattern(words: list[str]) -> str:
+    """The same test as one regex."""
+    return "|".join(rf"\b{re.escape(w)}\b" if whole_word(w) else re.escape(w) for w in words)
 
 
 @operator
 def message_intent_tag(messages: DataFrame, text: str = "text", intents=rules.INTENTS) -> DataFrame:
-    """Adds ``intent``: the first rule that matches the message."""
-    low = F.lower(F.trim(text))
+    """Adds ``intent``: the first rule that matches the message.
+
+    Long texts make the regexes dear, so a plain substring search comes before each word test.
+    """
+    low = F.col("_low")
     column = None
     for name, words in intents:
-        hit = low.rlike(intent_pattern(words))
+        hit = F.lit(False)
+        for word in words:
+            found = low.contains(word)
+            hit = hit | (found & low.rlike(rf"\b{re.escape(word)}\b") if whole_word(word) else found)
         column = F.when(hit, name) if column is None else column.when(hit, name)
-    return messages.withColumn("intent", column.otherwise(rules.OTHER_INTENT))
+    return (
+        evaluate_once(messages, _low=F.lower(F.trim(text)))
+        .withColumn("intent", column.otherwise(rules.OTHER_INTENT))
+        .drop("_low")
+    )
 
 
 @operator
