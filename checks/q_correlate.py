@@ -87,7 +87,7 @@ QUERIES = {
     "classify_summary": lambda s, d: flat(op.classify_summary(rich(s, d))),
     "sequence_detect": lambda s, d: flat(op.sequence_detect(rich(s, d), hours=48)),
     "sequence_detect_by_ip": lambda s, d: flat(op.sequence_detect(rich(s, d), hours=HOURS, by="source_ip")),
-    "predict_next_threat": lambda s, d: flat(op.predict_next_threat(rich(s, d).where("threat_type <> 'anomaly'"))),
+    "predict_next_threat": lambda s, d: flat(op.predict_next_threat(rich(s, d).where("threat_type IN ('port_scan', 'brute_force')"))),
     "predict_next_threat_oldest": lambda s, d: flat(op.predict_next_threat(rich(s, d).where("threat_type <> 'anomaly'"), last_n=60, order="oldest")),
     "incident_create": lambda s, d: flat(
         op.incident_create(v.v_threat(s, d)), "incident_id", "title", "description", "severity", "status", "priority", "threat_ids",
@@ -220,7 +220,7 @@ ORACLE = {
         UNION ALL SELECT 'total', 'average_confidence', count(*), round(avg(class_confidence), 3) FROM c"""),
     "sequence_detect": sequences("", 48),
     "sequence_detect_by_ip": sequences("source_ip", HOURS),
-    "predict_next_threat": predict("SELECT * FROM classed WHERE class <> 'malware' ORDER BY ts DESC, id DESC LIMIT 5"),
+    "predict_next_threat": predict("SELECT * FROM classed WHERE class IN ('reconnaissance', 'brute_force') ORDER BY ts DESC, id DESC LIMIT 5"),
     "predict_next_threat_oldest": predict("SELECT * FROM (SELECT * FROM classed WHERE class <> 'malware' ORDER BY ts DESC, id DESC LIMIT 60) ORDER BY ts, id LIMIT 5"),
     "incident_create": threat(f"""
         SELECT 'INC-' || strftime(ts, '%Y%m%d') || '-' || upper(substr(md5(CAST(id AS VARCHAR)), 1, 8)) AS incident_id,

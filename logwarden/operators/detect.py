@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from logwarden import rules
 from logwarden.common import as_of_col, before, epoch, first_per_key, lookup, operator, round_1
 from logwarden.functions import scoring
-from logwarden.operators.parsing import failed_attempt, port_scan_attempt
+from logwarden.operators import iforest
+from logwarden.operators.flows import fit_standardize, flow_standardize
+from logwarden.operators.parsing import ENTRY_FEATURES, entry_features, failed_attempt, port_scan_attempt
 from logwarden.operators.sweep import in_blocks, step
 
 # One details struct for all detectors, so that their outputs can be stored and united.
@@ -269,6 +271,46 @@ def detect_suspicious_pattern(
     )
 
 
+@operator
+def detect_anomalies(
+    logs: DataFrame,
+    last_n: int | None = rules.ANOMALY_LAST_N,
+    min_rows: int = rules.ANOMALY_MIN_ROWS,
+    min_per_ip: int = rules.ANOMALY_MIN_PER_IP,
+    contamination: float = rules.ANOMALY_CONTAMINATION,
+    forest: iforest.IsolationForest | None = None,
+    scale: dict | None = None,
+    seed: int = 42,
+) -> DataFrame:
+    """Addresses with several entries that an isolation forest sets apart.
+
+    Looks at the latest ``last_n`` entries (None: at all).  Fits scaling and forest on them unless
+    both are given; with fewer than ``min_rows`` entries there is no threat.
+    """
+    chosen = logs if last_n is None else logs.orderBy(F.desc("timestamp"), F.desc("id")).limit(last_n)
+    entries = entry_features(chosen).select("id", "source_ip", "timestamp", *ENTRY_FEATURES)
+    scale = scale or fit_standardize(entries, ENTRY_FEATURES)
+    scaled = flow_standardize(entries, scale)
+    forest = forest or iforest.fit(scaled, ENTRY_FEATURES, contamination=contamination, seed=seed, id_column="id")
+    flagged = iforest.predict(scaled, forest).where("is_anomaly")
+    # distance to the cut, negative for anomalies as published
+    margin = F.lit(forest.cut) - F.col("anomaly_score")
+    per_ip = flagged.groupBy("source_ip").agg(
+        F.count("*").alias("n"), F.avg(margin).alias("mean"), F.max("timestamp").alias("timestamp"))
+    recent = (
+        first_per_key(flagged, ["source_ip"], [F.desc("timestamp"), F.desc("id")], 3)
+        .groupBy("source_ip").agg(F.sort_array(F.collect_list("timestamp")).alias("recent"))
+    )
+    enough = chosen.limit(min_rows).agg(F.count("*") >= min_rows).scalar()
+    found = per_ip.where((F.col("n") >= min_per_ip) & enough).join(recent, "source_ip")
+    n, mean = F.col("n"), F.col("mean")
+    return threat_rows(
+        found, "anomaly", scoring.anomaly_score(mean, n),
+        F.format_string("Anomalous behavior detected: %d anomalous events", n),
+        details(anomaly_count=n, average_anomaly_score=mean, recent_anomalies=F.col("recent")),
+    )
+
+
 @operator
 def threat_union(*threats: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), threats)
