@@ -100,11 +100,16 @@ def fit(
 ) -> IsolationForest:
     """Forest on ``rows``; ``id_column`` makes the sample repeatable whatever the partitioning."""
     draw = F.xxhash64(F.col(id_column), F.lit(seed)) if id_column else F.xxhash64(F.rand(seed))
-    # uniform pool large enough to give every tree its own rows; bounded by trees x SAMPLE
+    # uniform pool of twice what all trees need, dealt to the trees by hash; a small table is dealt
+    # several times.  Both are bounded by trees x SAMPLE, whatever the size of the input.
+    size = 2 * trees * SAMPLE
     pool = rows.select(*[F.col(f"`{f}`").cast("double").alias(f"f{i}") for i, f in enumerate(features)], draw.alias("_draw"))
-    pool = pool.orderBy("_draw").limit(trees * SAMPLE)
-    dealt = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn(
-        "_order", F.xxhash64("_draw", "tree")
+    pool = pool.orderBy("_draw").limit(size)
+    available = max(1, rows.limit(size).count())
+    copies = min(trees, math.ceil(size / available))
+    first = F.pmod(F.xxhash64("_draw"), F.lit(trees))
+    dealt = pool.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))).select(
+        "*", ((first + F.col("_copy")) % trees).cast("int").alias("tree"), F.xxhash64("_draw", "_copy").alias("_order")
     )
     samples = first_per_key(dealt, ["tree"], [F.asc("_order"), F.asc("_draw")], SAMPLE)
 
