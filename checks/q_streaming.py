@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.q_detect import FAILED, SCAN
-from checks.q_enrich import geo
+from checks.q_detect import FAILED, SCAN, WEIGHT
 from checks.shape import flat, scratch
-from checks.sqlviews import V_EVENT, V_FLOW, V_IOC, V_THREAT, day, flow, log, round_1, threat, with_views
+from checks.sqlviews import V_EVENT, V_LOG, V_THREAT, day, log, round_1, threat, with_views
 from logwarden.operators import flows as fl
 from logwarden.operators import iforest
 from logwarden.operators.parsing import ENTRY_FEATURES, entry_features
@@ -215,6 +214,16 @@ ORACLE = {
           GROUP BY c.source_ip, c.threat_type, c.ts)
         SELECT min(id) AS id, source_ip, threat_type FROM chain JOIN v_threat USING (source_ip, threat_type, ts)
         GROUP BY source_ip, threat_type, ts""",
+    "stream_suspicious_pattern": "WITH RECURSIVE " + V_LOG + f""",
+        {HITS},
+        tot AS (SELECT source_ip, ts, count(*) OVER w AS n, sum({WEIGHT}) OVER w AS weighted FROM hits
+          WINDOW w AS (PARTITION BY source_ip ORDER BY ts RANGE BETWEEN INTERVAL 3 DAY PRECEDING AND CURRENT ROW)),
+        q AS (SELECT DISTINCT source_ip, ts, n, weighted FROM tot WHERE n >= 3),
+        chain AS (
+          SELECT source_ip, min(ts) AS ts FROM q GROUP BY source_ip
+          UNION ALL
+          SELECT c.source_ip, min(q.ts) FROM chain c JOIN q ON q.source_ip = c.source_ip AND q.ts >= c.ts + INTERVAL 1 DAY GROUP BY c.source_ip, c.ts)
+        SELECT source_ip, {day('ts')} AS ts, n AS total_matches, least(round(weighted, 1), 10e0) AS risk_score FROM chain JOIN q USING (source_ip, ts)""",
     "stream_state_ttl": threat(f"SELECT {day("date_trunc('day', ts)")} AS start, threat_type, count(*) AS n FROM v_threat GROUP BY date_trunc('day', ts), threat_type"),
     "stream_rate_metric": log(f"""
         SELECT {day("date_trunc('minute', ts)")} AS minute, count(*) AS n, round(count(*) / 60e0, 2) AS logs_per_second FROM v_log GROUP BY 1"""),

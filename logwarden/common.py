@@ -125,3 +125,13 @@ def evaluate_once(df: DataFrame, **columns: Column) -> DataFrame:
     names = list(columns)
     kept = [c for c in df.columns if c not in names]
     return df.select(*kept, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out a scan that has fewer splits than the session has cores.
+
+    A few compressed or small files would otherwise leave the parsing that follows to a few tasks.
+    A scan with enough splits, the normal case for large inputs, is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import ipaddress
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logwarden import rules
@@ -32,19 +32,20 @@ def block_range(cidr: str) -> tuple[int, int]:
     return int(net.network_address), int(net.broadcast_address)
 
 
-def is_private_ip(ip: Column, blocks=rules.PRIVATE_BLOCKS, public=rules.PUBLIC_EXCEPTIONS) -> Column:
-    """Valid IPv4 inside a private or reserved block."""
+def in_private_block(number: Column, blocks=rules.PRIVATE_BLOCKS, public=rules.PUBLIC_EXCEPTIONS) -> Column:
+    """Whether an address number lies in a private or reserved block; false for null."""
 
-    def inside(number: Column) -> Column:
-        hit = F.lit(False)
-        for low, high in map(block_range, blocks):
-            hit = hit | number.between(low, high)
-        for low, high in map(block_range, public):
-            hit = hit & ~number.between(low, high)
-        return hit
+    def within(cidrs: list[str]) -> Column:
+        ranges = F.array(*[F.struct(F.lit(low).cast("bigint").alias("low"), F.lit(high).cast("bigint").alias("high"))
+                           for low, high in map(block_range, cidrs)])
+        return F.exists(ranges, lambda r: number.between(r["low"], r["high"]))
 
-    # one-element array: the number is worked out once, not once per block
-    return F.coalesce(F.exists(F.array(ip_num(ip)), inside), F.lit(False))
+    return F.coalesce(within(blocks) & ~within(public), F.lit(False))
+
+
+def with_private_flag(df: DataFrame, ip: str, flag: str = "is_private_ip") -> DataFrame:
+    """Adds ``flag``; the number is a column of its own, so it is worked out once per row."""
+    return df.withColumn("_num", ip_num(F.col(ip))).withColumn(flag, in_private_block(F.col("_num"))).drop("_num")
 
 
 def first_ip(text: Column) -> Column:

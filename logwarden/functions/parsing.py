@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logwarden import rules
@@ -15,36 +15,44 @@ FIELDS = ["ip", "timestamp", "method", "url", "status", "size", "protocol", "por
 
 
 def log_type(raw: Column, formats=rules.LINE_FORMATS) -> Column:
-    """Name of the first format that matches, ``unknown`` with a dotted quad only, else null."""
+    """Name of the first format that matches, ``unknown`` with a dotted quad only, else null.
+
+    The cheap test for a text every match contains spares most lines most regexes.
+    """
     column = None
-    for name, pattern, _ in formats:
-        hit = raw.rlike(pattern)
+    for name, pattern, _, needed in formats:
+        hit = raw.contains(needed) & raw.rlike(pattern)
         column = F.when(hit, name) if column is None else column.when(hit, name)
     return column.when(raw.rlike(rules.DOTTED_QUAD), "unknown")
 
 
 def capture(raw: Column, kind: Column, formats=rules.LINE_FORMATS) -> Column:
-    """All groups of the matching format as one struct.
+    """Captured groups in the order of ``FIELDS``, empty where the format has no such group.
 
     Each line is rewritten to its groups by a single replace and split once, so a line costs one
     more regex run after the type test, however many groups the format has.
     """
     clean = F.translate(raw, SEP, " ")
     column = None
-    for name, pattern, groups in formats:
-        joined = SEP.join(f"${i + 1}" for i in range(len(groups)))
-        parts = F.split(F.regexp_replace(clean, f"(?s)^.*?(?-s:{pattern}).*$", joined), SEP)
+    for name, pattern, groups, _ in formats:
+        layout = SEP.join(f"${groups.index(f) + 1}" if f in groups else "" for f in FIELDS)
+        parts = F.split(F.regexp_replace(clean, f"(?s)^.*?(?-s:{pattern}).*$", layout), SEP)
         column = F.when(kind == name, parts) if column is None else column.when(kind == name, parts)
     return column.otherwise(F.array(first_ip(raw)))
 
 
-def group(parts: Column, kind: Column, field: str, formats=rules.LINE_FORMATS) -> Column:
-    """One field out of the captured groups; null where the format has no such group."""
-    column = F.when(kind == "unknown", F.get(parts, F.lit(0)) if field == "ip" else F.lit(None).cast("string"))
-    for name, _, groups in formats:
-        if field in groups:
-            column = column.when(kind == name, F.get(parts, F.lit(groups.index(field))))
-    return column
+def group(parts: Column, field: str) -> Column:
+    """One captured field, null where the format has none."""
+    return F.nullif(F.get(parts, F.lit(FIELDS.index(field))), F.lit(""))
+
+
+def name_list(*names: Column) -> Column:
+    """Array of the names that are not null, in order.
+
+    Joined and split instead of ``array_compact``, whose lambda would have everything below it
+    evaluated without code generation.
+    """
+    return F.array_remove(F.split(F.concat_ws(SEP, *names), SEP), "")
 
 
 def event_time(text: Column, as_of: Column) -> Column:
@@ -84,25 +92,25 @@ def literal_words(pattern: str) -> tuple[list[str], bool] | None:
 
 def has_tag(raw: Column, low: Column, pattern: str) -> Column:
     """Whether the pattern occurs; a choice of literals is searched as substrings, several times
-    faster than as a regex."""
+    faster than as a regex.
+
+    The words are an array under ``exists`` rather than a chain of ORs: written out, the generated
+    method of the whole parse outgrows what the JVM compiles, and every line pays for it.
+    """
     literal = literal_words(pattern)
     if literal is None:
         return raw.rlike(pattern)
     words, case_matters = literal
     text = raw if case_matters else low
-    hit = None
-    for word in words:
-        found = text.contains(word if case_matters else word.lower())
-        hit = found if hit is None else hit | found
-    return hit
-
+    return F.exists(F.array(*[F.lit(w if case_matters else w.lower()) for w in words]), lambda w: text.contains(w))
 
-def suspicious_tags(raw: Column, tags=rules.SUSPICIOUS_TAGS) -> Column:
-    """Names of the matching tag patterns, in rule order."""
-    def found(low: Column) -> Column:
-        return F.array_compact(F.array(*[F.when(has_tag(raw, low, p), name) for name, p in tags]))
 
-    return found(F.lower(raw))
+def with_tags(df: DataFrame, text: str, tags=rules.SUSPICIOUS_TAGS) -> DataFrame:
+    """Adds suspicious_patterns: the names of the matching tag patterns, in rule order.  The
+    lower-case text is a column of its own, so it is made once per row and not once per word."""
+    raw, low = F.col(text), F.col("_low")
+    names = name_list(*[F.when(has_tag(raw, low, p), name) for name, p in tags])
+    return df.withColumn("_low", F.lower(raw)).withColumn("suspicious_patterns", names).drop("_low")
 
 
 def firewall_verdict(raw: Column, verdicts=rules.FIREWALL_VERDICTS) -> Column:

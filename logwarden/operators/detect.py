@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from logwarden import rules
 from logwarden.common import as_of_col, before, epoch, first_per_key, lookup, operator, round_1
 from logwarden.functions import scoring
+from logwarden.functions.parsing import name_list
 from logwarden.operators import iforest
 from logwarden.operators.flows import fit_standardize, flow_standardize
 from logwarden.operators.parsing import ENTRY_FEATURES, entry_features, failed_attempt, port_scan_attempt
@@ -384,13 +385,8 @@ def evidence_types(scan_verdicts=("drop", "DROP")) -> Column:
     brute = F.col("action").isin("failed", "FAILED") | F.lower("raw_log").contains("failed")
     scan = F.col("destination_port").isNotNull() & (F.col("destination_port") != 0) & F.col("action").isin(*scan_verdicts)
     tagged = F.size("parsed_data.suspicious_patterns") > 0
-    return F.array_compact(
-        F.array(
-            F.when(brute, "brute_force"),
-            F.when(scan, "port_scan"),
-            F.when(tagged, "suspicious_pattern"),
-            F.lit("anomaly"),
-        )
+    return name_list(
+        F.when(brute, "brute_force"), F.when(scan, "port_scan"), F.when(tagged, "suspicious_pattern"), F.lit("anomaly")
     )
 
 

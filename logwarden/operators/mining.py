@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from logwarden import rules
 from logwarden.common import as_of_col, before, operator
+from logwarden.session import checkpoint_dir
 
 # Sets up to this width are mined by listing the subsets of the different transactions, which is one
 # aggregation; wider ones by FP-growth.  Both are exact.
@@ -66,12 +67,16 @@ def rules_min_support_default(transactions: DataFrame, kind: str = "threats") ->
 
 
 def _weighted(transactions: DataFrame) -> DataFrame:
-    """Different item sets with how often each occurs: everything below works on these."""
+    """Different item sets with how often each occurs: everything below works on these.
+
+    They are few, used several times, and their input may be large, so they are checkpointed.
+    """
+    checkpoint_dir(transactions.sparkSession)
     return (
         transactions.select(F.array_sort(F.array_distinct("items")).alias("items"))
-        .where(F.size("items") > 0)
         .groupBy("items")
         .agg(F.count("*").alias("weight"))
+        .checkpoint()
     )
 
 
@@ -91,8 +96,7 @@ def rules_itemsets(transactions: DataFrame, min_support: float | None = None, ki
     are mined by FP-growth instead.
     """
     weighted = _weighted(transactions)
-    total = transactions.agg(F.count("*"))
-    n = total.scalar()
+    n = weighted.agg(F.coalesce(F.sum("weight"), F.lit(0))).scalar()
     least = default_min_support(n, kind) if min_support is None else F.lit(float(min_support))
     single = (
         weighted.select(F.explode("items").alias("item"), "weight")
@@ -152,7 +156,7 @@ def rules_pairwise(
     """Two-item rules from the most common pairs, in both directions; of two directions with equal
     confidence only the first is kept, as published."""
     weighted = _weighted(transactions)
-    n = transactions.agg(F.count("*")).scalar()
+    n = weighted.agg(F.coalesce(F.sum("weight"), F.lit(0))).scalar()
     least = default_min_support(n) if min_support is None else F.lit(float(min_support))
     items = weighted.select(F.explode("items").alias("item"), "weight").groupBy("item").agg(F.sum("weight").alias("c"))
     # item types per transaction are few, and equal transactions are already one row

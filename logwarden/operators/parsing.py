@@ -23,21 +23,17 @@ def parse_log_lines(df: DataFrame, as_of=None, verdict: bool = True) -> DataFram
     kept = df.withColumn("raw_log", strip(raw)).where(raw.rlike(rules.DOTTED_QUAD))
     kind, parts = F.col("log_type"), F.col("_parts")
     split = kept.withColumn("log_type", parsing.log_type(raw)).withColumn("_parts", parsing.capture(raw, kind))
-    action = parsing.group(parts, kind, "action")
+    action = parsing.group(parts, "action")
     once = evaluate_once(
-        split.withColumn("_time", parsing.group(parts, kind, "timestamp")),
+        split.withColumn("_time", parsing.group(parts, "timestamp")),
         log_type=kind,
         _parts=parts,
         timestamp=parsing.event_time(F.col("_time"), now),
         action=verdict_or(action) if verdict else action,
     )
-    fields = {f: parsing.group(parts, kind, f) for f in parsing.FIELDS if f not in ("timestamp", "action")}
-    return (
-        once.withColumns(fields)
-        .withColumn("suspicious_patterns", parsing.suspicious_tags(raw))
-        .withColumn("is_private_ip", net.is_private_ip(F.col("ip")))
-        .drop("_parts", "_time")
-    )
+    fields = {f: parsing.group(parts, f) for f in parsing.FIELDS if f not in ("timestamp", "action")}
+    parsed = once.withColumns(fields).drop("_parts", "_time")
+    return net.with_private_flag(parsing.with_tags(parsed, "raw_log"), "ip")
 
 
 def verdict_or(action: Column) -> Column:
@@ -56,12 +52,12 @@ def parse_timestamps(df: DataFrame, text: str = "time_text", as_of=None) -> Data
 
 @operator
 def tag_suspicious_patterns(df: DataFrame, text: str = "raw_log", tags=rules.SUSPICIOUS_TAGS) -> DataFrame:
-    return df.withColumn("suspicious_patterns", parsing.suspicious_tags(F.col(text), tags))
+    return parsing.with_tags(df, text, tags)
 
 
 @operator
 def classify_private_ip(df: DataFrame, ip: str = "source_ip") -> DataFrame:
-    return df.withColumn("is_private_ip", net.is_private_ip(F.col(ip)))
+    return net.with_private_flag(df, ip)
 
 
 @operator

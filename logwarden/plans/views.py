@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logwarden.common import evaluate_once
+from logwarden.common import evaluate_once, spread
 from logwarden.operators.parsing import normalize_log_entry, parse_log_lines
 
 AS_OF_YEAR = "2024-12-31 23:59:59"
@@ -13,7 +13,7 @@ CLICK_URLS = ["/search?q=UNION SELECT", "/search?q=<script>", "/../../etc/passwd
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def with_ip_and_k(events: DataFrame) -> DataFrame:
