@@ -132,7 +132,8 @@ QUERIES = {
     "src_log_text": lambda s, d: flat(log_source.read_logs(s, lines_written(s, d), pattern="*.txt"), "raw_log AS raw"),
     "src_log_text_line_numbers": lambda s, d: flat(
         log_source.read_logs(s, lines_written(s, d), pattern="*.txt", line_numbers=True).groupBy("file_path")
-        .agg(F.count("*").alias("n"), F.sum("line_number").alias("total"), F.max("line_number").alias("last")), "n", "total", "last"),
+        .agg(F.count("*").alias("n"), F.sum("line_number").alias("total"), F.max("line_number").alias("last"))
+        .agg(F.sum("n").alias("n"), F.bool_and(F.expr("last = n AND total = n * (n + 1) / 2")).alias("consecutive"))),
     "src_flow_csv": lambda s, d: flat(
         flow_csv(s, d), "`Flow Duration` AS duration", "`Total Fwd Packets` AS packets", "`Flow Bytes/s` AS bytes", "`Flow Packets/s` AS rate",
         "Label", "Attack_Type", "is_attack"),
@@ -176,7 +177,7 @@ MULT = "(CASE threat_type WHEN 'brute_force' THEN 1.2e0 WHEN 'suspicious_pattern
 
 ORACLE = {
     "src_log_text": log("SELECT raw FROM v_log"),
-    "src_log_text_line_numbers": "SELECT count(*) AS n, CAST(count(*) * (count(*) + 1) // 2 AS BIGINT) AS total, count(*) AS last FROM events",
+    "src_log_text_line_numbers": "SELECT count(*) AS n, true AS consecutive FROM events",
     "src_flow_csv": """
         SELECT l_extendedprice AS duration, l_quantity AS packets, l_tax AS bytes, l_discount AS rate, CASE WHEN l_returnflag = 'R' THEN 'DDoS' ELSE 'BENIGN' END AS Label,
           CASE WHEN l_returnflag = 'R' THEN 'DDoS Attack' ELSE 'Normal' END AS Attack_Type, CAST(l_returnflag = 'R' AS BIGINT) AS is_attack

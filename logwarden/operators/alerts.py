@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logwarden import rules
@@ -29,28 +29,34 @@ def alert_rules_eval(threats: DataFrame, rule_table: DataFrame) -> DataFrame:
     """How many threats each active rule matches and whether it fires.
 
     ``risk_threshold`` rules ask for a minimum score, ``pattern_match`` rules for a number of threats
-    of one type.  Threats are first counted per (type, score), so rules meet a small histogram
-    instead of the threats.
+    of one type.  Threats are first counted per (type, score).  Score rules then meet them by whole
+    points (0 to 10), so this is an equality join however many rules or different scores there are.
     """
     histogram = threats.groupBy("threat_type", "risk_score").agg(F.count("*").alias("n"), F.max("timestamp").alias("last"))
     conditions = F.from_json("conditions", "min_risk_score double, pattern_type string, min_occurrences bigint")
     active = rule_table.where("is_active").withColumn("_c", conditions)
-    by_score = F.col("rule_type") == "risk_threshold"
-    scores = active.where(by_score).join(histogram, F.col("risk_score") >= F.col("_c.min_risk_score"), "left")
-    types = active.where(F.col("rule_type") == "pattern_match").join(
-        histogram.groupBy("threat_type").agg(F.sum("n").alias("n"), F.max("last").alias("last")),
-        F.col("threat_type") == F.col("_c.pattern_type"), "left",
+
+    def point(score: Column) -> Column:
+        return F.least(F.greatest(F.floor(score), F.lit(0)), F.lit(10)).cast("bigint")
+
+    least = F.col("_c.min_risk_score")
+    score_rules = active.where((F.col("rule_type") == "risk_threshold") & least.isNotNull()).select(
+        "name", least.alias("_least"), F.explode(F.sequence(point(least), F.lit(10).cast("bigint"))).alias("_point")
+    )
+    by_score = histogram.withColumn("_point", point(F.col("risk_score"))).join(score_rules, "_point").where(
+        F.col("risk_score") >= F.col("_least")
+    )
+    type_rules = active.where(F.col("rule_type") == "pattern_match").select("name", F.col("_c.pattern_type").alias("threat_type"))
+    per_type = histogram.groupBy("threat_type").agg(F.sum("n").alias("n"), F.max("last").alias("last"))
+    by_type = per_type.join(type_rules, "threat_type")
+    matched = (
+        by_score.select("name", "n", "last").unionByName(by_type.select("name", "n", "last"))
+        .groupBy("name").agg(F.sum("n").alias("n"), F.max("last").alias("last_match"))
     )
-    columns = ["name", "rule_type", "severity_threshold", "_c", "n", "last"]
-    needed = F.coalesce(F.col("_c.min_occurrences"), F.lit(1))
-    return (
-        scores.select(*columns).unionByName(types.select(*columns))
-        .groupBy("name", "rule_type", "severity_threshold", needed.alias("needed"))
-        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("matches"), F.max("last").alias("last_match"))
-        .select(
-            "name", "rule_type", "severity_threshold", "matches", "last_match",
-            (F.col("matches") >= F.col("needed")).alias("triggered"),
-        )
+    matches = F.coalesce("n", F.lit(0))
+    return active.join(matched, "name", "left").select(
+        "name", "rule_type", "severity_threshold", matches.alias("matches"), "last_match",
+        (matches >= F.coalesce(F.col("_c.min_occurrences"), F.lit(1))).alias("triggered"),
     )
 
 
