@@ -12,8 +12,13 @@ AS_OF_YEAR = "2024-12-31 23:59:59"
 CLICK_URLS = ["/search?q=UNION SELECT", "/search?q=<script>", "/../../etc/passwd", "/run;ls", "/wp-admin", "/about"]
 
 
+# tables whose rows are costly to search, worth dealing out when they come as one small file
+LONG_TEXT = ["documents", "pages", "conversations"]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows) if name in LONG_TEXT else rows
 
 
 def with_ip_and_k(events: DataFrame) -> DataFrame:
@@ -62,7 +67,7 @@ def raw_lines(events: DataFrame) -> DataFrame:
 
 
 def v_log_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_lines(table(spark, sf_dir, "events"))
+    return raw_lines(spread(table(spark, sf_dir, "events")))
 
 
 def logs_from_events(events: DataFrame) -> DataFrame:
@@ -75,7 +80,7 @@ def logs_from_events(events: DataFrame) -> DataFrame:
 
 
 def v_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return logs_from_events(table(spark, sf_dir, "events"))
+    return logs_from_events(spread(table(spark, sf_dir, "events")))
 
 
 def threats_from_events(events: DataFrame) -> DataFrame:
