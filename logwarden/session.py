@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -26,9 +27,15 @@ def session(app: str = "logwarden", master: str | None = None, **conf: str) -> S
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is set."""
+    """The shared folder that ``spark.checkpoint.dir`` names.
+
+    Only a session in one process may do without the setting; it gets a temporary folder.  On a cluster the executors
+    would write to their own disks, so a missing setting is an error there.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="logwarden-")
         spark.conf.set("spark.checkpoint.dir", folder)
     if spark.sparkContext.getCheckpointDir() is None:
