@@ -13,6 +13,20 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Letters and numbers that the installed ``regex`` knows and tiktoken's older Unicode tables do not.
+#: Both sides of a split must take these for unassigned, or the ids differ.
+UNASSIGNED = (
+    "\u0558 \u058b-\u058c \u088f \u0c5c \u0cdc \u208f \u209d-\u209f \ua7ce-\ua7cf \ua7d2 \ua7d4 \ua7dd \ua7e2 \ua7f1 \uab6c-\uab6d "
+    "\U000107bb-\U000107bf \U00010940-\U00010959 \U00010ec5-\U00010ec7 \U00010ed9-\U00010eee \U00011b0a \U00011db0-\U00011ddb "
+    "\U00011de0-\U00011de9 \U00011df1 \U0001246f \U00012475-\U0001247f \U00012550-\U00012686 \U00016ea0-\U00016eb8 "
+    "\U00016ebb-\U00016ed3 \U00016ff2-\U00016ff6 \U000187f8-\U000187ff \U00018cd6-\U00018cda \U00018d09-\U00018d20 "
+    "\U00018d80-\U00018df2 \U00018e00-\U00019191 \U000191a0-\U000191d2 \U0001b123-\U0001b128 \U0001b168 \U0001d6a6 "
+    "\U0001df1f-\U0001df24 \U0001df2b-\U0001df81 \U0001df90-\U0001df96 \U0001dfcd-\U0001dfff \U0001e6c0-\U0001e6de "
+    "\U0001e6e0-\U0001e6e2 \U0001e6e4-\U0001e6e5 \U0001e6e7-\U0001e6ed \U0001e6f0-\U0001e6f4 \U0001e6fe-\U0001e6ff "
+    "\U0002b73a-\U0002b73f \U0002b81e \U0002cea2-\U0002cead \U000323b0-\U00033479 \U0003d000-\U0003fc3f")
+_UNASSIGNED = regex.compile(f"[{UNASSIGNED.replace(' ', '')}]")
+_STAND_IN = "\U0010ffff"
+
 #: Pre-tokens kept with their ids, per Python worker; the store is emptied when full.
 CACHED, CACHED_CHARS = 200_000, 64
 #: Pre-tokens taken at a time, so that a very long text is never held as a list of all its pre-tokens.
@@ -133,9 +147,21 @@ class Encoder:
             self.known[piece] = packed
         return packed
 
+    def pieces(self, text: str) -> Iterator[str]:
+        """The matches of the pattern, one after another."""
+        try:
+            text.encode("latin-1")  # the usual texts, tested fast
+        except UnicodeEncodeError:
+            if _UNASSIGNED.search(text):
+                spans = self.split.finditer(_UNASSIGNED.sub(_STAND_IN, text))
+                return (text[m.start():m.end()] for m in spans)
+        if len(text) > 1 << 20:
+            return (m.group() for m in self.split.finditer(text))
+        return iter(self.split.findall(text))
+
     def encode(self, text: str) -> bytes:
         known, parts = self.known, []
-        pieces = (m.group() for m in self.split.finditer(text)) if len(text) > 1 << 20 else iter(self.split.findall(text))
+        pieces = self.pieces(text)
         while some := list(islice(pieces, SLICE)):
             parts.append(b"".join([known.get(p) or self.ids(p) for p in some]))
         return b"".join(parts)

@@ -157,6 +157,15 @@ def test_bpe_matches_the_library(reference):
         assert decoder.decode(encoder.encode(t)) == t.encode()
 
 
+def test_bpe_splits_every_code_point_like_the_library(reference):
+    ranks, pattern, library = reference
+    encoder = bpe.Encoder(ranks, pattern)
+    for start in range(0, 0x110000, 64):
+        some = [chr(c) for c in range(start, start + 64) if not 0xD800 <= c < 0xE000]
+        text = "".join(f"a{c}a 1{c}1 !{c}! " for c in some)
+        assert np.frombuffer(encoder.encode(text), dtype="<u4").tolist() == library.encode_ordinary(text), hex(start)
+
+
 def test_rank_queue_gives_lowest_rank_leftmost_first():
     queue, rng, inside = bpe.RankQueue(50_000), random.Random(1), []
     for _ in range(5000):
