@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from heapq import heapify, heappop, heappush
+from functools import lru_cache
+from heapq import heappop, heappush
 from itertools import islice
+from struct import pack
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,9 +31,11 @@ _UNASSIGNED = regex.compile(f"[{UNASSIGNED.replace(' ', '')}]")
 _STAND_IN = "\U0010ffff"
 
 #: Pre-tokens kept with their ids, per Python worker; the store is emptied when full.
-CACHED, CACHED_CHARS = 200_000, 64
+CACHED, CACHED_CHARS = 400_000, 64
 #: Pre-tokens taken at a time, so that a very long text is never held as a list of all its pre-tokens.
 SLICE = 50_000
+#: Documents whose ids and bytes are held at a time.
+OUT_ROWS = 256
 
 
 def read_ranks(lines: str) -> dict[bytes, int]:
@@ -39,95 +44,126 @@ def read_ranks(lines: str) -> dict[bytes, int]:
 
 
 class RankQueue:
-    """Positions in buckets by merge rank, and a bitmap of the buckets in use with bitmaps of its words above it.
+    """Positions in buckets by merge rank under a bitmap of the buckets in use, and a bitmap of its words above it.
 
-    ``pop`` finds the lowest rank with one find-first-set for each level, and takes the leftmost position of the
-    bucket (each bucket is a heap).
+    A rank is a word's number and 8 bits inside the word; only words in use are kept.  The lowest rank takes one
+    find-first-set in the upper bitmap and one in the word; a bucket is a heap, so it gives its leftmost position.
     """
 
-    WIDTH = 64
+    BITS = 8
 
-    def __init__(self, ranks: int):
+    def __init__(self):
         self.buckets: dict[int, list[int]] = {}
-        self.levels: list[list[int]] = []
-        words = ranks
-        while words > 1 or not self.levels:
-            words = -(-words // self.WIDTH)
-            self.levels.append([0] * words)
+        self.words: dict[int, int] = {}
+        self.upper = 0
 
     def add(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is None:
-            self.buckets[rank] = [position]
-            for level in self.levels:
-                rank, bit = divmod(rank, self.WIDTH)
-                before = level[rank]
-                level[rank] = before | 1 << bit
-                if before:
-                    break
-        else:
+        if (bucket := self.buckets.get(rank)) is not None:
             heappush(bucket, position)
+        else:
+            self.buckets[rank] = [position]
+            word = rank >> self.BITS
+            self.words[word] = self.words.get(word, 0) | 1 << (rank & (1 << self.BITS) - 1)
+            self.upper |= 1 << word
 
     def pop(self) -> tuple[int, int] | None:
-        word = 0
-        for level in reversed(self.levels):
-            bits = level[word]
-            if not bits:
-                return None
-            word = word * self.WIDTH + (bits & -bits).bit_length() - 1
-        bucket = self.buckets[word]
+        if not self.upper:
+            return None
+        word = (self.upper & -self.upper).bit_length() - 1
+        bits = self.words[word]
+        rank = (word << self.BITS) + (bits & -bits).bit_length() - 1
+        bucket = self.buckets[rank]
         position = heappop(bucket)
         if not bucket:
-            del self.buckets[word]
-            rank = word
-            for level in self.levels:
-                rank, bit = divmod(rank, self.WIDTH)
-                level[rank] &= ~(1 << bit)
-                if level[rank]:
-                    break
-        return word, position
-
-
-def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list[int]:
-    """Ids of one pre-token: again and again the leftmost pair of the lowest rank becomes one token."""
-    if (whole := ranks.get(piece)) is not None:
+            del self.buckets[rank]
+            self.words[word] = bits = bits & (bits - 1)
+            if not bits:
+                self.upper &= self.upper - 1
+        return rank, position
+
+
+def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of one pre-token: again and again the leftmost pair of the lowest rank becomes one token.
+
+    The rank of a pair is the id of the token it becomes.  The queue is that of :class:`RankQueue`, written out here
+    because calls would cost more than the work.
+    """
+    get = ranks.get
+    if (whole := get(piece)) is not None:
         return [whole]
     n = len(piece)
-    # token i is piece[i:end[i]]; its left neighbour starts at left[i]; rank of the pair that starts at i, -1 for none
-    end, left, pair = list(range(1, n + 1)), list(range(-1, n - 1)), [-1] * n
-    waiting: dict[int, list[int]] = {}
-    for i in range(n - 1):
-        if (rank := ranks.get(piece[i:i + 2])) is not None:
-            pair[i] = rank
-            waiting.setdefault(rank, []).append(i)
-    for rank, positions in waiting.items():
-        queue.add(rank, positions[0])
-        queue.buckets[rank].extend(positions[1:])
-        heapify(queue.buckets[rank])
-    while (found := queue.pop()) is not None:
-        rank, i = found
+    # the token that starts at i is token[i] = piece[i:end[i]], the one before it starts at left[i], and the pair that
+    # starts at i has the rank pair[i], -1 for none
+    token = [ranks[piece[i:i + 1]] for i in range(n)]
+    end, left = list(range(1, n + 1)), list(range(-1, n - 1))
+    pair = [get(piece[i:i + 2], -1) for i in range(n - 1)]
+    pair.append(-1)
+    buckets: dict[int, list[int]] = {}
+    words: dict[int, int] = {}
+    upper = alive = 0
+    for i, rank in enumerate(pair):
+        if rank >= 0:
+            alive += 1
+            if rank in buckets:
+                buckets[rank].append(i)  # rising positions: a heap already
+            else:
+                buckets[rank] = [i]
+                word = rank >> 8
+                words[word] = words.get(word, 0) | 1 << (rank & 255)
+                upper |= 1 << word
+    while alive:
+        word = (upper & -upper).bit_length() - 1
+        bits = words[word]
+        rank = (word << 8) + (bits & -bits).bit_length() - 1
+        bucket = buckets[rank]
+        if len(bucket) > 1:
+            i = heappop(bucket)
+        else:
+            i = bucket[0]
+            del buckets[rank]
+            words[word] = bits = bits & (bits - 1)
+            if not bits:
+                upper &= upper - 1
         if pair[i] != rank:
             continue  # stale: one side has been merged since
         middle = end[i]
         end[i] = stop = end[middle]
-        pair[middle] = -1
+        token[i] = rank
+        alive -= 1
+        if pair[middle] >= 0:
+            pair[middle] = -1
+            alive -= 1
         if stop < n:
             left[stop] = i
-            new = ranks.get(piece[i:end[stop]], -1)
+            pair[i] = new = get(piece[i:end[stop]], -1)
+            if new >= 0:
+                alive += 1
+                if new in buckets:
+                    heappush(buckets[new], i)
+                else:
+                    buckets[new] = [i]
+                    word = new >> 8
+                    words[word] = words.get(word, 0) | 1 << (new & 255)
+                    upper |= 1 << word
         else:
-            new = -1
-        pair[i] = new
-        if new >= 0:
-            queue.add(new, i)
-        if (j := left[i]) >= 0:
-            new = ranks.get(piece[j:stop], -1)
-            if new != pair[j]:
-                pair[j] = new
+            pair[i] = -1
+        i = left[i]
+        if i >= 0:
+            old, new = pair[i], get(piece[i:stop], -1)
+            if new != old:
+                pair[i] = new
+                alive += (new >= 0) - (old >= 0)
                 if new >= 0:
-                    queue.add(new, j)
+                    if new in buckets:
+                        heappush(buckets[new], i)
+                    else:
+                        buckets[new] = [i]
+                        word = new >> 8
+                        words[word] = words.get(word, 0) | 1 << (new & 255)
+                        upper |= 1 << word
     out, i = [], 0
     while i < n:
-        out.append(ranks[piece[i:end[i]]])
+        out.append(token[i])
         i = end[i]
     return out
 
@@ -135,12 +171,12 @@ def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list[int]:
 class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.split = ranks, regex.compile(pattern)
-        self.size = max(ranks.values(), default=0) + 1
         self.known: dict[str, bytes] = {}
 
     def ids(self, piece: str) -> bytes:
         """Ids of a pre-token as little-endian 32-bit numbers."""
-        packed = np.array(merge(piece.encode(), self.ranks, RankQueue(self.size)), dtype="<u4").tobytes()
+        found = merge(piece.encode(), self.ranks)
+        packed = pack(f"<{len(found)}I", *found)
         if len(piece) <= CACHED_CHARS:
             if len(self.known) >= CACHED:
                 self.known.clear()
@@ -167,6 +203,12 @@ class Encoder:
         return b"".join(parts)
 
 
+@lru_cache(1)
+def encoder_of(ranks: str, pattern: str) -> Encoder:
+    """One for each Python worker, so that its known pre-tokens serve the next task as well."""
+    return Encoder(read_ranks(ranks), pattern)
+
+
 class Decoder:
     def __init__(self, ranks: dict[bytes, int]):
         self.tokens = [b""] * (max(ranks.values(), default=-1) + 1)
@@ -186,7 +228,7 @@ def encode_column(text: Column, ranks: str, pattern: str) -> Column:
 
     @F.pandas_udf("binary")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = Encoder(read_ranks(ranks), pattern)
+        encoder = encoder_of(ranks, pattern)
         for batch in batches:
             yield pd.Series([encoder.encode(t) if t else b"" for t in batch], dtype=object)
 
@@ -208,9 +250,22 @@ def decode_column(ids: Column, ranks: str) -> Column:
 def tokenize(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, ids (binary, see :func:`encode_column`), n_tokens and decoded (binary).
 
-    Every match of ``pattern`` is merged by itself.  Needs no shuffle: a lost executor costs its own tasks.  Null and
-    empty texts have no tokens; repeated rows are encoded like any other; other columns are not read.
+    Every match of ``pattern`` is merged by itself.  Needs no shuffle: a lost executor costs its own tasks.  Encoding
+    and decoding share one Python pass over small record batches.  Null and empty texts have no tokens; repeated rows
+    are encoded like any other; other columns are not read.
     """
-    encoded = docs.select(F.col(id_col), encode_column(F.col(text_col), ranks, pattern).alias("ids"))
-    return encoded.select(
-        id_col, "ids", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), decode_column(F.col("ids"), ranks).alias("decoded"))
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = encoder_of(ranks, pattern)
+        decoder = Decoder(encoder.ranks)
+        for batch in batches:
+            for start in range(0, batch.num_rows, OUT_ROWS):
+                some = batch.slice(start, OUT_ROWS)
+                ids = [encoder.encode(t) if t else b"" for t in some.column(1).to_pylist()]
+                decoded = pa.array([decoder.decode(x) for x in ids], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [some.column(0), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64()), decoded], ["id", "ids", "n_tokens", "decoded"])
+
+    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    kind = slim.schema["id"].dataType.simpleString()
+    return slim.mapInArrow(both, f"id {kind}, ids binary, n_tokens long, decoded binary").withColumnRenamed("id", id_col)
