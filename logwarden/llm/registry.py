@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["q_tables"]
+MODULES = ["q_tables", "q_jaccard"]
 
 QUERIES, ORACLE = {}, {}
 for _name in MODULES:
