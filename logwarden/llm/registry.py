@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["q_tables", "q_jaccard"]
+MODULES = ["q_tables", "q_jaccard", "q_models", "q_search"]
 
 QUERIES, ORACLE = {}, {}
 for _name in MODULES:
