@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from logwarden.llm.common import stored
 from logwarden.llm.shingles import U, mix
 
-TABLES = 4
+#: Hash tables, and functions of each: more functions make smaller buckets, of which more must be visited (at most 3 to
+#: their power).
+TABLES, FUNCTIONS = 4, 4
 #: Rows looked at to choose the number of probes, and the share of true neighbours these must find among them.
 SAMPLE_ROWS, SAMPLE_QUERIES, TARGET = 2000, 100, 0.95
 #: Rows of a bucket that are scored in one piece; a larger bucket is dealt out to several tasks.
@@ -82,13 +84,12 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
-def choose(rows: np.ndarray, queries: np.ndarray, count: int, k: int, limit: float) -> tuple[Hashes, int]:
-    """Hash functions for ``count`` rows, and the fewest probes that find TARGET of the sample's true neighbours.
+def choose(rows: np.ndarray, queries: np.ndarray, functions: int, k: int, limit: float) -> tuple[Hashes, int]:
+    """Tables of ``functions`` hash functions, and the fewest probes that find TARGET of the sample's true neighbours.
 
-    More rows get more functions; if not even all neighbouring buckets reach the target, fewer.  The full table has
-    nearer neighbours than the sample, so its recall is higher.
+    If not even all neighbouring buckets reach the target, fewer functions.  The full table has nearer neighbours than
+    the sample, so its recall is higher.
     """
-    functions = int(np.clip(round(np.log2(max(count, 2)) / 3), 1, 7))
     scores = queries @ rows.T
     true = np.argsort(-scores, axis=1, kind="stable")[:, :k + 1]
     while True:
@@ -167,7 +168,7 @@ def _score(k: int):
     return run
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", functions: int = FUNCTIONS) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` rows of largest inner product found for every query.
 
     Queries are the rows for which ``is_query`` holds; a query's own row is no candidate.  Each row lies in one bucket of
@@ -201,7 +202,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
     take = lambda df, n, total: [r["x"] for r in df.select("x").where(F.pmod(F.xxhash64("x", F.lit(3)), F.lit(1 << 30)) < int(min(1.0, n / max(total, 1)) * (1 << 30))).limit(2 * n).collect()]
     rows = np.array(take(entries, SAMPLE_ROWS, facts[0])).reshape(-1, sizes["size"])
     queries = np.array(take(wanted, SAMPLE_QUERIES, wanted.count())).reshape(-1, sizes["size"])
-    hashes, probes = choose(rows, queries, facts[0], k, float(np.sqrt(facts[1])))
+    hashes, probes = choose(rows, queries, functions, k, float(np.sqrt(facts[1])))
 
     made = "cell long, id long, x array<double>"
     index = entries.select("id", "x").mapInArrow(_cells_of(hashes, None), made)
