@@ -16,6 +16,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logwarden.llm.common import bounded_batches
+
 #: Letters and numbers that the installed ``regex`` knows and tiktoken's older Unicode tables do not.
 #: Both sides of a split must take these for unassigned, or the ids differ.
 UNASSIGNED = (
@@ -31,7 +33,7 @@ _UNASSIGNED = regex.compile(f"[{UNASSIGNED.replace(' ', '')}]")
 _STAND_IN = "\U0010ffff"
 
 #: Pre-tokens kept with their ids, per Python worker; the store is emptied when full.
-CACHED, CACHED_CHARS = 400_000, 64
+CACHED, CACHED_CHARS = 200_000, 64
 #: Pre-tokens taken at a time, so that a very long text is never held as a list of all its pre-tokens.
 SLICE = 50_000
 #: Documents whose ids and bytes are held at a time.
@@ -265,7 +267,9 @@ def tokenize(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id",
                 decoded = pa.array([decoder.decode(x) for x in ids], pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [some.column(0), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64()), decoded], ["id", "ids", "n_tokens", "decoded"])
+        pa.default_memory_pool().release_unused()
 
+    bounded_batches(docs.sparkSession)
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = slim.schema["id"].dataType.simpleString()
     return slim.mapInArrow(both, f"id {kind}, ids binary, n_tokens long, decoded binary").withColumnRenamed("id", id_col)

@@ -22,6 +22,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession, most: int = 8 << 20) -> None:
+    """Let the session hand texts to Python in record batches of at most ``most`` bytes (Spark's own limit is 64 MiB).
+
+    A batch is held several times over, by the JVM and by Python, in every running task.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    # the setting may carry a unit, such as 64m or 67108864b
+    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name, "64m"))
+    if now > most:
+        spark.conf.set(name, str(most))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logwarden.llm.common import BITMAP_BITS, in_bitmap, key_bitmap, stored
+from logwarden.llm.common import BITMAP_BITS, bounded_batches, in_bitmap, key_bitmap, stored
 from logwarden.llm.components import components
 from logwarden.llm.shingles import U, mix, shingle_sets
 
@@ -163,6 +163,7 @@ def _blocks(num: int, den: int):
 
 class _Join:
     def __init__(self, texts: DataFrame, k: int, num: int, den: int):
+        bounded_batches(texts.sparkSession)
         self.texts, self.k, self.num, self.den = texts, k, num, den
         counts = frequencies(texts, k)
         made = set_table(texts, k, num, den, counts)

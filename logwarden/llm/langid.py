@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logwarden.llm.common import bounded_batches
 from logwarden.llm.linear import fit_linear
 from logwarden.llm.shingles import CHUNK, U
 
@@ -81,6 +82,7 @@ class Model:
 
 def fit_languages(docs: DataFrame, usable: Column, text_col: str = "text", lang_col: str = "lang", families=None, sample: int = SAMPLE) -> Model:
     """Fit on about ``sample`` rows per language of those that are ``usable`` and have a language."""
+    bounded_batches(docs.sparkSession)
     named = {lang: name for name, langs in (families or FAMILIES).items() for lang in langs}
     rows = docs.where(usable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # one row per language
@@ -116,6 +118,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     null text or one without a letter is ``und`` with score 0, and so is every text when nothing could be learned.
     Repeated rows get equal results; other columns are not read.
     """
+    bounded_batches(docs.sparkSession)
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

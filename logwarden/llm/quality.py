@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logwarden.llm.common import WORD
+from logwarden.llm.common import WORD, bounded_batches
 from logwarden.llm.linear import fit_linear
 from logwarden.llm.shingles import CHUNK, U, mix, word_arrays
 
@@ -147,6 +147,7 @@ def _voted(docs: DataFrame) -> DataFrame:
 
 def fit_quality(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> tuple[dict[str, float], Scorer]:
     """(probabilities by vote pattern, scorer).  The patterns are counted over all texts with words."""
+    bounded_batches(docs.sparkSession)
     texts = docs.select(F.col(text_col).alias("text"))
     # at most 3^7 rows
     patterns = [(r["votes"], r["count"]) for r in _voted(texts).where("votes IS NOT NULL").groupBy("votes").count().orderBy("votes").collect()]
