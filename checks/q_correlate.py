@@ -72,7 +72,7 @@ QUERIES = {
     "pattern_union_recent": lambda s, d: flat(
         op.pattern_union_recent(v.v_threat(s, d), hours=HOURS, thresholds=THRESHOLDS), "pattern_type", "source_ips", "event_count", "confidence_score"),
     "pattern_members": lambda s, d: flat(
-        op.pattern_members(v.v_threat(s, d), op.pattern_union_recent(v.v_threat(s, d), hours=HOURS, thresholds=THRESHOLDS), hours=HOURS)),
+        op.pattern_members(v.v_threat(s, d), op.pattern_union_recent(v.v_threat(s, d), hours=HOURS, thresholds=THRESHOLDS), hours=HOURS, max_ddos=50)),
     "pattern_persist_first": lambda s, d: flat(
         op.pattern_persist_first(
             op.pattern_union_recent(v.v_threat(s, d), hours=HOURS, thresholds=THRESHOLDS),
@@ -84,7 +84,7 @@ QUERIES = {
         op.classify_threat_text(words(s, d)[0]), "id", "class", "class_confidence", "class_severity", "match_score"),
     "classify_threat_text_documents": lambda s, d: flat(
         op.classify_threat_text(words(s, d)[1]), "id", "class", "class_confidence", "class_severity", "match_score"),
-    "classify_summary": lambda s, d: flat(op.classify_summary(rich(s, d))),
+    "classify_summary": lambda s, d: flat(op.classify_summary(rich(s, d), last_n=100)),
     "sequence_detect": lambda s, d: flat(op.sequence_detect(rich(s, d), hours=48)),
     "sequence_detect_by_ip": lambda s, d: flat(op.sequence_detect(rich(s, d), hours=HOURS, by="source_ip")),
     "predict_next_threat": lambda s, d: flat(op.predict_next_threat(rich(s, d).where("threat_type IN ('port_scan', 'brute_force')"))),

@@ -71,7 +71,7 @@ QUERIES = {
     "detect_anomalies": lambda s, d: flat(
         detect.detect_anomalies(v.v_log(s, d), last_n=None), "source_ip", "risk_score", "details.anomaly_count"),
     "detect_anomalies_latest": lambda s, d: flat(
-        detect.detect_anomalies(v.v_log(s, d)), "source_ip", "risk_score", "details.anomaly_count"),
+        detect.detect_anomalies(v.v_log(s, d), last_n=rules.ANOMALY_LAST_N), "source_ip", "risk_score", "details.anomaly_count"),
 }
 
 LABEL = "CASE flags WHEN 'AF' THEN 'DoS Hulk' WHEN 'AO' THEN 'PortScan' WHEN 'RF' THEN 'Web Attack – XSS' WHEN 'RO' THEN 'Strange' ELSE 'BENIGN' END"

@@ -44,7 +44,7 @@ QUERIES = {
     "rules_itemsets": lambda s, d: set_rows(op.rules_itemsets(hourly(s, d))),
     "rules_association": lambda s, d: rule_rows(op.rules_association(op.rules_itemsets(hourly(s, d)), min_confidence=0.28, max_rules=40)),
     "rules_association_all": lambda s, d: rule_rows(op.rules_association(op.rules_itemsets(hourly(s, d)), min_confidence=0.0, max_rules=None)),
-    "rules_pairwise": lambda s, d: flat(op.rules_pairwise(hourly(s, d), min_confidence=0.28)),
+    "rules_pairwise": lambda s, d: flat(op.rules_pairwise(hourly(s, d), min_confidence=0.28, max_rules=30)),
     "rules_flow_bins": lambda s, d: flat(
         op.rules_flow_bins(v.v_flow(s, d), FLOW_FEATURES).groupBy(F.array_join("items", "+").alias("items")).agg(F.count("*").alias("n"))),
     "rules_flow_bins_repeated": lambda s, d: flat(

@@ -146,10 +146,11 @@ def pattern_union_recent(threats: DataFrame, as_of=None, hours: int | None = 24,
 
 @operator
 def pattern_members(
-    threats: DataFrame, patterns: DataFrame, as_of=None, hours: int | None = 24, max_ddos: int = 50
+    threats: DataFrame, patterns: DataFrame, as_of=None, hours: int | None = 24, max_ddos: int | None = None
 ) -> DataFrame:
-    """(pattern_type, pattern_key, threat_id) for every threat behind ``patterns``; of a flood minute
-    the first ``max_ddos`` ids, as published."""
+    """(pattern_type, pattern_key, threat_id) for every threat behind ``patterns``.
+
+    ``max_ddos`` keeps the first ids of a flood minute only; the published value is 50."""
     recent = _recent(threats, as_of, hours).select("id", "source_ip", "threat_type", "timestamp")
     kinds = F.array_compact(
         F.array(*[
@@ -162,7 +163,7 @@ def pattern_members(
     floods = recent.where(_type_has(rules.DDOS_WORDS)).select(
         F.col("id").alias("threat_id"), F.lit("ddos").alias("pattern_type"), _minute_key(minute).alias("pattern_key")
     )
-    by_minute = first_per_key(floods, ["pattern_type", "pattern_key"], [F.asc("threat_id")], max_ddos)
+    by_minute = floods if max_ddos is None else first_per_key(floods, ["pattern_type", "pattern_key"], [F.asc("threat_id")], max_ddos)
     keys = ["pattern_type", "pattern_key"]
     return by_ip.unionByName(by_minute).join(patterns.select(*keys), keys, "left_semi").select(*keys, "threat_id")
 
@@ -228,9 +229,9 @@ def _latest(threats: DataFrame, n: int) -> DataFrame:
 
 
 @operator
-def classify_summary(threats: DataFrame, last_n: int | None = 100) -> DataFrame:
+def classify_summary(threats: DataFrame, last_n: int | None = None) -> DataFrame:
     """(section, key, n, value): distribution over classes and severities and the mean confidence of
-    the latest ``last_n`` threats (None: of all)."""
+    the latest ``last_n`` threats (None: of all; the published report takes 100)."""
     chosen = threats if last_n is None else _latest(threats, last_n)
     # counted once per (class, severity, confidence); both distributions and the mean follow from it
     counts = classify_threat_text(chosen).groupBy("class", "class_severity", "class_confidence").agg(F.count("*").alias("n"))

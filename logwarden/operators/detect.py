@@ -275,7 +275,7 @@ def detect_suspicious_pattern(
 @operator
 def detect_anomalies(
     logs: DataFrame,
-    last_n: int | None = rules.ANOMALY_LAST_N,
+    last_n: int | None = None,
     min_rows: int = rules.ANOMALY_MIN_ROWS,
     min_per_ip: int = rules.ANOMALY_MIN_PER_IP,
     contamination: float = rules.ANOMALY_CONTAMINATION,
@@ -285,7 +285,7 @@ def detect_anomalies(
 ) -> DataFrame:
     """Addresses with several entries that an isolation forest sets apart.
 
-    Looks at the latest ``last_n`` entries (None: at all).  Fits scaling and forest on them unless
+    Looks at the latest ``last_n`` entries (None: at all; the published job takes ``rules.ANOMALY_LAST_N``).  Fits scaling and forest on them unless
     both are given; with fewer than ``min_rows`` entries there is no threat.
     """
     chosen = logs if last_n is None else logs.orderBy(F.desc("timestamp"), F.desc("id")).limit(last_n)

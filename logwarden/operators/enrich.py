@@ -255,12 +255,27 @@ def ioc_reputation(ips: DataFrame, ioc: DataFrame, threats: DataFrame, ip: str =
 # --- reputation feeds -----------------------------------------------------------------
 
 
+def _one_per_indicator(feed: DataFrame) -> DataFrame:
+    """One row per indicator of a reputation feed, so that joins with it repeat nothing."""
+    kinds = dict(feed.dtypes)
+    # the most alarming row of each source gives the columns that belong together
+    ratio = F.when(F.col("total") > 0, F.col("positives") / F.col("total")).otherwise(F.when(F.col("total").isNotNull(), -1.0))
+    scanned = F.max(F.struct(ratio.alias("r"), "total", "positives")).alias("_scan")
+    reported = F.max(F.struct("abuse_confidence", "country", "isp", "usage_type")).alias("_abuse")
+    grouped = feed.groupBy("indicator").agg(scanned, reported, F.sum("total_reports").alias("total_reports"))
+    return grouped.select(
+        "indicator", F.col("_scan.positives").alias("positives"), F.col("_scan.total").alias("total"),
+        F.col("_abuse.abuse_confidence").alias("abuse_confidence"), F.col("total_reports").cast(kinds["total_reports"]).alias("total_reports"),
+        F.col("_abuse.country").alias("country"), F.col("_abuse.isp").alias("isp"), F.col("_abuse.usage_type").alias("usage_type"))
+
+
 @operator
 def intel_score(indicators: DataFrame, ioc: DataFrame, feed: DataFrame | None = None, require_match: bool = True) -> DataFrame:
     """Highest score over the sources of each (indicator, indicator_type).
 
     Sources are the local list, the detection ratio and, for addresses, the abuse confidence of
-    ``feed``.  Feed rows carry no match flag, so with ``require_match`` only the list counts.
+    ``feed``.  Feed rows carry no match flag, so with ``require_match`` only the list counts.  Of several feed rows
+    for one indicator the highest ratio and the highest abuse confidence count, and reports are summed.
     """
     local = ioc_exact_match(indicators, ioc)
     domains = ioc_domain_match(indicators.select("indicator", "indicator_type").distinct(), ioc).select(
@@ -276,7 +291,7 @@ def intel_score(indicators: DataFrame, ioc: DataFrame, feed: DataFrame | None =
     if feed is None:
         joined = joined.withColumns({c: F.lit(None) for c in facts})
     else:
-        joined = joined.join(feed.select("indicator", *facts), "indicator", "left")
+        joined = joined.join(_one_per_indicator(feed.select("indicator", *facts)), "indicator", "left")
     is_ip = F.col("indicator_type") == "ip"
     ratio = F.when(F.col("total") > 0, F.col("positives") / F.col("total") * 100)
     abuse = F.when(is_ip, F.col("abuse_confidence"))

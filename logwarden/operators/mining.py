@@ -127,7 +127,7 @@ def rules_itemsets(transactions: DataFrame, min_support: float | None = None, ki
 
 @operator
 def rules_association(
-    itemsets: DataFrame, min_confidence: float = 0.35, max_rules: int | None = 30, order: tuple[str, ...] = ("confidence", "support")
+    itemsets: DataFrame, min_confidence: float = 0.35, max_rules: int | None = None, order: tuple[str, ...] = ("confidence", "support")
 ) -> DataFrame:
     """Every split of each itemset into antecedents and consequents with enough confidence.
 
@@ -151,10 +151,10 @@ def rules_association(
 
 @operator
 def rules_pairwise(
-    transactions: DataFrame, min_support: float | None = None, min_confidence: float = 0.35, max_rules: int = 30, top_pairs: int = 200
+    transactions: DataFrame, min_support: float | None = None, min_confidence: float = 0.35, max_rules: int | None = None
 ) -> DataFrame:
-    """Two-item rules from the most common pairs, in both directions; of two directions with equal
-    confidence only the first is kept, as published."""
+    """Two-item rules from all pairs with enough support, in both directions; of two directions with equal
+    confidence only the first is kept, as published (where 30 rules are shown)."""
     weighted = _weighted(transactions)
     n = weighted.agg(F.coalesce(F.sum("weight"), F.lit(0))).scalar()
     least = default_min_support(n) if min_support is None else F.lit(float(min_support))
@@ -163,21 +163,17 @@ def rules_pairwise(
     rest = weighted.select(F.posexplode("items").alias("i", "a"), "items", "weight")
     pairs = (
         rest.select("a", F.explode(F.slice("items", F.col("i") + 2, F.size("items"))).alias("b"), "weight")
-        .groupBy("a", "b").agg(F.sum("weight").alias("c"))
-        .orderBy(F.desc("c"), "a", "b").limit(top_pairs)
+        .groupBy("a", "b").agg(F.sum("weight").alias("c")).where(F.col("c") / n >= least)
     )
     both = pairs.join(items.select(F.col("item").alias("a"), F.col("c").alias("ca")), "a").join(
         items.select(F.col("item").alias("b"), F.col("c").alias("cb")), "b"
-    ).where(F.col("c") / n >= least)
+    )
     ab, ba = F.col("c") / F.col("ca"), F.col("c") / F.col("cb")
     forward = F.struct(F.col("a").alias("antecedent"), F.col("b").alias("consequent"), ab.alias("confidence"), (ab / (F.col("cb") / n)).alias("lift"))
     back = F.struct(F.col("b").alias("antecedent"), F.col("a").alias("consequent"), ba.alias("confidence"), (ba / (F.col("ca") / n)).alias("lift"))
     rows = both.select((F.col("c") / n).alias("support"), F.inline(F.array_compact(F.array(forward, F.when(ba != ab, back)))))
-    return (
-        rows.where(F.col("confidence") >= min_confidence)
-        .orderBy(F.desc("confidence"), F.desc("support"), "antecedent", "consequent")
-        .limit(max_rules)
-    )
+    ordered = rows.where(F.col("confidence") >= min_confidence).orderBy(F.desc("confidence"), F.desc("support"), "antecedent", "consequent")
+    return ordered if max_rules is None else ordered.limit(max_rules)
 
 
 # --- binned flows ---------------------------------------------------------------------
@@ -272,10 +268,13 @@ def rules_flow_bins(flows: DataFrame, features: list[str], bins=None) -> DataFra
 
 @operator
 def rules_flow(
-    flows: DataFrame, features: list[str], max_features: int = 8, min_support: float | None = None, min_confidence: float = 0.5,
-    max_rules: int | None = 25,
+    flows: DataFrame, features: list[str], max_features: int | None = None, min_support: float | None = None, min_confidence: float = 0.5,
+    max_rules: int | None = None,
 ) -> DataFrame:
-    """Rules between binned features and the outcome, by lift and confidence."""
+    """Rules between binned features and the outcome, by lift and confidence.
+
+    All ``features`` count; the published report takes the first 8 and shows 25 rules.
+    """
     binned = rules_flow_bins(flows, features[:max_features])
     itemsets = rules_itemsets(binned.select("items"), min_support, kind="flows")
     return rules_association(itemsets, min_confidence, max_rules, order=("lift", "confidence"))

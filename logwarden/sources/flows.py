@@ -11,12 +11,13 @@ from logwarden.operators.flows import flow_label_map
 
 
 def read_flows(
-    spark: SparkSession, path: str, features: list[str] | None = None, labels: dict[str, str] | None = None, max_rows: int | None = None
+    spark: SparkSession, path: str, features: list[str] | None = None, labels: dict[str, str] | None = None
 ) -> DataFrame:
     """Flow CSV with trimmed column names: the known features as doubles, Label, Attack_Type and
     is_attack; infinite values count as missing and rows with a missing value are dropped.
 
-    Only the header is looked at to find the columns; values are read as declared, not inferred.
+    Only the header is looked at to find the columns; values are read as declared, not inferred.  All files must
+    have the same header: one with its columns in another order is an error, not misread.
     """
     features = features or rules.FLOW_FEATURES
     header = spark.read.csv(path, header=True, enforceSchema=False).columns
@@ -25,9 +26,7 @@ def read_flows(
     if label is None:
         raise ValueError("no Label column in the flow file")
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    rows = spark.read.csv(path, header=True, schema=schema)
-    if max_rows is not None:
-        rows = rows.limit(max_rows)
+    rows = spark.read.csv(path, header=True, schema=schema, enforceSchema=False)
 
     def number(column: str):
         # "Infinity" and the like are not numbers to try_cast's taste in every spelling
