@@ -32,7 +32,8 @@ UNASSIGNED = (
 _UNASSIGNED = regex.compile(f"[{UNASSIGNED.replace(' ', '')}]")
 _STAND_IN = "\U0010ffff"
 
-#: Pre-tokens kept with their ids, per Python worker; the store is emptied when full.
+#: Pre-tokens kept with their ids, per Python worker, in each of two generations: a full one becomes the old one and the
+#: old one is dropped, so pre-tokens that keep coming back stay known.
 CACHED, CACHED_CHARS = 200_000, 64
 #: Pre-tokens taken at a time, so that a very long text is never held as a list of all its pre-tokens.
 SLICE = 50_000
@@ -174,14 +175,17 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.split = ranks, regex.compile(pattern)
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def ids(self, piece: str) -> bytes:
         """Ids of a pre-token as little-endian 32-bit numbers."""
-        found = merge(piece.encode(), self.ranks)
-        packed = pack(f"<{len(found)}I", *found)
+        packed = self.known.get(piece) or self.old.get(piece)
+        if packed is None:
+            found = merge(piece.encode(), self.ranks)
+            packed = pack(f"<{len(found)}I", *found)
         if len(piece) <= CACHED_CHARS:
             if len(self.known) >= CACHED:
-                self.known.clear()
+                self.old, self.known = self.known, {}
             self.known[piece] = packed
         return packed
 
@@ -198,9 +202,9 @@ class Encoder:
         return iter(self.split.findall(text))
 
     def encode(self, text: str) -> bytes:
-        known, parts = self.known, []
-        pieces = self.pieces(text)
+        parts, pieces = [], self.pieces(text)
         while some := list(islice(pieces, SLICE)):
+            known = self.known
             parts.append(b"".join([known.get(p) or self.ids(p) for p in some]))
         return b"".join(parts)
 

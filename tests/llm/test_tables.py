@@ -189,3 +189,13 @@ def test_bpe_on_documents(spark, reference):
     assert Counter((r.doc_id, bytes(r.ids), bytes(r.decoded)) for r in got) == want
     assert all(r.n_tokens * 4 == len(r.ids) for r in got)
     assert bpe.tokenize(docs_of(spark, []), *q_tables.vocabulary()).count() == 0
+
+
+def test_known_pieces_of_two_generations(monkeypatch):
+    ranks, pattern = q_tables.vocabulary()
+    plain, small = (bpe.Encoder(bpe.read_ranks(ranks), pattern) for _ in range(2))
+    words = [f"w{i % 7}x{i % 11} über{i % 3}" for i in range(300)]
+    wanted = [plain.encode(w) for w in words] + [plain.encode(" ".join(words))]
+    monkeypatch.setattr(bpe, "CACHED", 3)
+    assert [small.encode(w) for w in words] + [small.encode(" ".join(words))] == wanted
+    assert len(small.known) <= 3 and len(small.old) <= 3
