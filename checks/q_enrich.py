@@ -62,7 +62,7 @@ QUERIES = {
     ),
     "ioc_partial_match": lambda s, d: flat(
         op.ioc_partial_match(
-            v.table(s, d, "pages").select("page_id", F.substring(host("url"), 1, 9).alias("indicator")), listed(s, d))),
+            v.table(s, d, "pages").select("page_id", host("url").alias("indicator")), listed(s, d))),
     "ioc_summary": lambda s, d: flat(op.ioc_summary(listed(s, d))),
     "ioc_maintain": lambda s, d: flat(
         op.ioc_maintain(
@@ -80,7 +80,7 @@ QUERIES = {
             .select(F.explode(F.array("u", F.col("u") + 256000)).alias("user_id"))
             .transform(lambda x: v.with_ip_and_k(x.withColumn("props", F.lit("{}")))).select(F.col("ip").alias("source_ip")),
             v.v_ioc(s, d),
-            v.v_threat(s, d).where("id % 20 = 0"),
+            v.v_threat(s, d),
         ),
         "source_ip", "reputation", "confidence", "threat_count", "first_seen",
     ),
@@ -158,7 +158,7 @@ ORACLE = {
         SELECT page_id, url AS indicator, d AS domain FROM pages JOIN (
           SELECT DISTINCT regexp_extract(url, '^\\w+://([^/]+)', 1) AS d FROM pages WHERE page_id % 10 = 0) ON contains(lower(url), lower(d))""", HOSTS),
     "ioc_partial_match": with_views(r"""
-        , asked AS (SELECT page_id, substr(regexp_extract(url, '^\w+://([^/]+)', 1), 1, 9) AS indicator FROM pages),
+        , asked AS (SELECT page_id, regexp_extract(url, '^\w+://([^/]+)', 1) AS indicator FROM pages),
         listed AS (SELECT id, value FROM v_ioc WHERE is_active
           UNION ALL SELECT user_id + 1000000, upper(md5(ip)) FROM (SELECT DISTINCT ip, user_id FROM v_event) WHERE user_id % 5 = 0
           UNION ALL SELECT page_id + 2000000, regexp_extract(url, '^\w+://([^/]+)', 1) FROM pages WHERE page_id % 10 = 0)
@@ -176,7 +176,7 @@ ORACLE = {
         , u AS (SELECT DISTINCT user_id AS u FROM v_event), a AS (SELECT u AS user_id FROM u UNION ALL SELECT u + 256000 FROM u),
         ips AS (SELECT (CASE user_id % 4 WHEN 0 THEN '192.168.' WHEN 1 THEN '10.0.' WHEN 2 THEN '172.16.' ELSE '45.33.' END)
            || (user_id // 256) || '.' || (user_id % 256) AS source_ip FROM a),
-        c AS (SELECT source_ip, count(*) AS n FROM v_threat WHERE id % 20 = 0 GROUP BY source_ip)
+        c AS (SELECT source_ip, count(*) AS n FROM v_threat GROUP BY source_ip)
         SELECT source_ip, CASE WHEN i.value IS NOT NULL THEN 'malicious' WHEN n > 5 THEN 'suspicious' WHEN n > 0 THEN 'low_risk' ELSE 'clean' END AS reputation,
           CASE WHEN i.value IS NOT NULL THEN 'high' WHEN n > 5 THEN 'medium' WHEN n > 0 THEN 'low' ELSE 'high' END AS confidence,
           coalesce(n, 0) AS threat_count, coalesce({day('i.created_at')}, '') AS first_seen

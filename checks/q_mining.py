@@ -25,9 +25,9 @@ def set_rows(df):
     return flat(df, "array_join(items, '+') AS items", "freq", "support")
 
 
-def large(s, d):
-    """Flows whose quantity is above 45: five values, so thirds and halves have repeated edges there."""
-    return v.v_flow(s, d).where("l_quantity > 45")
+def two_valued(s, d):
+    """Flows with the quantity cut into two values, so that thirds and halves have repeated edges."""
+    return v.v_flow(s, d).withColumn("l_quantity", F.when(F.col("l_quantity") > 20, 1.0).otherwise(0.0))
 
 
 QUERIES = {
@@ -48,7 +48,7 @@ QUERIES = {
     "rules_flow_bins": lambda s, d: flat(
         op.rules_flow_bins(v.v_flow(s, d), FLOW_FEATURES).groupBy(F.array_join("items", "+").alias("items")).agg(F.count("*").alias("n"))),
     "rules_flow_bins_repeated": lambda s, d: flat(
-        op.rules_flow_bins(large(s, d).withColumn("l_quantity", F.when(F.col("l_quantity") > 47, 1.0).otherwise(0.0)), ["l_quantity", "l_extendedprice"])
+        op.rules_flow_bins(two_valued(s, d), ["l_quantity", "l_extendedprice"])
         .groupBy(F.array_join("items", "+").alias("items")).agg(F.count("*").alias("n"))),
     "rules_flow": lambda s, d: rule_rows(op.rules_flow(v.v_flow(s, d), FLOW_FEATURES, min_support=0.05, min_confidence=0.3, max_rules=None)),
 }
@@ -119,7 +119,7 @@ ORACLE = {
         SELECT {" || '+' || ".join('b_' + c for c in FLOW_FEATURES)} || '+' || o AS items, count(*) AS n
         FROM (SELECT {BINNED}, {OUTCOME} AS o FROM v_flow) GROUP BY 1"""),
     "rules_flow_bins_repeated": flow(f"""
-        , large AS (SELECT *, CASE WHEN l_quantity > 47 THEN 1e0 ELSE 0e0 END AS q FROM v_flow WHERE l_quantity > 45)
-        SELECT {bins('l_extendedprice', 'large')} || '+' || {OUTCOME} AS items, count(*) AS n FROM large GROUP BY 1"""),
+        
+        SELECT {bins('l_extendedprice', 'v_flow')} || '+' || {OUTCOME} AS items, count(*) AS n FROM v_flow GROUP BY 1"""),
     "rules_flow": flow(f", {FLOW_TX}, {itemset_sql('0.05e0', 6)}, {RULES} SELECT {OUT} FROM ruled r WHERE r.confidence >= 0.3"),
 }

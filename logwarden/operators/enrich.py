@@ -17,15 +17,25 @@ def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def _rarest_grams(patterns: DataFrame) -> DataFrame:
+    """(_pattern, _gram): of each pattern's pieces the one in the fewest patterns; a short pattern is its own piece."""
+    starts = F.sequence(F.lit(1), F.greatest(F.length("_pattern") - GRAM + 1, F.lit(1)))
+    pieces = F.array_distinct(F.transform(starts, lambda i: F.substring(F.col("_pattern"), i, F.lit(GRAM))))
+    exploded = patterns.withColumn("_gram", F.explode(pieces))
+    counts = exploded.groupBy("_gram").agg(F.count("*").alias("_n"))
+    return exploded.join(counts, "_gram").groupBy("_pattern").agg(F.min_by("_gram", F.struct("_n", "_gram")).alias("_gram"))
+
+
 @operator
 def contains_join(
     texts: DataFrame, text: str, patterns: DataFrame, pattern: str, max_broadcast: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Pairs where ``pattern`` (non-empty) occurs in ``text``, ignoring case.
 
-    A short list is sent to every task.  A long one is joined on the first ``GRAM`` characters of the
-    pattern, which must occur among the pieces of the text, and then checked in full; the result
-    is the same.
+    A short list is sent to every task.  A long one is joined on one piece of ``GRAM`` characters of each
+    pattern, which must occur among the pieces of the text, and then checked in full; the result is the
+    same.  The piece is the one that the fewest patterns have, so a common start such as ``www.`` does not
+    bring all patterns together.
     """
     texts = texts.withColumn("_text", F.lower(text))
     patterns = patterns.withColumn("_pattern", F.lower(pattern)).where(F.col("_pattern") != "")
@@ -41,7 +51,7 @@ def contains_join(
         )
     )
     left = texts.where(F.length("_text") > 0).withColumn("_gram", F.explode(pieces))
-    right = patterns.withColumn("_gram", F.substring("_pattern", 1, GRAM))
+    right = patterns.join(_rarest_grams(patterns.select("_pattern").distinct()), "_pattern")
     return left.join(right, (left["_gram"] == right["_gram"]) & found, "inner").drop("_text", "_pattern", "_gram")
 
 
@@ -62,16 +72,16 @@ def _private_place(ip: Column) -> Column:
     return F.when(private, F.get(places, net.private_place_index(ip).cast("int")))
 
 
-def cidr_ranges(ranges: DataFrame, cidr: str = "cidr") -> DataFrame:
-    """Low and high address number and the /16 slots a block covers."""
+def network(number: Column, bits: Column) -> Column:
+    """First address number of the block of ``bits`` leading bits that holds the address ``number``."""
+    return number - F.pmod(number, F.pow(F.lit(2.0), F.lit(32) - bits).cast("bigint"))
+
+
+def cidr_blocks(ranges: DataFrame, cidr: str = "cidr") -> DataFrame:
+    """Prefix length (0 to 32) and first address number of every block."""
     part = F.split(cidr, "/")
-    size = F.pow(F.lit(2.0), F.lit(32) - F.get(part, F.lit(1)).cast("int")).cast("bigint")
-    start = net.ip_num(F.get(part, F.lit(0)))
-    bounded = ranges.withColumns({"_low": start - start % size, "_size": size})
-    last = F.col("_low") + F.col("_size") - 1
-    return bounded.withColumn("_high", last).withColumn(
-        "_slot", F.explode(F.sequence(F.floor(F.col("_low") / 65536), F.floor(F.col("_high") / 65536)))
-    )
+    sized = ranges.withColumn("_bits", F.get(part, F.lit(1)).try_cast("int")).where(F.col("_bits").between(0, 32))
+    return sized.withColumn("_network", network(net.ip_num(F.get(part, F.lit(0))), F.col("_bits")))
 
 
 def place_of_ips(ips: DataFrame, exact: DataFrame | None, ranges: DataFrame | None) -> DataFrame:
@@ -86,13 +96,15 @@ def place_of_ips(ips: DataFrame, exact: DataFrame | None, ranges: DataFrame | No
         choices.append(F.col("_exact"))
     choices.append(F.col("_private"))
     if ranges is not None:
-        blocks = cidr_ranges(ranges).select("_slot", "_low", "_high", "_size", F.struct(*PLACE).alias("_place"))
-        numbered = ips.withColumn("_num", net.ip_num(ip)).withColumn("_slot", F.floor(F.col("_num") / 65536))
+        blocks = cidr_blocks(ranges).select("_bits", "_network", F.struct(*PLACE).alias("_place"))
+        # an address lies in one block of each length, so it meets only blocks that hold it; at most 33 lengths
+        lengths = blocks.agg(F.collect_set("_bits")).scalar()
+        numbered = ips.withColumn("_num", net.ip_num(ip)).withColumn("_bits", F.explode(lengths))
         smallest = (
-            numbered.join(blocks, "_slot")
-            .where(F.col("_num").between(F.col("_low"), F.col("_high")))
+            numbered.withColumn("_network", network(F.col("_num"), F.col("_bits")))
+            .join(blocks, ["_bits", "_network"])
             .groupBy("source_ip")
-            .agg(F.min_by("_place", "_size").alias("_block"))
+            .agg(F.max_by("_place", "_bits").alias("_block"))
         )
         found = found.join(smallest, "source_ip", "left")
         choices.append(F.col("_block"))

@@ -57,7 +57,7 @@ def flow_stratified_split(
         .where((F.col("_upto") >= F.col("_wanted")) & (F.col("_upto") - F.col("n") < F.col("_wanted")))
         .select(label, F.col("_bucket").alias("_cut"), (F.col("_wanted") - F.col("_upto") + F.col("n")).alias("_need"))
     )
-    marked = hashed.join(cut, label)
+    marked = hashed.join(F.broadcast(cut), label)  # one row per class
     at_cut = F.col("_bucket") == F.col("_cut")
     rank = F.row_number().over(Window.partitionBy(label).orderBy("_h", id_column))
     columns = flows.columns
@@ -91,7 +91,7 @@ def class_weights(flows: DataFrame, label: str = "is_attack") -> DataFrame:
     counts = flows.groupBy(label).agg(F.count("*").alias("_n"))
     n, k = counts.agg(F.sum("_n")).scalar(), counts.agg(F.count("*")).scalar()
     weights = counts.select(label, (n / (k * F.col("_n"))).alias("weight"))
-    return flows.join(weights, label)
+    return flows.join(F.broadcast(weights), label)  # one row per class
 
 
 def flow_random_forest(
