@@ -94,10 +94,12 @@ ORACLE = {
     "flow_evaluate": flow(f""", {CELLS}
         SELECT tp, fp, fn, tn, round((tp + tn) * 1e0 / (tp + fp + fn + tn) * 100, 6) AS accuracy, round(tp * 1e0 / (tp + fp) * 100, 6) AS precision,
           round(tp * 1e0 / (tp + fn) * 100, 6) AS recall, round(tp * 2e0 / (tp * 2 + fp + fn) * 100, 6) AS f1 FROM c"""),
-    "flow_class_report": flow(f""", {CELLS}
-        SELECT 'Attack' AS class, round(tp * 1e0 / (tp + fp) * 100, 6) AS precision, round(tp * 1e0 / (tp + fn) * 100, 6) AS recall,
-          round(tp * 2e0 / (tp * 2 + fp + fn) * 100, 6) AS f1, tp + fn AS support FROM c
-        UNION ALL SELECT 'Normal', round(tn * 1e0 / (tn + fn) * 100, 6), round(tn * 1e0 / (tn + fp) * 100, 6), round(tn * 2e0 / (tn * 2 + fp + fn) * 100, 6), tn + fp FROM c"""),
+    "flow_class_report": flow(f""", {CELLS},
+        r AS (SELECT 'Attack' AS class, tp * 1e2 / (tp + fp) AS p, tp * 1e2 / (tp + fn) AS r, tp * 2e2 / (tp * 2 + fp + fn) AS f, tp + fn AS n FROM c
+          UNION ALL SELECT 'Normal', tn * 1e2 / (tn + fn), tn * 1e2 / (tn + fp), tn * 2e2 / (tn * 2 + fp + fn), tn + fp FROM c),
+        a AS (SELECT * FROM r UNION ALL SELECT 'macro avg', avg(p), avg(r), avg(f), sum(n) FROM r
+          UNION ALL SELECT 'weighted avg', sum(p * n) / sum(n), sum(r * n) / sum(n), sum(f * n) / sum(n), sum(n) FROM r)
+        SELECT class, round(p, 6) AS precision, round(r, 6) AS recall, round(f, 6) AS f1, n::BIGINT AS support FROM a"""),
     "flow_combine": flow("""
         , p AS (SELECT l_quantity, l_linenumber, l_quantity / 50e0 AS p, least(10e0, round(l_quantity / 50e0 * 10, 2)) AS risk FROM v_flow)
         SELECT l_quantity, l_linenumber, p > 0.5e0 OR (p > 0.4e0 AND l_linenumber > 4) AS is_attack_predicted, risk,

@@ -149,7 +149,7 @@ def _rates(tp, fp, fn, tn) -> dict[str, Column]:
 
 @operator
 def flow_class_report(predictions: DataFrame, label: str = "is_attack", predicted: str = "prediction") -> DataFrame:
-    """Precision, recall, F1 and rows per class."""
+    """Precision, recall, F1 and rows per class, then their mean over the classes and their mean weighted by rows."""
     cells = flow_evaluate(predictions, label, predicted)
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
 
@@ -159,7 +159,17 @@ def flow_class_report(predictions: DataFrame, label: str = "is_attack", predicte
             _share(hit * 2, hit * 2 + wrong + missed).alias("f1"), (hit + missed).alias("support"),
         )
 
-    return cells.select(F.inline(F.array(line("Normal", tn, fn, fp), line("Attack", tp, fp, fn))))
+    normal, attack = line("Normal", tn, fn, fp), line("Attack", tp, fp, fn)
+    total = normal["support"] + attack["support"]
+
+    def mean(name: str, left: Column, right: Column) -> Column:
+        scores = [F.coalesce((normal[c] * left + attack[c] * right) / F.nullif(left + right, F.lit(0)), F.lit(0.0)).alias(c)
+                  for c in ("precision", "recall", "f1")]
+        return F.struct(F.lit(name).alias("class"), *scores, total.alias("support"))
+
+    one = F.lit(1)
+    return cells.select(F.inline(F.array(
+        normal, attack, mean("macro avg", one, one), mean("weighted avg", normal["support"], attack["support"]))))
 
 
 def flow_feature_importance(spark: SparkSession, model: PipelineModel, features: list[str], k: int = 5) -> DataFrame:
