@@ -21,6 +21,9 @@ COUNTERS = 1 << 18
 TILE_BUCKETS, SET_BUCKETS = 1024, 256
 #: Rows of a tile that are compared with each other at a time.
 BLOCK = 256
+#: How often tiles that still hold several components choose another centre before their pairs are compared in blocks.
+#: More turns only spare work.
+TURNS = 2
 
 
 def frequencies(texts: DataFrame, k: int) -> np.ndarray:
@@ -49,13 +52,13 @@ def bands(num: int, den: int, largest: int = 1 << 40) -> list[int]:
 
 
 def signature(held: np.ndarray) -> bytes:
-    """Parities of the hashes' low bits, about one bit for each member; the length is a power of two.
+    """Parities of the hashes' low bits, four to eight bits for each member; the length is a power of two.
 
     Two signatures differ in at most as many bits as the sets differ in members, also after the longer one is folded
     to the length of the shorter by XOR of its halves.
     """
     bits = 64
-    while bits < len(held):
+    while bits < 4 * len(held):
         bits *= 2
     return np.packbits((np.bincount(((held >> U(8)) & U(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)).tobytes()
 
@@ -161,6 +164,11 @@ def _blocks(num: int, den: int):
     return run_over
 
 
+def _edges(found: DataFrame) -> DataFrame:
+    """Known components as links of each node to the smallest."""
+    return found.where("component < node").select(F.col("component").alias("u"), F.col("node").alias("v"))
+
+
 class _Join:
     def __init__(self, texts: DataFrame, k: int, num: int, den: int):
         bounded_batches(texts.sparkSession)
@@ -252,8 +260,8 @@ class _Join:
         both = pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "su", "sv")
         return stored(both.mapInArrow(exact, "u long, v long"), "jaccard-links")
 
-    def crossing(self, members: DataFrame, found: DataFrame, tested: DataFrame) -> DataFrame:
-        """Pairs of different components in tiles of four nodes or more, compared in blocks by their signatures.
+    def open_tiles(self, members: DataFrame, found: DataFrame) -> DataFrame:
+        """(tile, rid, part, size) of the tiles of four nodes or more that hold several components.
 
         The pairs of smaller tiles all have its first or last node, so they have been tested.
         """
@@ -261,7 +269,21 @@ class _Join:
         rows = members.select("tile", "rid").join(parts, "rid", "left").withColumn("part", F.coalesce("part", "rid"))
         rows = stored(rows, "jaccard-parts")
         mixed = rows.groupBy("tile").agg(F.count("*").alias("size"), F.min("part").alias("a"), F.max("part").alias("b")).where("a < b AND size > 3")
-        open_ = rows.join(stored(mixed.select("tile", "size"), "jaccard-open"), "tile").join(self.nodes.select("rid", "n", "sketch"), "rid")
+        return stored(rows.join(stored(mixed.select("tile", "size"), "jaccard-open"), "tile"), "jaccard-open-rows")
+
+    def new_stars(self, open_: DataFrame, turn: int) -> DataFrame:
+        """Pairs of a node drawn by hash in each open tile with the tile's nodes of other components.
+
+        Every tile draws for itself, so a group that meets in many tiles is tried from many of its nodes.
+        """
+        drawn = F.struct(F.xxhash64("rid", "tile", F.lit(turn)).alias("at"), F.col("rid").alias("centre"), F.col("part").alias("centre_part"))
+        centres = open_.groupBy("tile").agg(F.min(drawn).alias("least")).select("tile", "least.centre", "least.centre_part")
+        pairs = open_.join(centres, "tile").where("part != centre_part")
+        return pairs.select(F.least("centre", "rid").alias("u"), F.greatest("centre", "rid").alias("v")).distinct()
+
+    def crossing(self, open_: DataFrame, tested: DataFrame) -> DataFrame:
+        """Pairs of different components in open tiles, compared in blocks by their signatures."""
+        open_ = open_.join(self.nodes.select("rid", "n", "sketch"), "rid")
         # a tile of many rows is dealt out to pairs of blocks
         blocks = F.ceil(F.col("size") / BLOCK).cast("int")
         own = F.pmod(F.xxhash64("rid"), blocks).cast("int")
@@ -278,12 +300,22 @@ class _Join:
         members = self.members()
         stars = members.select(F.col("lo").alias("u"), F.col("rid").alias("v")).union(members.select(F.col("rid").alias("u"), F.col("hi").alias("v")))
         tested = self.may_link(stars.where("u < v").distinct())
-        links = self.linked(tested)
-        found = stored(components(links), "jaccard-stars")
-        more = self.crossing(members, found, tested)
+        found = stored(components(self.linked(tested)), "jaccard-stars")
+        open_ = self.open_tiles(members, found)
+        for turn in range(TURNS):
+            pairs = self.may_link(self.new_stars(open_, turn).join(tested, ["u", "v"], "left_anti"))
+            if pairs.isEmpty():
+                break
+            tested = tested.union(pairs)
+            links = self.linked(pairs)
+            if links.isEmpty():
+                break
+            found = stored(components(_edges(found).union(links)), "jaccard-stars")
+            open_ = self.open_tiles(members, found)
+        more = self.crossing(open_, tested)
         if more.isEmpty():
             return found
-        return stored(components(links.union(self.linked(more))), "jaccard-components")
+        return stored(components(_edges(found).union(self.linked(more))), "jaccard-components")
 
 
 def jaccard_groups(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (80, 100), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -294,8 +326,9 @@ def jaccard_groups(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (80
     size; no shingle, tile or candidate is left out.
 
     Equal sets become one node.  Nodes meet in tiles (see :func:`set_table`).  Each tile's first and last node are
-    compared with its other nodes; in a group of near copies these stars already connect nearly all of them, and only
-    what still lies in different components of a tile is compared in blocks.  A pair's sizes, then the bits in which
+    compared with its other nodes; in a group of near copies these stars usually connect nearly all of them.  Where
+    they do not, because those two nodes are far from the rest, tiles draw other centres; only what still lies in
+    different components of a tile is compared in blocks.  A pair's sizes, then the bits in which
     its signatures differ, bound the overlap from above; what passes is decided by the exact intersection.  So the
     work does not grow with the square of a group of copies, and every pair in a tile is linked, excluded by the
     bound, compared, or already in one component.
