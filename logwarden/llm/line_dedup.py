@@ -1,4 +1,4 @@
-"""Repeated runs of lines: a suffix array over line ids by distributed prefix doubling."""
+"""Repeated runs: of words by hashes that double in length, of whole lines by distributed prefix doubling over line ids."""
 
 from __future__ import annotations
 
@@ -136,3 +136,140 @@ def _without(texts: DataFrame, gone: DataFrame, numbers: DataFrame, id_col: str)
         F.col("doc_id").alias(id_col), count.alias("n_lines"), F.coalesce("gone", F.array().cast("array<int>")).alias("deleted_lines"),
         F.coalesce("words", F.lit(0)).cast("long").alias("deleted_words"), text.alias("text"))
     return untouched.union(changed)
+
+
+def _joined(a: Column, shift: int, merge) -> Column:
+    """``merge`` of each element with the one ``shift`` places on, as far as there is one."""
+    n = F.greatest(F.size(a) - shift, F.lit(0))
+    return F.zip_with(F.slice(a, F.lit(1), n), F.slice(a, F.lit(shift + 1), n), merge)
+
+
+def _grams(texts: DataFrame, min_words: int) -> DataFrame:
+    """Adds ``grams``, hashes of the ``min_words`` words from each place, and ``runs`` (at, n, m) of these places.
+
+    Hashes of 2^k words are made from two of half the length.  ``m`` is the least hash of the half-length runs within
+    the words from a place: equal runs have equal ``m``, and neighbours mostly share it, so few values stand for many
+    places.  ``repeats`` tells whether a half-length run occurs twice in the text.
+    """
+    trimmed = F.trim(F.col("text"), F.lit(SPACES))
+    words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, f"[{SPACES}]+"))
+    out = texts.withColumn("_h", F.transform(words, lambda x: F.xxhash64(x)))
+    k = min_words.bit_length() - 1
+    half = 2 ** max(k - 1, 0)
+    for i in range(k):
+        if 2 ** i == half:
+            out = out.withColumn("_half", F.col("_h"))
+        out = out.withColumn("_h", _joined(F.col("_h"), 2 ** i, lambda a, b: F.xxhash64(a, b)))
+    if not k:
+        out = out.withColumn("_half", F.col("_h"))
+    out = out.withColumn("grams", _joined(F.col("_h"), min_words - 2 ** k, lambda a, b: F.xxhash64(a, b)))
+    out = out.withColumn("repeats", F.size(F.array_distinct("_half")) < F.size("_half")).withColumn("_m", F.col("_half"))
+    many = min_words - half + 1
+    q = many.bit_length() - 1
+    for i in range(q):
+        out = out.withColumn("_m", _joined(F.col("_m"), 2 ** i, lambda a, b: F.least(a, b)))
+    if many > 2 ** q:
+        out = out.withColumn("_m", _joined(F.col("_m"), many - 2 ** q, lambda a, b: F.least(a, b)))
+    m = F.col("_m")
+    first = F.filter(F.transform(m, lambda x, i: F.when((i == 0) | (x != F.get(m, i - 1)), F.struct(i.alias("at"), x.alias("m")))), lambda r: r.isNotNull())
+    runs = F.transform(F.col("_first"), lambda r, i: F.struct(
+        r["at"].alias("at"), (F.coalesce(F.get("_first", i + 1)["at"], F.size("_m")) - r["at"]).alias("n"), r["m"].alias("m")))
+    return out.withColumn("_first", first).withColumn("runs", runs).drop("_first", "_m", "_h", "_half")
+
+
+def repeated_words(texts: DataFrame, order: DataFrame, min_words: int) -> DataFrame:
+    """(start, first) of the places whose ``min_words`` words occur earlier, and where first; a place is row * 2^32 + word.
+
+    ``texts`` (key, text) holds each text once; ``order`` (key, row) numbers them.
+    """
+    grams = _grams(texts, min_words)
+    marks = grams.select(F.explode_outer(F.array_distinct(F.transform("runs", lambda r: r["m"]))).alias("m"))
+    twice = stored(marks.where("m IS NOT NULL").groupBy("m").agg(F.count("*").alias("n")).where("n > 1").select("m"), "word-marks")
+    bits = stored(key_bitmap(twice, "m", BITMAP_BUCKETS), "word-bits")
+    # only places that may occur again are dealt out
+    pieces = F.transform("runs", lambda r: F.struct(r["at"].alias("at"), r["m"].alias("m"), F.slice("grams", r["at"] + 1, r["n"]).alias("grams")))
+    rows = grams.select("key", "repeats", F.explode_outer(pieces).alias("r")).select("key", "repeats", "r.at", "r.m", "r.grams")
+    maybe = in_bitmap(rows, "m", bits, BITMAP_BUCKETS, "maybe").where("maybe OR repeats").select("key", "at", F.posexplode_outer("grams").alias("i", "gram"))
+    places = maybe.where("gram IS NOT NULL").join(order, "key").select((F.shiftleft("row", 32) + F.col("at") + F.col("i")).alias("start"), "gram")
+    places = stored(places, "word-places")
+    groups = places.groupBy("gram").agg(F.min("start").alias("first"), F.count("*").alias("n")).where("n > 1").select("gram", "first")
+    return places.join(stored(groups, "word-groups"), "gram").where("first < start").select("start", "first")
+
+
+def _spans(later: DataFrame, min_words: int) -> DataFrame:
+    """(row, spans): the words of the runs from ``later``, as (start, stop) in order, apart from each other."""
+    at = later.select(F.shiftright("start", 32).alias("row"), F.col("start").bitwiseAND((1 << 32) - 1).cast("int").alias("at"))
+    sorted_ = at.groupBy("row").agg(F.sort_array(F.collect_list("at")).alias("a"))
+    a = F.col("a")
+    starts = F.filter(a, lambda x, i: (i == 0) | (x - F.get(a, i - 1) > min_words))
+    lasts = F.filter(a, lambda x, i: F.coalesce(F.get(a, i + 1) - x > min_words, F.lit(True)))
+    return sorted_.select("row", F.zip_with(starts, lasts, lambda x, y: F.struct(x.alias("start"), (y + min_words).alias("stop"))).alias("spans"))
+
+
+def dedup_passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: id, n_lines, deleted_lines (those that lost all their words), deleted_words and text without them.
+
+    A run of at least ``min_words`` consecutive words that occurs earlier, in an earlier document or earlier in the same
+    one (documents in the order of id, null first, then of a hash of the text), is deleted, wherever in a line it starts
+    or ends; its first copy stays.  Words are compared, not the white space between them.  A line that loses all its
+    words goes; one that loses some keeps the others; lines without words stay.  Runs do not cross documents and may overlap.
+
+    A null text is an empty one.  Rows that agree in id and text are one document here and get the same result.  Other
+    columns are not read.
+    """
+    texts = docs.select(F.col(id_col).alias("doc_id"), _doc_key(F.col(text_col)).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    order = texts.groupBy("doc_id", "key").agg(F.count("*").alias("_rows")).select("doc_id", "key")
+    order = stored(numbered(order, ["doc_id", "key"], "word-docs"), "word-order")
+    firsts = stored(order.groupBy("key").agg(F.min("row").alias("row"), F.count("*").alias("n")), "word-firsts")
+    # equal texts are looked at once: all but the first go as a whole
+    several = stored(texts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "word-several")
+    bits = stored(key_bitmap(several, "key", BITMAP_BUCKETS), "word-several-bits")
+    flagged = in_bitmap(texts.select("key", "text"), "key", bits, BITMAP_BUCKETS, "maybe")
+    once = flagged.where("NOT maybe").select("key", "text").union(flagged.where("maybe").groupBy("key").agg(F.first("text").alias("text")))
+    spans = _spans(repeated_words(once, firsts.select("key", "row"), min_words), min_words)
+    copies = order.join(firsts.where("n > 1").select("key", F.col("row").alias("_first")), "key").where("row != _first")
+    every = F.array(F.struct(F.lit(0).alias("start"), F.lit(2 ** 31 - 1).alias("stop")))
+    gone = spans.join(order, "row").select("doc_id", "key", "spans").union(copies.select("doc_id", "key", every))
+    return _without_words(texts, stored(gone, "word-gone"), min_words, id_col)
+
+
+def _without_words(texts: DataFrame, gone: DataFrame, min_words: int, id_col: str) -> DataFrame:
+    """Only texts that may lose words are shuffled to the join; a bitmap lets the others pass."""
+    named = gone.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "spans")
+    bits = stored(key_bitmap(named, "_key", BITMAP_BUCKETS), "word-doc-bits")
+    flagged = in_bitmap(texts, "key", bits, BITMAP_BUCKETS, "maybe")
+    none = F.array().cast("array<int>")
+    n_lines = F.size(_lines(F.col("text"))).cast("long").alias("n_lines")
+    same = [F.col("doc_id").alias(id_col), n_lines, none.alias("deleted_lines"), F.lit(0).cast("long").alias("deleted_words"), "text"]
+    some = flagged.where("maybe")
+    joined = some.join(named, some["doc_id"].eqNullSafe(named["_id"]) & (some["key"] == named["_key"]), "left")
+    # \0 will stand for a deleted word; texts that hold it are written with \1 before
+    safe = F.replace(F.replace("text", F.lit("\x01"), F.lit("\x01a")), F.lit("\x00"), F.lit("\x01b"))
+    cut = joined.where("spans IS NOT NULL").select("doc_id", "text", "spans", F.inline(F.array(F.struct(safe.alias("safe")))))
+    cut = cut.select("*", F.inline(F.array(F.struct(F.regexp_extract_all("safe", F.lit(f"[{SPACES}]*{WORD}"), F.lit(0)).alias("words")))))
+    size = F.size("words")
+    # copies of a short text stay
+    spans = F.filter(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), F.least(s["stop"], size).alias("stop"))), lambda s: size >= min_words)
+    cut = cut.select("doc_id", "text", "safe", "words", F.inline(F.array(F.struct(spans.alias("spans")))))
+
+    def part(s, i):
+        before = F.coalesce(F.get("spans", i - 1)["stop"], F.lit(0))
+        lost = F.transform(F.slice("words", s["start"] + 1, s["stop"] - s["start"]), lambda x: F.regexp_replace(x, WORD, "\x00"))
+        return F.concat(F.slice("words", before + 1, s["start"] - before), lost)
+
+    last = F.coalesce(F.get("spans", F.size("spans") - 1)["stop"], F.lit(0))
+    rest = F.slice("words", last + 1, size - last)
+    tail = F.substring("safe", F.length(F.rtrim("safe", F.lit(SPACES))) + 1, F.length("safe"))
+    marked = F.concat(F.array_join(F.concat(F.flatten(F.transform("spans", part)), rest), ""), tail)
+    words_gone = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    cut = cut.select("doc_id", "text", words_gone.alias("words_gone"), F.inline(F.array(F.struct(_lines(marked).alias("_lines")))))
+    empty = lambda x: F.contains(x, F.lit("\x00")) & (F.translate(x, SPACES + "\x00", "") == "")
+    lines_gone = F.filter(F.transform("_lines", lambda x, i: F.when(empty(x), i)), lambda i: i.isNotNull())
+
+    def kept(x):
+        x = F.regexp_replace(F.regexp_replace(x, f"^[{SPACES}\x00]*\x00[{SPACES}]*", ""), f"[{SPACES}]*\x00", "")
+        return F.replace(F.replace(x, F.lit("\x01b"), F.lit("\x00")), F.lit("\x01a"), F.lit("\x01"))
+
+    text = F.array_join(F.transform(F.filter("_lines", lambda x: ~empty(x)), kept), "\n")
+    changed = cut.select(F.col("doc_id").alias(id_col), n_lines, lines_gone.alias("deleted_lines"), F.col("words_gone").alias("deleted_words"), text.alias("text"))
+    return flagged.where("NOT maybe").select(*same).union(joined.where("spans IS NULL").select(*same)).union(changed)

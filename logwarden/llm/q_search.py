@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from logwarden.llm.ann import nearest
 from logwarden.llm.common import table
-from logwarden.llm.line_dedup import dedup_lines
+from logwarden.llm.line_dedup import dedup_passages
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = dedup_lines(table(spark, sf_dir, "documents"), min_words=50)
+    found = dedup_passages(table(spark, sf_dir, "documents"), min_words=50)
     return found.select("doc_id", "n_lines", F.size("deleted_lines").cast("long").alias("n_deleted"), "deleted_lines", "deleted_words", F.sha2("text", 256).alias("kept_sha256"))
 
 

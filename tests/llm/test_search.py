@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from logwarden.llm import q_search
 from logwarden.llm.ann import nearest
-from logwarden.llm.line_dedup import dedup_lines
+from logwarden.llm.line_dedup import dedup_lines, dedup_passages
 from tests.llm.test_tables import docs_of
 
 SPACES = " \t\n\x0b\x0c\r"
@@ -74,6 +74,58 @@ def test_every_row_comes_back(spark):
     assert got == {(None, "a b c\nd e f"): 1, (1, ""): 3, (2, "zz"): 1}
 
 
+def brute_words(rows, min_words):
+    """{id: deleted words}, of texts in the order of ids: each run of min_words words against every earlier one."""
+    seen, out = set(), {}
+    for i, text in sorted(rows):
+        words, gone = text.split(), set()
+        for a in range(len(words) - min_words + 1):
+            run = tuple(words[a:a + min_words])
+            if run in seen:
+                gone |= set(range(a, a + min_words))
+            seen.add(run)
+        out[i] = gone
+    return out
+
+
+@pytest.mark.parametrize(("seed", "min_words"), [(1, 5), (3, 1), (4, 50)])
+def test_passages_against_brute_force(spark, seed, min_words):
+    rng = random.Random(seed)
+    passage = [f"p{i}" for i in range(3 * min_words)]
+    rows = []
+    for i in range(60):
+        words = [f"own{rng.random()}" for _ in range(rng.randrange(3 * min_words))]
+        for _ in range(rng.randrange(3)):
+            a, at = rng.randrange(2 * min_words), rng.randrange(len(words) + 1)
+            words[at:at] = passage[a:a + rng.randrange(min_words, 2 * min_words)]
+        rows.append((i, "".join(rng.choice([" ", " ", " ", "  ", "\n", "\n\n"]) + w for w in words) + rng.choice(["", " ", "\n"])))
+    rows += [(90, rows[3][1]), (91, rows[3][1] + "\x00 \x01\n"), (92, ""), (93, " \n\n"), (94, "w " * 20_000)]
+    want = brute_words(rows, min_words)
+    texts = dict(rows)
+    for r in dedup_passages(docs_of(spark, [(*r, "s") for r in rows]), min_words).collect():
+        gone, text = want[r.doc_id], texts[r.doc_id]
+        words, n, lines, cut = text.split(), 0, [], []
+        assert r.deleted_words == len(gone), r.doc_id
+        assert r.text.split() == [w for k, w in enumerate(words) if k not in gone]
+        for k, line in enumerate(text.split("\n")):
+            own = range(n, n + len(line.split()))
+            n += len(own)
+            if own and gone.issuperset(own):
+                cut.append(k)
+            else:
+                lines.append([words[w] for w in own if w not in gone] if gone.intersection(own) else line)
+        assert (r.n_lines, r.deleted_lines) == (text.count("\n") + 1, cut)
+        assert [x if isinstance(w, str) else x.split() for x, w in zip(r.text.split("\n") if lines else [], lines, strict=True)] == lines
+    assert dedup_passages(docs_of(spark, []), min_words).count() == 0
+
+
+def test_a_passage_inside_a_line_goes(spark):
+    shared = " ".join(f"s{i}" for i in range(60))
+    rows = [(1, f"a b {shared} c d", "s"), (2, f"e f g {shared} h\ni", "s")]
+    got = {r.doc_id: (r.deleted_lines, r.deleted_words, r.text) for r in dedup_passages(docs_of(spark, rows), 50).collect()}
+    assert got == {1: ([], 0, rows[0][1]), 2: ([], 60, "e f g h\ni")}
+
+
 def brute_nearest(rows, k):
     valid = {}
     for i, v in rows:
