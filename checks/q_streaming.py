@@ -59,7 +59,7 @@ def read_back(s, path):
 def forest_and_scale(s, d):
     entries = entry_features(v.v_log(s, d)).select("id", *ENTRY_FEATURES)
     scale = fl.fit_standardize(entries, ENTRY_FEATURES)
-    return iforest.fit(fl.flow_standardize(entries, scale), ENTRY_FEATURES, trees=20, id_column="id"), scale
+    return iforest.fit(fl.flow_standardize(entries, scale), ENTRY_FEATURES, trees=100, id_column="id"), scale
 
 
 def anomaly_stream(s, d):

@@ -95,7 +95,7 @@ def class_weights(flows: DataFrame, label: str = "is_attack") -> DataFrame:
 
 
 def flow_random_forest(
-    flows: DataFrame, features: list[str], label: str = "is_attack", trees: int = 200, depth: int = 10, seed: int = 42
+    flows: DataFrame, features: list[str], label: str = "is_attack", trees: int = 200, depth: int = 30, seed: int = 42
 ) -> PipelineModel:
     """Scaler and balanced random forest as one pipeline."""
     stages = [
