@@ -21,6 +21,11 @@ def three_detectors(s, d):
     )
 
 
+def four_detectors(s, d):
+    """The isolation forest has no SQL, so ``threat_union`` and its SQL keep the other three."""
+    return op.threat_union(three_detectors(s, d), op.detect_anomalies(v.v_log(s, d)))
+
+
 QUERIES = {
     "detect_brute_force": lambda s, d: flat(
         op.detect_brute_force(v.v_log(s, d), window_s=DAY),
@@ -47,6 +52,7 @@ QUERIES = {
         "details.recent_matches",
     ),
     "threat_union": lambda s, d: flat(three_detectors(s, d), "threat_type", "source_ip", "risk_score", "timestamp AS ts"),
+    "threat_union_all": lambda s, d: flat(four_detectors(s, d), "threat_type", "source_ip", "risk_score", "timestamp AS ts"),
     "threat_dedup_15m": lambda s, d: flat(
         op.threat_dedup_15m(
             v.v_threat(s, d).where("id % 3 <> 0"), v.v_threat(s, d).where("id % 3 = 0"), gap_s=DAY),

@@ -38,3 +38,13 @@ def test_entry(spark):
 def test_agrees_with_sql(spark, name):
     ok, text = compare(spark, SF_DIR, name, QUERIES[name], ORACLE[name], duck(SF_DIR))
     assert ok, text
+
+
+@needs_tables
+def test_the_whole_union_holds_every_detector(spark):
+    union = QUERIES["threat_union_all"](spark, SF_DIR).collect()
+    rest = QUERIES["threat_union"](spark, SF_DIR).collect()
+    anomalies = QUERIES["detect_anomalies"](spark, SF_DIR).collect()
+    assert sorted(map(str, (r for r in union if r["threat_type"] != "anomaly"))) == sorted(map(str, rest))
+    found = sorted((r["source_ip"], r["risk_score"]) for r in union if r["threat_type"] == "anomaly")
+    assert found == sorted((r["source_ip"], r["risk_score"]) for r in anomalies) and found
