@@ -56,7 +56,10 @@ QUERIES = {
     ),
     "flag_failed_attempt": lambda s, d: flat(op.flag_failed_attempt(v.v_log(s, d)), "id", "is_failed_attempt"),
     "flag_port_scan_attempt": lambda s, d: flat(op.flag_port_scan_attempt(v.v_log(s, d)), "id", "is_port_scan_attempt"),
-    "firewall_verdict": lambda s, d: flat(v.v_log(s, d).where("parsed_data.log_type = 'firewall'"), "id", "action"),
+    "firewall_verdict": lambda s, d: flat(
+        # the action comes from the operator alone
+        op.firewall_verdict(v.v_log(s, d).select("id", "raw_log", "parsed_data.log_type", F.lit("none").alias("action"))).where("log_type = 'firewall'"),
+        "id", "action"),
     "indicator_type": lambda s, d: flat(
         op.indicator_type(
             v.table(s, d, "pages").select("page_id", F.col("url").alias("indicator"))

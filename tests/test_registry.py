@@ -48,3 +48,12 @@ def test_the_whole_union_holds_every_detector(spark):
     assert sorted(map(str, (r for r in union if r["threat_type"] != "anomaly"))) == sorted(map(str, rest))
     found = sorted((r["source_ip"], r["risk_score"]) for r in union if r["threat_type"] == "anomaly")
     assert found == sorted((r["source_ip"], r["risk_score"]) for r in anomalies) and found
+
+
+@needs_tables
+def test_firewall_verdict_query_calls_its_operator(spark, monkeypatch):
+    from checks import q_parsing
+
+    assert compare(spark, SF_DIR, "firewall_verdict", QUERIES["firewall_verdict"], ORACLE["firewall_verdict"], duck(SF_DIR))[0]
+    monkeypatch.setattr(q_parsing.op, "firewall_verdict", lambda df: df)
+    assert {r["action"] for r in QUERIES["firewall_verdict"](spark, SF_DIR).collect()} == {"none"}
