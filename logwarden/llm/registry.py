@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["q_tables", "q_jaccard", "q_models", "q_search", "q_pieces", "q_phrases"]
+MODULES = ["q_tables", "q_jaccard", "q_models", "q_search", "q_pieces", "q_phrases", "q_vectors"]
 
 QUERIES, ORACLE = {}, {}
 for _name in MODULES:
