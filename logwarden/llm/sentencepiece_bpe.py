@@ -95,6 +95,7 @@ class Model:
                 self.texts.append(bytes([int(piece[1:-1], 16)]))
             else:
                 self.texts.append(self.unknown if kind == UNKNOWN else b"" if kind == CONTROL else piece.replace(SPACE, " ").encode())
+        self.controls = {i for i, kind in enumerate(self.types) if kind == CONTROL}
         self._merges(scores)
 
     def _merges(self, scores: list[float]) -> None:
@@ -247,9 +248,9 @@ class Model:
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: a leading space is taken off, bytes that are no UTF-8 become U+FFFD one by one."""
-        raw = b"".join(map(self.texts.__getitem__, ids))
         try:
-            text = raw.decode()
+            # a control piece parts the bytes before and after it
+            text = b"".join(map(self.texts.__getitem__, ids)).decode() if self.controls.isdisjoint(ids) else self._decode_runs(ids)
         except UnicodeDecodeError:
             text = self._decode_runs(ids)
         first = next((i for i in ids if self.types[i] != CONTROL), None)

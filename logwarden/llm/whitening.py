@@ -25,11 +25,10 @@ RESULT = "{id}, component int, n long, deviation decimal(38,0), whitened double,
 
 def quantized(rows: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """(id, x) of the rows whose vector has entries, all of them finite; x holds whole numbers."""
-    vec = F.col("vec").cast("array<double>")
-    fine = F.forall("vec", lambda c: c.isNotNull() & (F.abs(c) < TOO_LARGE))  # NaN is larger than any number
-    slim = rows.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec")).select("id", vec.alias("vec"))
-    slim = slim.where(F.col("vec").isNotNull() & (F.size("vec") > 0) & fine)
-    return slim.select("id", F.transform("vec", lambda c: F.floor(c * STEP).cast("long") + SHIFT).alias("x"))
+    # NaN is larger than any number; an entry that does not fit is null
+    number = lambda c: F.when(F.abs(c) < TOO_LARGE, F.floor(c * STEP).cast("long") + SHIFT)
+    slim = rows.select(F.col(id_col).alias("id"), F.transform(F.col(vec_col).cast("array<double>"), number).alias("x"))
+    return slim.where(F.col("x").isNotNull() & (F.size("x") > 0) & F.forall("x", lambda c: c.isNotNull()))
 
 
 def _matrix(column: pa.Array, d: int) -> np.ndarray:

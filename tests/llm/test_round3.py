@@ -45,7 +45,7 @@ def test_whitening(spark, weights):
     rows = [(i, v.tolist()) for i, v in enumerate(base)]
     hot = rows[7][1]
     rows += [(1000 + i, hot) for i in range(200)] + [(5, rows[5][1]), (None, rows[6][1])]
-    bad = [(9001, None), (9002, []), (9003, [1.0, None, 0, 0, 0, 0]), (9004, [float("nan")] * 6), (9005, [float("inf"), 0, 0, 0, 0, 0]),
+    bad = [(9001, None), (9002, []), (9003, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (9004, [float("nan")] * 6), (9005, [float("inf")] + [0.0] * 5),
            (9006, [1e30] + [0.0] * 5)]
     odd = [(9100, [1.0, 2.0])]
     got = whiten(vectors_of(spark, rows + bad + odd), components=4, weights=weights).collect()
