@@ -10,6 +10,7 @@ from struct import unpack
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -341,7 +342,7 @@ def encoder_of(data: bytes) -> Encoder:
 
 def groups(texts: pa.Array) -> Iterator[slice]:
     """Rows to be handled together: at most GROUP_ROWS, and no more than GROUP_BYTES bytes besides one text."""
-    sizes = pa.compute.binary_length(texts).fill_null(0).to_pylist()
+    sizes = pc.binary_length(texts).fill_null(0).to_pylist()
     start = held = 0
     for i, size in enumerate(sizes):
         if i > start and (held + size > GROUP_BYTES or i - start >= GROUP_ROWS):
