@@ -7,11 +7,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from logwarden.llm.common import bounded_batches, stored
+from logwarden.llm.common import BITMAP_BITS, bounded_batches, key_bitmap, stored
 
 #: A-Z to lower case, what ends a piece to a line feed, tabs to spaces (fixed characters).
 _TABLE = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz\n\n\n\n\n\n\n\n\n ")
@@ -25,6 +26,12 @@ COMMON_SHARE = 2_000
 #: What follows a common word is dealt out to so many stripes.
 PARTS = 64
 
+#: Pairs of words are counted by a hash of so many bits, dealt out by the upper 12 of them.
+HASH_BITS, DEALT_BITS = 40, 12
+#: Pairs that may be frequent enough are marked in a bitmap of 16 bits each, of at most 4,096 pieces of 4 KiB.  Beyond some
+#: ten million such pairs it lets more of the others through, which costs exchange and changes no result.
+PAIR_BITS, MOST_PIECES = 16, 4_096
+
 CELLS = "lang string, w1 string, part int, w2 array<string>, w3 array<string>, n array<long>"
 
 
@@ -79,18 +86,61 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(strings), pa.string()), strings, pa.array(counts, pa.int64())], ["lang", "word", "n"])
 
 
-def count_stripes(batches: Iterator[pa.RecordBatch], common: set[tuple[str, str]]) -> Iterator[pa.RecordBatch]:
+def _pair_hashes(lang: str, names: list[bytes], codes: np.ndarray) -> np.ndarray:
+    """A hash of each word and the next one."""
+    prefix = lang.encode() + _BREAK
+    hashes = np.array([xxhash.xxh3_64_intdigest(prefix + n) for n in names], dtype=np.uint64)
+    mixed = (hashes[codes[:-1]] * np.uint64(0x9E3779B97F4A7C15)) ^ hashes[codes[1:]]
+    mixed *= np.uint64(0xD6E8FEB86659FD93)
+    return (mixed >> np.uint64(64 - HASH_BITS)).astype(np.int64)
+
+
+def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, low, n) of each slice: how often each hash of two words occurs, dealt out by its upper bits."""
+    for lang, words, starts in _runs(batches, 1):
+        names, codes = _codes(words)
+        real = (codes[:-1] > 0) & (codes[1:] > 0)
+        hashes, counts = np.unique(_pair_hashes(lang, names, codes)[real], return_counts=True)
+        if not len(hashes):
+            continue
+        shift = HASH_BITS - DEALT_BITS
+        part, low = hashes >> shift, hashes & ((1 << shift) - 1)
+        edges = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+        offsets = pa.array(np.append(edges, len(part)), pa.int32())
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(v, pa.int32())) for v in (low, counts)]
+        yield pa.RecordBatch.from_arrays([pa.array(part[edges], pa.int32()), *lists], ["part", "low", "n"])
+
+
+def frequent_pairs(slim: DataFrame, min_count: int) -> np.ndarray:
+    """Bitmap of the hashes of pairs that may occur ``min_count`` times: those that do, and few others."""
+    counted = slim.mapInArrow(count_pairs, "part int, low array<int>, n array<int>").repartition("part")
+    counted = counted.select("part", F.inline(F.arrays_zip("low", "n"))).groupBy("part", "low").agg(F.sum("n").alias("n"))
+    hashes = (F.col("part").cast("long") * (1 << (HASH_BITS - DEALT_BITS)) + F.col("low")).alias("hash")
+    keys = stored(counted.where(F.col("n") >= min_count).select(hashes), "phrase-maybe")
+    pieces = min(MOST_PIECES, keys.count() * PAIR_BITS // BITMAP_BITS + 1)
+    bits = np.zeros(pieces * BITMAP_BITS // 8, dtype=np.uint8)
+    for row in key_bitmap(keys, "hash", pieces).collect():
+        start = row["_bucket"] * BITMAP_BITS // 8
+        bits[start:start + BITMAP_BITS // 8] = np.frombuffer(row["_bits"], dtype=np.uint8)
+    return bits
+
+
+def count_stripes(batches: Iterator[pa.RecordBatch], common: set[tuple[str, str]], maybe: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Stripes of each slice: for a word w1 the pairs (w2, w3) that follow it, with counts.
 
-    Null stands for the end of the piece.  The stripe of a common word is dealt out by w2, and where w2 is common too by
-    w2 and w3, so that neither a word nor a pair of words meets in one place.
+    Null stands for the end of the piece and for words that cannot make a phrase with those before, as the pair is too
+    rare; so the sum over a stripe stays the count of w1.  The stripe of a common word is dealt out by w2, and where w2
+    is common too by w2 and w3, so that neither a word nor a pair of words meets in one place.
     """
     for lang, words, starts in _runs(batches, 2):
         names, codes = _codes(words)
         first = np.flatnonzero(codes[:starts] > 0)
         codes = np.concatenate((codes, [0, 0]))
-        one, two = codes[first], codes[first + 1]
-        three = np.where(two > 0, codes[first + 2], 0)
+        bit = _pair_hashes(lang, names, codes) % (len(maybe) * 8)
+        alive = (maybe[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 > 0
+        one = codes[first]
+        two = np.where(alive[first], codes[first + 1], 0)
+        three = np.where((two > 0) & alive[np.minimum(first + 1, len(alive) - 1)], codes[first + 2], 0)
         # fewer than 2 ** 21 different words in a slice: three numbers fit into one
         cells, counts = np.unique((one << 42) | (two << 21) | three, return_counts=True)
         mask = (1 << 21) - 1
@@ -131,7 +181,8 @@ def merged_stripes(docs: DataFrame, min_count: int, lang_col: str, text_col: str
     rows = counts.where(F.col("n") >= share).collect()
     known = {(r.lang, r.word) for r in rows}
     common = docs.sparkSession.createDataFrame(rows, "lang string, word string, n long")
-    stripes = slim.mapInArrow(lambda batches: count_stripes(batches, known), CELLS)
+    maybe = frequent_pairs(slim, min_count)
+    stripes = slim.mapInArrow(lambda batches: count_stripes(batches, known, maybe), CELLS)
     # equal stripes are merged cell by cell, where they meet
     cells = stripes.repartition("lang", "w1", "part").select("lang", "w1", "part", F.inline(F.arrays_zip("w2", "w3", "n")))
     cells = cells.groupBy("lang", "w1", "part", "w2", "w3").agg(F.sum("n").alias("n"))
