@@ -12,7 +12,7 @@ from logwarden.operators import flows as op
 from logwarden.plans import views as v
 
 FEATURES = v.FLOW_FEATURES
-TREES, DEPTH = 200, 30  # the reference sets no depth; Spark stops at 30
+TREES, DEPTH = 200, None  # the reference sets no depth
 
 
 def split(s, d):
@@ -32,17 +32,37 @@ def guessed(s, d):
     return v.v_flow(s, d).withColumn("prediction", (F.col("l_quantity") > 30).cast("double"))
 
 
+def planted(s, d):
+    """Flows whose label follows from the features, up to a narrow seam, so that a forest can learn it."""
+    rule = "l_quantity > 40 AND l_discount < 0.035 OR l_linenumber > 5 AND l_tax > 0.055"
+    return split(s, d).withColumn("is_attack", F.expr(rule).cast("int"))
+
+
+def planted_recall(s, d):
+    rows = planted(s, d)
+    model = op.flow_random_forest(rows.where("NOT is_test"), FEATURES, trees=TREES, depth=DEPTH)
+    return op.flow_evaluate(model.transform(rows.where("is_test")))
+
+
 def stored_model(s, d):
     path = scratch(s, "model")
     model, trees = forest(s, d), op.flow_iforest_fit(train(s, d), FEATURES)
-    op.flow_model_save(s, path, model, trees, FEATURES)
-    loaded, loaded_trees, features = op.flow_model_load(s, path)
+    op.flow_model_save(s, path, model, trees, op.fit_standardize(train(s, d), FEATURES))
+    loaded, loaded_trees, _ = op.flow_model_load(s, path)
     rows = v.v_flow(s, d)
-    before = op.flow_predict(rows, model, FEATURES, trees).groupBy("confidence").agg(F.count("*").alias("n"), F.round(F.sum("risk"), 2).alias("risk"))
-    after = op.flow_predict(rows, loaded, features, loaded_trees).groupBy("confidence").agg(F.count("*").alias("m"), F.round(F.sum("risk"), 2).alias("again"))
+    before = op.flow_predict(rows, model, trees).groupBy("confidence").agg(F.count("*").alias("n"), F.round(F.sum("risk"), 2).alias("risk"))
+    after = op.flow_predict(rows, loaded, loaded_trees).groupBy("confidence").agg(F.count("*").alias("m"), F.round(F.sum("risk"), 2).alias("again"))
     return flat(before.join(after, "confidence"), "confidence", "n", "n = m AND risk = again AS same")
 
 
+def predict_properties(s, d):
+    """Every flow is judged; the parts of each verdict agree with one another."""
+    rows = op.flow_predict(v.v_flow(s, d), forest(s, d), op.flow_iforest_fit(train(s, d), FEATURES))
+    agree = "is_attack_predicted = (p > 0.5 OR p > 0.4 AND is_anomaly) AND abs(risk - least(10, p * 10)) < 0.00501"
+    level = "confidence = CASE WHEN risk >= 7 THEN 'HIGH' WHEN risk >= 4 THEN 'MEDIUM' ELSE 'LOW' END"
+    return rows.agg(F.count("*").alias("n"), F.expr("bool_and(p BETWEEN 0 AND 1)").alias("in_range"), F.expr(f"bool_and({agree} AND {level})").alias("agree"))
+
+
 QUERIES = {
     "flow_label_map": lambda s, d: flat(
         op.flow_label_map(v.v_flow_label(s, d)).groupBy("Label", "Attack_Type", "is_attack").agg(F.count("*").alias("n"))),
@@ -60,9 +80,16 @@ QUERIES = {
         op.flow_iforest_score(v.v_flow(s, d), op.flow_iforest_fit(train(s, d), FEATURES)), "flow_id", "anomaly_score", "is_anomaly"),
     "flow_evaluate": lambda s, d: flat(op.flow_evaluate(guessed(s, d))),
     "flow_class_report": lambda s, d: flat(op.flow_class_report(guessed(s, d))),
-    "flow_feature_importance": lambda s, d: flat(op.flow_feature_importance(s, forest(s, d), FEATURES)),
+    "flow_feature_importance": lambda s, d: flat(op.flow_feature_importance(s, forest(s, d))),
+    "flow_feature_importance_sum": lambda s, d: flat(
+        op.flow_feature_importance(s, forest(s, d), None).agg(
+            F.count("*").alias("n"), F.round(F.sum("importance"), 6).alias("whole"), F.expr("bool_and(importance > 0)").alias("positive"))),
+    "flow_random_forest_planted": lambda s, d: flat(
+        planted_recall(s, d), "tp + fp + fn + tn AS n", "recall > 97 AS found", "precision > 97 AS clean"),
+    "flow_predict_properties": lambda s, d: flat(predict_properties(s, d)),
+    "flow_model_store_same": lambda s, d: stored_model(s, d).agg(F.sum("n").alias("n"), F.expr("bool_and(same)").alias("same")),
     "flow_predict": lambda s, d: flat(
-        op.flow_predict(v.v_flow(s, d), forest(s, d), FEATURES, op.flow_iforest_fit(train(s, d), FEATURES)),
+        op.flow_predict(v.v_flow(s, d), forest(s, d), op.flow_iforest_fit(train(s, d), FEATURES)),
         "flow_id", "p", "is_attack_predicted", "risk", "confidence"),
     "flow_combine": lambda s, d: flat(
         op.flow_combine(v.v_flow(s, d).withColumn("p", F.col("l_quantity") / 50).withColumn("is_anomaly", F.col("l_linenumber") > 4))
@@ -79,7 +106,14 @@ KIND = "CASE flags WHEN 'AF' THEN 'DoS Attack' WHEN 'AO' THEN 'Port Scan' WHEN '
 CELLS = """c AS (SELECT count(*) FILTER (is_attack = 1 AND l_quantity > 30) AS tp, count(*) FILTER (is_attack = 0 AND l_quantity > 30) AS fp,
   count(*) FILTER (is_attack = 1 AND l_quantity <= 30) AS fn, count(*) FILTER (is_attack = 0 AND l_quantity <= 30) AS tn FROM v_flow)"""
 
+TESTED = "(SELECT sum(ceil(n * 0.25e0))::BIGINT FROM (SELECT count(*) AS n FROM v_flow GROUP BY is_attack))"
+
 ORACLE = {
+    "flow_random_forest": flow(f"SELECT {TESTED} AS n, true AS valid"),
+    "flow_random_forest_planted": flow(f"SELECT {TESTED} AS n, true AS found, true AS clean"),
+    "flow_predict_properties": flow("SELECT count(*) AS n, true AS in_range, true AS agree FROM v_flow"),
+    "flow_feature_importance_sum": "SELECT 5 AS n, 1e0 AS whole, true AS positive",
+    "flow_model_store_same": flow("SELECT count(*) AS n, true AS same FROM v_flow"),
     "flow_label_map": flow(f"SELECT {LABEL} AS Label, {KIND} AS Attack_Type, CAST({KIND} <> 'Normal' AS BIGINT) AS is_attack, count(*) AS n FROM v_flow GROUP BY ALL"),
     "flow_class_distribution": flow(f"""
         SELECT {KIND} AS Attack_Type, count(*) AS n, (SELECT round(count(*) FILTER ({KIND} <> 'Normal') * 1e0 / count(*) * 100, 6) FROM v_flow) AS attack_share

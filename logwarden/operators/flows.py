@@ -4,16 +4,14 @@ from __future__ import annotations
 
 import json
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logwarden import rules
 from logwarden.common import ladder, operator
+from logwarden.operators import forest as random_forest
 from logwarden.operators import iforest
+from logwarden.operators.forest import RandomForest
 
 
 @operator
@@ -86,27 +84,15 @@ def flow_standardize(flows: DataFrame, scale: dict[str, tuple[float, float]], su
     )
 
 
-def class_weights(flows: DataFrame, label: str = "is_attack") -> DataFrame:
-    """Adds ``weight`` = n / (classes x n of the class)."""
-    counts = flows.groupBy(label).agg(F.count("*").alias("_n"))
-    n, k = counts.agg(F.sum("_n")).scalar(), counts.agg(F.count("*")).scalar()
-    weights = counts.select(label, (n / (k * F.col("_n"))).alias("weight"))
-    return flows.join(F.broadcast(weights), label)  # one row per class
-
-
 def flow_random_forest(
-    flows: DataFrame, features: list[str], label: str = "is_attack", trees: int = 200, depth: int = 30, seed: int = 42
-) -> PipelineModel:
-    """Scaler and balanced random forest as one pipeline."""
-    stages = [
-        VectorAssembler(inputCols=features, outputCol="_raw", handleInvalid="keep"),
-        StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True),
-        RandomForestClassifier(
-            featuresCol="_scaled", labelCol=label, weightCol="weight", numTrees=trees, maxDepth=depth, seed=seed,
-            predictionCol="prediction", probabilityCol="probability",
-        ),
-    ]
-    return Pipeline(stages=stages).fit(class_weights(flows, label))
+    flows: DataFrame, features: list[str], label: str = "is_attack", trees: int = 200, depth: int | None = None, seed: int = 42,
+    sample: int = random_forest.SAMPLE, id_column: str | None = "flow_id",
+) -> RandomForest:
+    """Balanced random forest on at most ``sample`` labelled rows; trees grow until their leaves are pure.
+
+    Splits depend on the order of a feature's values only, so features are not scaled first.
+    """
+    return random_forest.fit(flows, features, label, trees, depth, seed, sample, id_column if id_column in flows.columns else None)
 
 
 def flow_iforest_fit(
@@ -172,9 +158,9 @@ def flow_class_report(predictions: DataFrame, label: str = "is_attack", predicte
         normal, attack, mean("macro avg", one, one), mean("weighted avg", normal["support"], attack["support"]))))
 
 
-def flow_feature_importance(spark: SparkSession, model: PipelineModel, features: list[str], k: int = 5) -> DataFrame:
-    values = model.stages[-1].featureImportances.toArray()
-    rows = sorted(((f, float(x)) for f, x in zip(features, values)), key=lambda r: (-r[1], r[0]))[:k]
+def flow_feature_importance(spark: SparkSession, model: RandomForest, k: int | None = 5) -> DataFrame:
+    """The ``k`` features that lower the impurity most, or all, with their shares; all shares sum to 1."""
+    rows = sorted(zip(model.features, model.importances), key=lambda r: (-r[1], r[0]))[:k]
     return spark.createDataFrame(rows, "feature string, importance double")
 
 
@@ -193,28 +179,29 @@ def flow_combine(scored: DataFrame, probability: str = "p", forest_flag: str = "
 
 
 @operator
-def flow_predict(flows: DataFrame, model: PipelineModel, features: list[str], forest: iforest.IsolationForest | None = None) -> DataFrame:
+def flow_predict(flows: DataFrame, model: RandomForest, anomalies: iforest.IsolationForest | None = None) -> DataFrame:
     """Probability, combined verdict, risk and confidence per flow; missing features count as 0."""
-    filled = flows.withColumns(
-        {f: F.coalesce(F.col(f"`{f}`"), F.lit(0.0)) if f in flows.columns else F.lit(0.0) for f in features}
-    )
-    scored = model.transform(filled).withColumn("p", vector_to_array("probability")[1])
-    scored = iforest.predict(scored, forest) if forest else scored.withColumn("is_anomaly", F.lit(False))
-    return flow_combine(scored).drop("_raw", "_scaled", "rawPrediction", "probability")
+    names = {*model.features, *(anomalies.features if anomalies else [])}
+    filled = flows.withColumns({f: F.coalesce(F.col(f"`{f}`"), F.lit(0.0)) if f in flows.columns else F.lit(0.0) for f in sorted(names)})
+    scored = model.transform(filled)
+    scored = iforest.predict(scored, anomalies) if anomalies else scored.withColumn("is_anomaly", F.lit(False))
+    return flow_combine(scored)
 
 
 def flow_model_save(
-    spark: SparkSession, path: str, model: PipelineModel, forest: iforest.IsolationForest, features: list[str], metrics: DataFrame | None = None
+    spark: SparkSession, path: str, model: RandomForest, anomalies: iforest.IsolationForest, scale: dict[str, tuple[float, float]] | None = None,
+    metrics: DataFrame | None = None,
 ) -> None:
-    """Pipeline, forest, feature list and metrics under one folder."""
-    model.write().overwrite().save(f"{path}/pipeline")
-    meta = [(json.dumps(features), forest.to_json())]
-    spark.createDataFrame(meta, "features string, forest string").coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
+    """Both forests, the scale of the features and metrics under one folder."""
+    model.save(spark, f"{path}/forest")
+    meta = [(json.dumps(scale), anomalies.to_json())]
+    spark.createDataFrame(meta, "scale string, anomalies string").coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
     if metrics is not None:
         metrics.write.mode("overwrite").parquet(f"{path}/metrics")
 
 
-def flow_model_load(spark: SparkSession, path: str) -> tuple[PipelineModel, iforest.IsolationForest, list[str]]:
+def flow_model_load(spark: SparkSession, path: str) -> tuple[RandomForest, iforest.IsolationForest, dict[str, tuple[float, float]] | None]:
     meta = spark.read.parquet(f"{path}/meta").first()
-    model = PipelineModel.load(f"{path}/pipeline")
-    return model, iforest.IsolationForest.from_json(meta["forest"]), json.loads(meta["features"])
+    scale = json.loads(meta["scale"])
+    return (RandomForest.load(spark, f"{path}/forest"), iforest.IsolationForest.from_json(meta["anomalies"]),
+            {k: tuple(v) for k, v in scale.items()} if scale else None)

@@ -103,9 +103,9 @@ def test_queries_grow_whole_forests(spark, monkeypatch):
     df = spark.createDataFrame([(f"f{i}", float(x), float(y), int(x * y > 0)) for i, (x, y) in enumerate(rng.normal(size=(40, 2)))], "flow_id string, x double, y double, is_attack int")
     monkeypatch.setattr(q_flows, "train", lambda s, d: df)
     monkeypatch.setattr(q_flows, "FEATURES", ["x", "y"])
-    model = q_flows.forest(spark, "").stages[-1]
-    assert (model.getNumTrees, model.getMaxDepth()) == (200, 30)  # 30: the most that Spark takes
-    assert flows.flow_random_forest(df, ["x", "y"], trees=2).stages[-1].getMaxDepth() == 30
+    model = q_flows.forest(spark, "")
+    assert (len(model.trees), model.depth, model.sampled) == (200, None, 40)
+    assert flows.flow_random_forest(df, ["x", "y"], trees=2).depth is None
     asked = {}
     monkeypatch.setattr(q_streaming.iforest, "fit", lambda rows, features, trees=100, **kw: asked.update(trees=trees))
     monkeypatch.setattr(q_streaming, "entry_features", lambda logs: df.selectExpr("flow_id AS id", *[f"x AS `{f}`" for f in q_streaming.ENTRY_FEATURES]))
