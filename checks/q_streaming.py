@@ -34,15 +34,65 @@ def threat_stream(s, d):
     return v.threats_from_events(events_stream(s, d))
 
 
-def finished(df, mode="update"):
+def finished(df):
     """Run a stream over what is there and read back what it wrote."""
     s = df.sparkSession
     out, state = scratch(s, "stream"), scratch(s, "state")
-    query = op.start(df, out, state, mode=mode, available_now=True)
-    query.awaitTermination()
+    op.start(df, out, state, available_now=True).awaitTermination()
     # no result may have no file at all, so the schema is given
-    schema = df.schema if mode == "append" else T.StructType([*df.schema.fields, T.StructField("batch", T.IntegerType())])
-    return s.read.schema(schema).parquet(out)
+    return s.read.schema(df.schema).parquet(out)
+
+
+PARTS, LATE_S = 4, 50 * 60
+
+
+def in_parts(s, d):
+    """The events as they arrive: four parts by time, of which a third of the rows comes up to 50 minutes late, in the
+    next part; at last two rows from two months later: the first moves the watermark past all others, for the second's batch."""
+    e = v.table(s, d, "events")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = e.agg(F.min(micros), F.max(micros)).first()
+    arrival = micros + F.when(F.col("event_id") % 3 == 0, LATE_S * 1_000_000).otherwise(0)
+    part = F.least(F.lit(PARTS - 1), F.floor((arrival - low) * PARTS / (high - low + 1)))
+    for number in range(PARTS):
+        yield e.where(part == number)
+    last = e.orderBy(F.desc("event_id")).limit(1).withColumn("ts", F.col("ts") + F.expr("INTERVAL 60 DAYS"))
+    for number in (-1, -2):
+        yield last.select([F.lit(number).cast(t).alias(c) if c == "event_id" else F.col(c).cast(t).alias(c) for c, t in e.dtypes])
+
+
+def by_parts(s, d, build, run):
+    """Let ``run`` work on ``build(stream of events)`` each time that a further part has arrived."""
+    folder = scratch(s, "events")
+    schema = v.table(s, d, "events").schema
+    for rows in in_parts(s, d):
+        rows.write.mode("append").parquet(folder)
+        stream = build(s.readStream.schema(schema).parquet(folder))
+        run(stream).awaitTermination()
+    return stream
+
+
+def arriving(s, d, build):
+    """What a stream has written after all parts; it is stopped and started again for each."""
+    out, state = scratch(s, "stream"), scratch(s, "state")
+    stream = by_parts(s, d, build, lambda df: op.start(df, out, state, available_now=True))
+    return s.read.schema(stream.schema).parquet(out)
+
+
+def logs_arriving(s, d, job):
+    return arriving(s, d, lambda events: job(v.logs_from_events(events)))
+
+
+def threats_arriving(s, d, job):
+    return arriving(s, d, lambda events: job(v.threats_from_events(events)))
+
+
+def late_rows(s, d):
+    """Rows more than ten minutes behind what came before them."""
+    out, state = scratch(s, "late"), scratch(s, "state")
+    build = lambda events: events.select("event_id", F.col("ts").cast("timestamp").alias("timestamp"))
+    stream = by_parts(s, d, build, lambda df: op.stream_late_rows(df, out, state, "10 minutes", available_now=True))
+    return s.read.schema(stream.schema).parquet(f"{out}/late")
 
 
 def lines_written(s, d):
@@ -65,7 +115,7 @@ def forest_and_scale(s, d):
 def anomaly_stream(s, d):
     forest, scale = forest_and_scale(s, d)
     scored = op.stream_anomaly_score(log_stream(s, d), forest, scale)
-    return finished(scored.select("id", "source_ip", "anomaly_score", "is_anomaly"), "append")
+    return finished(scored.select("id", "source_ip", "anomaly_score", "is_anomaly"))
 
 
 def sink_stream(s, d):
@@ -79,7 +129,7 @@ def sink_stream(s, d):
 
 def log_source_stream(s, d):
     lines = op.stream_log_source(s, lines_written(s, d), pattern="*.txt")
-    return finished(lines.select("raw_log"), "append")
+    return finished(lines.select("raw_log"))
 
 
 def csv_back(s, d):
@@ -146,27 +196,30 @@ QUERIES = {
     "stream_log_source": lambda s, d: flat(log_source_stream(s, d), "raw_log AS raw"),
     "stream_parse": lambda s, d: flat(
         finished(op.stream_parse(
-            v.raw_lines(events_stream(s, d)).select(F.col("event_id").alias("id"), F.col("raw").alias("raw_log")), as_of=v.AS_OF_YEAR), "append"),
+            v.raw_lines(events_stream(s, d)).select(F.col("event_id").alias("id"), F.col("raw").alias("raw_log")), as_of=v.AS_OF_YEAR)),
         "id", "timestamp AS ts", "source_ip", "parsed_data.log_type", "action"),
     "stream_dedup": lambda s, d: flat(
-        finished(op.stream_dedup(log_stream(s, d).unionByName(log_stream(s, d).where("id % 4 = 0")), watermark="40 days"), "append"), "source_ip", "raw_log AS raw"),
+        finished(op.stream_dedup(log_stream(s, d).unionByName(log_stream(s, d).where("id % 4 = 0")), watermark="40 days")), "source_ip", "raw_log AS raw"),
     "stream_brute_force": lambda s, d: flat(
-        finished(op.stream_brute_force(log_stream(s, d), "1 hour", window_s=DAY, slide_s=DAY // 2, threshold=2)),
+        logs_arriving(s, d, lambda logs: op.stream_brute_force(logs, "1 hour", window_s=DAY, slide_s=DAY // 2, threshold=2)),
         "source_ip", "window_start", "attempt_count", "risk_score"),
     "stream_port_scan": lambda s, d: flat(
-        finished(op.stream_port_scan(log_stream(s, d), "1 hour", window_s=10 * DAY, slide_s=5 * DAY, min_attempts=4, min_ports=3)),
+        logs_arriving(s, d, lambda logs: op.stream_port_scan(logs, "1 hour", window_s=10 * DAY, slide_s=5 * DAY, min_attempts=4, min_ports=3)),
         "source_ip", "window_start", "total_attempts", "unique_ports", "risk_score"),
     "stream_suspicious_pattern": lambda s, d: flat(
-        finished(op.stream_suspicious_pattern(log_stream(s, d), "1 hour", window_s=3 * DAY, cooldown_s=DAY)),
+        logs_arriving(s, d, lambda logs: op.stream_suspicious_pattern(logs, "1 hour", window_s=3 * DAY, cooldown_s=DAY)),
         "source_ip", "timestamp AS ts", "total_matches", "risk_score"),
-    "stream_ddos_minute": lambda s, d: flat(finished(op.stream_ddos_minute(threat_stream(s, d), threshold=2)), "minute", "event_count", "confidence_score"),
+    "stream_ddos_minute": lambda s, d: flat(
+        threats_arriving(s, d, lambda threats: op.stream_ddos_minute(threats, "1 hour", threshold=2)), "minute", "event_count", "confidence_score"),
     "stream_threat_dedup": lambda s, d: flat(
-        finished(op.stream_threat_dedup(threat_stream(s, d), "1 hour", gap_s=2 * DAY)), "id", "source_ip", "threat_type"),
+        threats_arriving(s, d, lambda threats: op.stream_threat_dedup(threats, "1 hour", gap_s=2 * DAY)), "id", "source_ip", "threat_type"),
     "stream_state_ttl": lambda s, d: flat(
-        finished(op.stream_state_ttl(threat_stream(s, d)).groupBy(F.window("timestamp", "1 day").alias("w"), "threat_type")
-                 .agg(F.count("*").alias("n")).select("w.start", "threat_type", "n")), "start", "threat_type", "n"),
+        threats_arriving(s, d, lambda threats: op.stream_state_ttl(threats).groupBy(F.window("timestamp", "1 day").alias("w"), "threat_type")
+                         .agg(F.count("*").alias("n")).select("w.start", "threat_type", "n")), "start", "threat_type", "n"),
     "stream_anomaly_score": lambda s, d: flat(anomaly_stream(s, d)),
-    "stream_rate_metric": lambda s, d: flat(finished(op.stream_rate_metric(log_stream(s, d))), "minute", "n", "logs_per_second"),
+    "stream_rate_metric": lambda s, d: flat(
+        logs_arriving(s, d, lambda logs: op.stream_rate_metric(logs, "1 hour")), "minute", "n", "logs_per_second"),
+    "stream_late_rows": lambda s, d: flat(late_rows(s, d), "event_id", "timestamp AS ts"),
     "stream_sink_threats": lambda s, d: flat(sink_stream(s, d)),
 }
 
@@ -228,6 +281,12 @@ ORACLE = {
     "stream_state_ttl": threat(f"SELECT {day("date_trunc('day', ts)")} AS start, threat_type, count(*) AS n FROM v_threat GROUP BY date_trunc('day', ts), threat_type"),
     "stream_rate_metric": log(f"""
         SELECT {day("date_trunc('minute', ts)")} AS minute, count(*) AS n, round(count(*) / 60e0, 2) AS logs_per_second FROM v_log GROUP BY 1"""),
+    "stream_late_rows": """
+        WITH s AS (SELECT min(epoch_us(ts)) AS low, max(epoch_us(ts)) AS high FROM events),
+        p AS (SELECT event_id, ts, least(3, (epoch_us(ts) + CASE WHEN event_id % 3 = 0 THEN 3000000000 ELSE 0 END - low) * 4 // (high - low + 1)) AS part FROM events, s),
+        m AS (SELECT part, max(ts) AS newest FROM p GROUP BY part),
+        w AS (SELECT part + 1 AS part, max(newest) OVER (ORDER BY part) - INTERVAL 10 MINUTE AS mark FROM m)
+        SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM p JOIN w USING (part) WHERE ts < mark""",
     "stream_sink_threats": threat(f"""
         , s AS (SELECT id, least((risk_score * 0.6e0 + {TIME} * 0.1e0) * {MULT}, 10e0) AS u, threat_type FROM v_threat),
         r AS (SELECT id, threat_type, u, {round_1('u')} AS risk_score FROM s)

@@ -1,11 +1,13 @@
 """Live detection with Structured Streaming.
 
-Streams use the batch column expressions; windows close on event time with a watermark, and late
-rows are dropped.  Rules with a silent time after each hit keep their state in a stateful processor.
+Streams use the batch column expressions; windows close once, when the watermark passes them.  Rules with a silent time
+after each hit wait in a stateful processor until the watermark has passed a row, so that rows count in the order of
+their time, not of their arrival.  Rows behind the watermark are dropped by Spark; :func:`stream_late_rows` lists them.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -65,8 +67,12 @@ def stream_dedup(logs: DataFrame, watermark: str = "1 hour") -> DataFrame:
     return logs.withWatermark("timestamp", watermark).dropDuplicatesWithinWatermark(["source_ip", "raw_log"])
 
 
-def _windowed(logs: DataFrame, watermark: str, window: str, slide: str | None, *keys: str):
-    return logs.withWatermark("timestamp", watermark).groupBy(F.window("timestamp", window, slide).alias("w"), *keys)
+def _windowed(logs: DataFrame, watermark: str, window: str, slide: str | None, *keys: str, where=None):
+    """Rows grouped by window; all rows move the watermark, also those that ``where`` leaves out."""
+    marked = logs.withWatermark("timestamp", watermark)
+    # a condition without the time would be moved below the watermark, which then stood still while no row meets it
+    marked = marked if where is None else marked.where(F.when(F.col("timestamp").isNotNull(), where))
+    return marked.groupBy(F.window("timestamp", window, slide).alias("w"), *keys)
 
 
 @operator
@@ -76,7 +82,7 @@ def stream_brute_force(
 ) -> DataFrame:
     """Threats per address and overlapping window."""
     n = F.col("n")
-    grouped = _windowed(logs.where(failed_attempt()), watermark, f"{window_s} seconds", f"{slide_s} seconds", "source_ip")
+    grouped = _windowed(logs, watermark, f"{window_s} seconds", f"{slide_s} seconds", "source_ip", where=failed_attempt())
     return (
         grouped.agg(F.count("*").alias("n"))
         .where(n >= threshold)
@@ -94,10 +100,10 @@ def stream_port_scan(
     min_attempts: int = rules.PORT_SCAN_MIN_ATTEMPTS, min_ports: int = rules.PORT_SCAN_MIN_PORTS,
 ) -> DataFrame:
     """Ports are collected as a set per window and address, which the number of ports bounds."""
-    attempts = logs.where(port_scan_attempt() & (F.col("destination_port") != 0))
+    attempt = port_scan_attempt() & (F.col("destination_port") != 0)
     n, ports = F.col("n"), F.col("ports")
     return (
-        _windowed(attempts, watermark, f"{window_s} seconds", f"{slide_s} seconds", "source_ip")
+        _windowed(logs, watermark, f"{window_s} seconds", f"{slide_s} seconds", "source_ip", where=attempt)
         .agg(F.count("*").alias("n"), F.collect_set("destination_port").alias("seen"))
         .withColumn("ports", F.size("seen"))
         .where((n >= min_attempts) & (ports >= min_ports))
@@ -116,7 +122,7 @@ def stream_ddos_minute(threats: DataFrame, watermark: str = "2 minutes", thresho
     for word in rules.DDOS_WORDS:
         hit = hit | low.contains(word)
     return (
-        _windowed(threats.where(hit), watermark, "1 minute", None)
+        _windowed(threats, watermark, "1 minute", None, where=hit)
         .agg(F.count("*").alias("event_count"))
         .where(F.col("event_count") >= threshold)
         .select(F.lit("ddos").alias("pattern_type"), F.col("w.start").alias("minute"), "event_count",
@@ -150,52 +156,110 @@ def stream_state_ttl(df: DataFrame, keep: str = "24 hours") -> DataFrame:
 # --- rules with a silent time ---------------------------------------------------------
 
 
-class PatternProcessor(StatefulProcessor):
+class InOrder(StatefulProcessor):
+    """Holds the rows of a key until the watermark has passed their second and releases them in the order of time.
+
+    A second is complete when the watermark passes its end: rows of it that come later are dropped by Spark.  The state
+    of a key ends ``keep_s`` after its last released row.
+    """
+
+    def __init__(self, waiting: str, columns: list[str], keep_s: int) -> None:
+        self.waiting_schema, self.columns, self.keep_s = waiting, columns, keep_s
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", self.waiting_schema)
+        self.latest = handle.getValueState("latest", "sec bigint")
+        self.open(handle)
+
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        """Declare further state."""
+
+    def taken(self, rows: Iterator[pd.DataFrame]) -> list[tuple]:
+        """What is to wait, as tuples that begin with the second."""
+        raise NotImplementedError
+
+    def release(self, key: Any, rows: list[tuple]) -> list[tuple]:
+        """Results of rows that are complete, in the order of time."""
+        raise NotImplementedError
+
+    def forget(self) -> None:
+        """Clear further state."""
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        new = self.taken(rows)
+        if new:
+            self.waiting.appendList(new)
+            self.handle.registerTimer((min(r[0] for r in new) + 1) * 1000)
+        yield pd.DataFrame(columns=self.columns)
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        complete = timerValues.getCurrentWatermarkInMs() // 1000  # seconds before this one
+        waiting = list(self.waiting.get()) if self.waiting.exists() else []
+        due = sorted((tuple(r) for r in waiting if r[0] < complete), key=lambda r: tuple((x is None, x) for x in r))
+        rest = [tuple(r) for r in waiting if r[0] >= complete]
+        out = self.release(key, due) if due else []
+        if due:
+            self.latest.update((due[-1][0],))
+        latest = int(self.latest.get()[0]) if self.latest.exists() else None
+        if rest:
+            self.waiting.put(rest)
+            self.handle.registerTimer((min(r[0] for r in rest) + 1) * 1000)
+        elif waiting:
+            self.waiting.clear()
+        if latest is not None:
+            ends = latest + self.keep_s + 1
+            if ends <= complete and not rest:
+                self.latest.clear()
+                self.forget()
+            elif due:
+                self.handle.registerTimer(ends * 1000)
+        yield pd.DataFrame(out, columns=self.columns)
+
+    def close(self) -> None:
+        pass
+
+
+class PatternProcessor(InOrder):
     """Tags of the last ``window_s`` seconds of one address, counted per (second, tag); emits at
     ``min_matches`` and then stays silent for ``cooldown_s``."""
 
     def __init__(self, window_s: int, min_matches: int, cooldown_s: int) -> None:
+        super().__init__("sec bigint, tag string, n bigint", ["source_ip", "sec", "total_matches", "risk_score"], max(window_s, cooldown_s))
         self.window_s, self.min_matches, self.cooldown_s = window_s, min_matches, cooldown_s
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+    def open(self, handle: StatefulProcessorHandle) -> None:
         self.hits = handle.getListState("hits", "sec bigint, tag string, n bigint")
         self.emitted = handle.getValueState("emitted", "sec bigint")
 
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(rows)) if rows else pd.DataFrame()
-        fresh = new.groupby(["sec", "tag"], as_index=False)["n"].sum().sort_values(["sec", "tag"])
+    def taken(self, rows: Iterator[pd.DataFrame]) -> list[tuple]:
+        counts: Counter = Counter()
+        for part in rows:  # a key may have more rows than fit into one frame
+            counts.update(part.groupby(["sec", "tag"])["n"].sum().to_dict())
+        return [(int(sec), tag, int(n)) for (sec, tag), n in counts.items()]
+
+    def release(self, key: Any, rows: list[tuple]) -> list[tuple]:
         known = [(int(s), t, int(n)) for s, t, n in self.hits.get()] if self.hits.exists() else []
         last = int(self.emitted.get()[0]) if self.emitted.exists() else None
         out = []
-        for sec, arrived in fresh.groupby("sec", sort=True):
-            sec = int(sec)
-            known += [(sec, t, int(n)) for t, n in zip(arrived["tag"], arrived["n"])]
+        for i, (sec, tag, n) in enumerate(rows):
+            known.append((sec, tag, n))
+            if i + 1 < len(rows) and rows[i + 1][0] == sec:
+                continue
             known = [h for h in known if h[0] >= sec - self.window_s]
             total = sum(n for _, _, n in known)
             if total >= self.min_matches and (last is None or sec - last >= self.cooldown_s):
                 last = sec
-                counts: dict[str, int] = {}
-                for _, tag, n in known:
-                    counts[tag] = counts.get(tag, 0) + n
-                weighted = sum(n * rules.TAG_WEIGHTS.get(t, rules.OTHER_TAG_WEIGHT) for t, n in counts.items())
+                weighted = sum(n * rules.TAG_WEIGHTS.get(t, rules.OTHER_TAG_WEIGHT) for _, t, n in known)
                 out.append((key[0], sec, total, round(min(weighted, 10.0), 1)))
-        self.hits.put([h for h in known]) if known else self.hits.clear()
+        self.hits.put(known)
         if last is not None:
             self.emitted.update((last,))
-        if known:
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer((known[-1][0] + self.window_s + self.cooldown_s) * 1000)
-        yield pd.DataFrame(out, columns=["source_ip", "sec", "total_matches", "risk_score"])
+        return out
 
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+    def forget(self) -> None:
         self.hits.clear()
         self.emitted.clear()
-        yield pd.DataFrame(columns=["source_ip", "sec", "total_matches", "risk_score"])
-
-    def close(self) -> None:
-        pass
 
 
 def _use_rocksdb(df: DataFrame) -> None:
@@ -230,73 +294,92 @@ def stream_suspicious_pattern(
     )
 
 
-class SilenceProcessor(StatefulProcessor):
+class SilenceProcessor(InOrder):
     """Lets one threat per (ip, type) pass and drops those up to ``gap_s`` after it."""
 
-    def __init__(self, gap_s: int, columns: list[str]) -> None:
-        self.gap_s, self.columns = gap_s, columns
+    def __init__(self, gap_s: int, waiting: str, columns: list[str]) -> None:
+        super().__init__(waiting, columns, gap_s)
+        self.gap_s = gap_s
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+    def open(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", "sec bigint")
 
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values(["sec", "id"])
-        last = int(self.last.get()[0]) if self.last.exists() else None
-        keep = []
-        for sec in batch["sec"]:
-            kept = last is None or sec - last > self.gap_s
-            if kept:
-                last = int(sec)
-            keep.append(kept)
-        if last is not None:
-            self.last.update((last,))
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer((last + self.gap_s + 1) * 1000)
-        yield batch[keep][self.columns]
+    def taken(self, rows: Iterator[pd.DataFrame]) -> list[tuple]:
+        return [r for part in rows for r in part[self.columns].astype(object).where(part[self.columns].notna(), None).itertuples(index=False, name=None)]
 
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+    def release(self, key: Any, rows: list[tuple]) -> list[tuple]:
+        last = int(self.last.get()[0]) if self.last.exists() else None
+        kept = []
+        for row in rows:
+            if last is None or row[0] - last > self.gap_s:
+                last = int(row[0])
+                kept.append(row)
+        self.last.update((last,))
+        return kept
+
+    def forget(self) -> None:
         self.last.clear()
-        yield pd.DataFrame(columns=self.columns)
-
-    def close(self) -> None:
-        pass
 
 
 @operator
 def stream_threat_dedup(threats: DataFrame, watermark: str = "5 minutes", gap_s: int = rules.THREAT_DEDUP_S) -> DataFrame:
-    """One threat per (ip, type), then silence for ``gap_s``."""
+    """One threat per (ip, type), then silence for ``gap_s``; of one second the smallest id comes first."""
     _use_rocksdb(threats)
-    columns = ["id", "source_ip", "threat_type", "risk_score", "description", "sec"]
+    columns = ["sec", "id", "source_ip", "threat_type", "risk_score", "description"]
     rows = threats.withWatermark("timestamp", watermark).select(
-        "id", "source_ip", "threat_type", "risk_score", "description", F.unix_seconds("timestamp").alias("sec"), "timestamp"
-    )
+        F.unix_seconds("timestamp").alias("sec"), "id", "source_ip", "threat_type", F.col("risk_score").cast("double").alias("risk_score"), "description", "timestamp")
+    schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in columns)
     kept = rows.groupBy("source_ip", "threat_type").transformWithStateInPandas(
-        SilenceProcessor(gap_s, columns),
-        outputStructType="id bigint, source_ip string, threat_type string, risk_score double, description string, sec bigint",
-        outputMode="Append",
-        timeMode="EventTime",
-    )
+        SilenceProcessor(gap_s, schema, columns), outputStructType=schema, outputMode="Append", timeMode="EventTime")
     return kept.select("id", "source_ip", "threat_type", "risk_score", "description", F.timestamp_seconds("sec").alias("timestamp"))
 
 
+# --- late rows ------------------------------------------------------------------------
+
+
+def late_writer(path: str, watermark: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function: writes the rows behind the watermark and the watermark after each batch.
+
+    As in Spark's own rule, the watermark of a batch comes from the batches before it: their newest time less the
+    delay.  ``path/watermark`` has one row a batch, ``path/late`` the rows; a batch that is run again overwrites its own.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        marks = spark.createDataFrame([], "watermark timestamp, batch_id int")
+        if batch_id > 0:
+            # the batch before has taken the largest of all before it
+            marks = spark.read.schema("watermark timestamp").parquet(f"{path}/watermark/batch_id={batch_id - 1}")
+        before = marks.agg(F.max("watermark")).first()[0]
+        late = batch.where(F.lit(False)) if before is None else batch.where(F.col("timestamp") < F.lit(before))
+        late.write.mode("overwrite").parquet(f"{path}/late/batch_id={batch_id}")
+        newest = batch.agg((F.max("timestamp") - F.expr(f"INTERVAL {watermark}")).alias("watermark"))
+        newest.select(F.greatest("watermark", F.lit(before).cast("timestamp")).alias("watermark")).write.mode("overwrite").parquet(
+            f"{path}/watermark/batch_id={batch_id}")
+
+    return write
+
+
+def stream_late_rows(
+    rows: DataFrame, path: str, checkpoint: str, watermark: str = "2 minutes", available_now: bool = False, interval: str = "15 seconds"
+) -> StreamingQuery:
+    """List the rows that come too late for a job with this watermark on the same source, and the watermark by batch.
+
+    The job reads the source once more, without state, so that late rows are neither lost nor counted twice.
+    """
+    trigger = {"availableNow": True} if available_now else {"processingTime": interval}
+    return rows.writeStream.foreachBatch(late_writer(path, watermark)).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
 # --- writing --------------------------------------------------------------------------
 
 
 def start(
     df: DataFrame, path: str, checkpoint: str, mode: str = "append", available_now: bool = False, interval: str = "15 seconds"
 ) -> StreamingQuery:
-    """Write a stream as parquet; ``update`` mode keeps every version, tagged with its batch."""
+    """Write a stream as parquet; in ``append`` mode each window and each threat is written once, when it is complete."""
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
-    writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(**trigger)
-    if mode == "append":
-        return writer.format("parquet").start(path)
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    return writer.foreachBatch(write).start()
+    return df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(**trigger).format("parquet").start(path)
 
 
 def threat_writer(path: str, rank: Callable[[DataFrame], DataFrame] | None = None, id_column: str = "id") -> Callable[[DataFrame, int], None]:
