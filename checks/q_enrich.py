@@ -57,7 +57,7 @@ QUERIES = {
             "indicator",
             listed(s, d).where("ioc_type = 'domain'").select(F.col("value").alias("domain")).distinct(),
             "domain",
-            max_broadcast=0,
+            shard_chars=4096,
         )
     ),
     "ioc_partial_match": lambda s, d: flat(

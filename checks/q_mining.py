@@ -62,15 +62,16 @@ def tx(unit: str) -> str:
 
 
 def itemset_sql(support: str, max_size: int = 5) -> str:
-    """Itemsets of all sizes by repeated self joins of (transaction, item)."""
+    """Itemsets of all sizes by repeated self joins of (transaction, item); equal transactions are joined once, with a weight."""
     parts = []
     for k in range(1, max_size + 1):
         joins = "".join(f" JOIN ti i{j} ON i{j}.t = i1.t AND i{j}.x > i{j - 1}.x" for j in range(2, k + 1))
         text = " || '+' || ".join(f"i{j}.x" for j in range(1, k + 1))
         lists = ", ".join(f"i{j}.x" for j in range(1, k + 1))
-        parts.append(f"SELECT [{lists}] AS xs, {text} AS items, count(*) AS freq FROM ti i1{joins} GROUP BY ALL")
+        parts.append(f"SELECT [{lists}] AS xs, {text} AS items, sum(i1.weight)::BIGINT AS freq FROM ti i1{joins} GROUP BY ALL")
     return f"""n AS (SELECT count(*) AS n FROM tx),
-      ti AS (SELECT t, x FROM (SELECT row_number() OVER () AS t, items FROM tx), unnest(items) AS u(x)),
+      gx AS (SELECT items, count(*) AS weight FROM tx GROUP BY items),
+      ti AS (SELECT t, x, weight FROM (SELECT row_number() OVER () AS t, items, weight FROM gx), unnest(items) AS u(x)),
       fi AS (SELECT xs, items, freq, freq * 1e0 / n AS support FROM ({' UNION ALL '.join(parts)}), n WHERE freq * 1e0 / n >= {support})"""
 
 

@@ -9,10 +9,6 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Tables that are rule data or operator-maintained lists are joined by broadcast up to this
-# many rows; larger ones are left to the join strategy Spark picks from their size.
-BROADCAST_ROWS = 10_000
-
 
 def operator(fn):
     """Let callers use their own column names: ``cols={"source_ip": "client", …}``.
@@ -110,6 +106,18 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column], k: int =
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
 
 
+def with_threat_id(threats: DataFrame, column: str = "id") -> DataFrame:
+    """Adds a stable id of 128 bits to threats that have none: it follows from type, address and time.
+
+    A detector that runs again gives the same threat the same id, whatever the batch or the partitioning.
+    """
+    if column in threats.columns:
+        return threats
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("threat_type", "source_ip")]
+    time = F.coalesce(F.unix_micros("timestamp").cast("string"), F.lit(""))
+    return threats.withColumn(column, F.md5(F.concat_ws("\n", *parts, time)))
+
+
 def epoch(ts: str | Column) -> Column:
     """Whole seconds since 1970."""
     return F.unix_seconds(F.col(ts) if isinstance(ts, str) else ts)

@@ -29,23 +29,27 @@ def alert_rules_eval(threats: DataFrame, rule_table: DataFrame) -> DataFrame:
     """How many threats each active rule matches and whether it fires.
 
     ``risk_threshold`` rules ask for a minimum score, ``pattern_match`` rules for a number of threats
-    of one type.  Threats are first counted per (type, score).  Score rules then meet them by whole
-    points (0 to 10), so this is an equality join however many rules or different scores there are.
+    of one type.  Threats are first counted per (type, score).  Scores and minimum scores are then put in order within
+    thousandths of a point and added up from above, and the sums of whole thousandths likewise: a step function of
+    the score, read at each rule's minimum, so rules and scores never meet in pairs.
     """
     histogram = threats.groupBy("threat_type", "risk_score").agg(F.count("*").alias("n"), F.max("timestamp").alias("last"))
     conditions = F.from_json("conditions", "min_risk_score double, pattern_type string, min_occurrences bigint")
     active = rule_table.where("is_active").withColumn("_c", conditions)
-
-    def point(score: Column) -> Column:
-        return F.least(F.greatest(F.floor(score), F.lit(0)), F.lit(10)).cast("bigint")
-
     least = F.col("_c.min_risk_score")
-    score_rules = active.where((F.col("rule_type") == "risk_threshold") & least.isNotNull()).select(
-        "name", least.alias("_least"), F.explode(F.sequence(point(least), F.lit(10).cast("bigint"))).alias("_point")
-    )
-    by_score = histogram.withColumn("_point", point(F.col("risk_score"))).join(score_rules, "_point").where(
-        F.col("risk_score") >= F.col("_least")
-    )
+    asked = active.where((F.col("rule_type") == "risk_threshold") & least.isNotNull()).select(
+        "name", least.alias("score"), F.lit(0).cast("bigint").alias("n"), F.lit(None).cast("timestamp").alias("last"))
+    counted = histogram.where(F.col("risk_score").isNotNull()).select(
+        F.lit(None).cast("string").alias("name"), F.col("risk_score").alias("score"), "n", F.col("last").cast("timestamp").alias("last"))
+    # scores run from 0 to 10; what lies outside shares the first and the last thousandth
+    block = F.floor(F.least(F.greatest(F.col("score"), F.lit(-1.0)), F.lit(11.0)) * 1000).cast("int")
+    steps = counted.unionByName(asked).withColumn("_block", block)
+    downward = Window.partitionBy("_block").orderBy(F.desc("score")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    within = steps.withColumns({"n": F.sum("n").over(downward), "last": F.max("last").over(downward)}).where("name IS NOT NULL")
+    higher = Window.orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1)  # over at most 12,001 rows
+    above = steps.groupBy("_block").agg(F.sum("n").alias("_n"), F.max("last").alias("_last")).select(
+        "_block", F.coalesce(F.sum("_n").over(higher), F.lit(0)).alias("_above"), F.max("_last").over(higher).alias("_last"))
+    by_score = within.join(F.broadcast(above), "_block").select("name", (F.col("n") + F.col("_above")).alias("n"), F.greatest("last", "_last").alias("last"))
     type_rules = active.where(F.col("rule_type") == "pattern_match").select("name", F.col("_c.pattern_type").alias("threat_type"))
     per_type = histogram.groupBy("threat_type").agg(F.sum("n").alias("n"), F.max("last").alias("last"))
     by_type = per_type.join(type_rules, "threat_type")

@@ -2,57 +2,70 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
+import ahocorasick
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logwarden import rules
-from logwarden.common import BROADCAST_ROWS, first_per_key, ladder, lookup, operator, text_list
+from logwarden.common import first_per_key, ladder, lookup, operator, text_list
 from logwarden.functions import net
 
-GRAM = 4  # length of the pieces by which long lists of substrings are joined
+#: Patterns that one automaton holds, in characters; it takes some hundred bytes for each in every Python worker.
+SHARD_CHARS = 1 << 20
+_BUILT: dict[str, ahocorasick.Automaton] = {}
+
+
+def _automaton(key: str, patterns: list[str]) -> ahocorasick.Automaton:
+    """The automaton of a list, built once in a Python worker; that of another list is let go."""
+    if key not in _BUILT:
+        _BUILT.clear()
+        built = ahocorasick.Automaton()
+        for pattern in patterns:
+            built.add_word(pattern, pattern)
+        built.make_automaton()
+        _BUILT[key] = built
+    return _BUILT[key]
 
 
-def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a list has at most ``rows`` rows; looks at no more than one row beyond that."""
-    return df.limit(rows + 1).count() <= rows
+def _patterns_in(text: Column, patterns: list[str]) -> Column:
+    """The different patterns that occur in a text, in time linear in the text and its hits."""
+    key = uuid.uuid4().hex
 
+    @F.pandas_udf("array<string>")
+    def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        automaton = _automaton(key, patterns)
+        for batch in batches:
+            yield pd.Series([sorted({p for _, p in automaton.iter(t)}) if t else [] for t in batch], dtype=object)
 
-def _rarest_grams(patterns: DataFrame) -> DataFrame:
-    """(_pattern, _gram): of each pattern's pieces the one in the fewest patterns; a short pattern is its own piece."""
-    starts = F.sequence(F.lit(1), F.greatest(F.length("_pattern") - GRAM + 1, F.lit(1)))
-    pieces = F.array_distinct(F.transform(starts, lambda i: F.substring(F.col("_pattern"), i, F.lit(GRAM))))
-    exploded = patterns.withColumn("_gram", F.explode(pieces))
-    counts = exploded.groupBy("_gram").agg(F.count("*").alias("_n"))
-    return exploded.join(counts, "_gram").groupBy("_pattern").agg(F.min_by("_gram", F.struct("_n", "_gram")).alias("_gram"))
+    return search(text)
 
 
 @operator
-def contains_join(
-    texts: DataFrame, text: str, patterns: DataFrame, pattern: str, max_broadcast: int = BROADCAST_ROWS
-) -> DataFrame:
+def contains_join(texts: DataFrame, text: str, patterns: DataFrame, pattern: str, shard_chars: int = SHARD_CHARS) -> DataFrame:
     """Pairs where ``pattern`` (non-empty) occurs in ``text``, ignoring case.
 
-    A short list is sent to every task.  A long one is joined on one piece of ``GRAM`` characters of each
-    pattern, which must occur among the pieces of the text, and then checked in full; the result is the
-    same.  The piece is the one that the fewest patterns have, so a common start such as ``www.`` does not
-    bring all patterns together.
+    The texts are searched once for all patterns by an Aho-Corasick automaton.  A list of more than ``shard_chars``
+    characters is dealt by hash to several automata, each of which passes over the texts, so no task holds a list
+    of unknown size.  The patterns found are then joined with their rows.  Null and empty patterns and texts meet nothing.
     """
     texts = texts.withColumn("_text", F.lower(text))
     patterns = patterns.withColumn("_pattern", F.lower(pattern)).where(F.col("_pattern") != "")
-    found = F.col("_text").contains(F.col("_pattern"))
-    if fits_broadcast(patterns, max_broadcast):
-        return texts.join(F.broadcast(patterns), found, "inner").drop("_text", "_pattern")
-    pieces = F.array_distinct(
-        F.flatten(
-            F.transform(
-                F.sequence(F.lit(1), F.length("_text")),
-                lambda i: F.transform(F.sequence(F.lit(1), F.lit(GRAM)), lambda g: F.substring(F.col("_text"), i, g)),
-            )
-        )
-    )
-    left = texts.where(F.length("_text") > 0).withColumn("_gram", F.explode(pieces))
-    right = patterns.join(_rarest_grams(patterns.select("_pattern").distinct()), "_pattern")
-    return left.join(right, (left["_gram"] == right["_gram"]) & found, "inner").drop("_text", "_pattern", "_gram")
+    listed = patterns.select("_pattern").distinct()
+    shards = (listed.agg(F.coalesce(F.sum(F.length("_pattern")), F.lit(0))).first()[0] // shard_chars) + 1
+    hits = None
+    for shard in range(shards):
+        # bounded by shard_chars and one pattern, up to the evenness of the hash
+        words = [r[0] for r in listed.where(F.pmod(F.xxhash64("_pattern"), F.lit(shards)) == shard).collect()]
+        if words:
+            found = texts.withColumn("_pattern", F.explode(_patterns_in(F.col("_text"), words)))
+            hits = found if hits is None else hits.unionByName(found)
+    if hits is None:
+        hits = texts.withColumn("_pattern", F.lit("")).limit(0)
+    return hits.join(patterns, "_pattern").drop("_text", "_pattern")
 
 
 # --- locations ------------------------------------------------------------------------

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml.fpm import FPGrowth
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,10 +11,6 @@ from logwarden import rules
 from logwarden.common import as_of_col, before, operator
 from logwarden.session import checkpoint_dir
 
-# Sets up to this width are mined by listing the subsets of the different transactions, which is one
-# aggregation; wider ones by FP-growth.  Both are exact.
-MAX_LISTED_WIDTH = 12
-
 
 def _transactions(threats: DataFrame, unit: str, as_of, hours: int) -> DataFrame:
     time = F.coalesce("timestamp", "ingested_at")
@@ -80,49 +77,38 @@ def _weighted(transactions: DataFrame) -> DataFrame:
     )
 
 
-def _subsets(items: str) -> Column:
-    """All non-empty subsets of a sorted array, one per bit mask."""
-    masks = F.sequence(F.lit(1), F.pow(F.lit(2), F.size(items)).cast("int") - 1)
-    return F.transform(masks, lambda mask: F.filter(
-        F.col(items), lambda x, i: F.getbit(mask.cast("bigint"), i) == 1))
-
-
 @operator
 def rules_itemsets(transactions: DataFrame, min_support: float | None = None, kind: str = "threats") -> DataFrame:
     """(items, freq, n, support) of all frequent itemsets; ``transactions`` has ``items``.
 
-    Equal transactions are counted once with a weight.  Items that are not frequent are removed
-    first, which bounds the width; if some set is still wider than ``MAX_LISTED_WIDTH``, the sets
-    are mined by FP-growth instead.
+    Equal transactions are counted once with a weight, and items that are not frequent are removed.  Sets then grow by
+    one item a level: each frequent set keeps what follows it in its transactions, and equal remainders are merged with
+    their weights.  So the rows of a level are at most the frequent sets of that size times their different remainders,
+    however wide a transaction is.  Levels are checkpointed; the loop ends at the size of the largest frequent set.
     """
     weighted = _weighted(transactions)
-    n = weighted.agg(F.coalesce(F.sum("weight"), F.lit(0))).scalar()
-    least = default_min_support(n, kind) if min_support is None else F.lit(float(min_support))
-    single = (
-        weighted.select(F.explode("items").alias("item"), "weight")
-        .groupBy("item").agg(F.sum("weight").alias("freq"))
-        .where(F.col("freq") / n >= least)
-    )
+    n = weighted.agg(F.coalesce(F.sum("weight"), F.lit(0)).alias("n")).first()["n"]
+    if not n:
+        return weighted.select("items", F.lit(0).cast("bigint").alias("freq"), F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("support")).limit(0)
+    least = default_min_support(F.lit(n), kind) if min_support is None else F.lit(float(min_support))
+    enough = F.col("freq") / F.lit(n) >= least
+    single = weighted.select(F.explode("items").alias("item"), "weight").groupBy("item").agg(F.sum("weight").alias("freq")).where(enough)
     frequent = single.agg(F.collect_list("item")).scalar()  # at most 1 / support items per width
-    pruned = (
-        weighted.withColumn("items", F.array_intersect("items", frequent))
-        .where(F.size("items") > 0)
-        .groupBy("items")
-        .agg(F.sum("weight").alias("weight"))
-    )
-    width = pruned.agg(F.coalesce(F.max(F.size("items")), F.lit(0)).alias("w")).first()["w"]
-    if width <= MAX_LISTED_WIDTH:
-        counted = (
-            pruned.select(F.explode(_subsets("items")).alias("items"), "weight")
-            .groupBy("items")
-            .agg(F.sum("weight").alias("freq"))
-        )
-    else:
-        support = min_support if min_support is not None else transactions.agg(default_min_support(F.count("*"), kind)).first()[0]
-        baskets = transactions.select(F.array_intersect(F.array_distinct("items"), frequent).alias("items"))
-        model = FPGrowth(itemsCol="items", minSupport=support).fit(baskets)
-        counted = model.freqItemsets.select(F.array_sort("items").alias("items"), "freq")
-    return counted.withColumns({"n": n, "support": F.col("freq") / n}).where(F.col("support") >= least)
+    rest = weighted.select(F.array().cast(weighted.schema["items"].dataType).alias("items"), F.array_intersect("items", frequent).alias("rest"), "weight")
+    found = []
+    while True:
+        longer = rest.select("items", F.posexplode("rest").alias("at", "item"), "rest", "weight").select(
+            F.array_append("items", F.col("item")).alias("items"), F.slice("rest", F.col("at") + 2, F.size("rest")).alias("rest"), "weight")
+        groups = longer.groupBy("items", "rest").agg(F.sum("weight").alias("weight")).checkpoint()
+        counts = groups.groupBy("items").agg(F.sum("weight").alias("freq")).where(enough)
+        found.append(counts)
+        if len(found) > 1 and counts.isEmpty():
+            break
+        rest = groups.where(F.size("rest") > 0).join(counts, "items", "left_semi")
+        if rest.isEmpty():
+            break
+    counted = functools.reduce(DataFrame.unionByName, found)
+    return counted.withColumns({"n": F.lit(n).cast("bigint"), "support": F.col("freq") / F.lit(n)})
 
 
 @operator
@@ -131,21 +117,31 @@ def rules_association(
 ) -> DataFrame:
     """Every split of each itemset into antecedents and consequents with enough confidence.
 
-    Works on the itemsets alone: each side of a split is frequent too, so its count is looked up
-    among them.
+    Works on the itemsets alone: each side of a split is frequent too, so its count is looked up among them.
+    Consequents grow by one item a level, and only from those with enough confidence: taking more items away from the
+    antecedents can only lower it.
     """
-    splits = itemsets.where(F.size("items") >= 2).select(
-        "items", "support", F.explode(F.filter(_subsets("items"), lambda s: F.size(s) < F.size("items"))).alias("antecedents")
-    ).withColumn("consequents", F.array_except("items", "antecedents"))
+    checkpoint_dir(itemsets.sparkSession)
+    sets = itemsets.where(F.size("items") >= 2).select("items", "support")
     known = itemsets.select("items", "support")
-    joined = splits.join(
-        known.select(F.col("items").alias("antecedents"), F.col("support").alias("_a")), "antecedents"
-    ).join(known.select(F.col("items").alias("consequents"), F.col("support").alias("_c")), "consequents")
-    confidence = F.col("support") / F.col("_a")
-    found = joined.select(
-        "antecedents", "consequents", "support", confidence.alias("confidence"), (confidence / F.col("_c")).alias("lift")
-    ).where(F.col("confidence") >= min_confidence)
-    ordered = found.orderBy(*[F.desc(c) for c in order], "antecedents", "consequents")
+    lift = known.select(F.col("items").alias("consequents"), F.col("support").alias("_c"))
+    none = F.array().cast(itemsets.schema["items"].dataType)
+    grown = sets.select("items", "support", none.alias("consequents"), F.lit(-1).alias("at"))
+    found = []
+    while True:
+        longer = grown.where(F.size("consequents") + 1 < F.size("items")).select(
+            "items", "support", "consequents", "at", F.posexplode("items").alias("next", "item")).where(F.col("next") > F.col("at"))
+        longer = longer.select("items", "support", F.array_append("consequents", F.col("item")).alias("consequents"), F.col("next").alias("at"))
+        longer = longer.withColumn("antecedents", F.array_except("items", "consequents"))
+        joined = longer.join(known.select(F.col("items").alias("antecedents"), F.col("support").alias("_a")), "antecedents")
+        passing = joined.withColumn("confidence", F.col("support") / F.col("_a")).where(F.col("confidence") >= min_confidence)
+        grown = passing.drop("_a").checkpoint()
+        found.append(grown)
+        if grown.where(F.size("consequents") + 1 < F.size("items")).isEmpty():
+            break
+    rules_found = functools.reduce(DataFrame.unionByName, found).join(lift, "consequents").select(
+        "antecedents", "consequents", "support", "confidence", (F.col("confidence") / F.col("_c")).alias("lift"))
+    ordered = rules_found.orderBy(*[F.desc(c) for c in order], "antecedents", "consequents")
     return ordered if max_rules is None else ordered.limit(max_rules)
 
 

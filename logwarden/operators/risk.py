@@ -20,17 +20,15 @@ def risk_history_features(threats: DataFrame, history: DataFrame | None = None)
 
     recent_threats: up to seven whole days back; old_threats: eight to thirty days; threat_types:
     different types in those thirty days; same_type_24h: same type in the last day.  ``history``
-    defaults to the threats themselves.
+    defaults to the threats themselves; where it has a column ``occurrences``, a row counts so often.
 
     All four are running totals over "enters" and "leaves" records (see ``sweep``), reduced per
     second before any row of a busy address meets another.
     """
     sec = epoch("timestamp")
-    past = (
-        (threats if history is None else history)
-        .groupBy("source_ip", "threat_type", sec.alias("at"))
-        .agg(F.count("*").alias("n"))
-    )
+    source = threats if history is None else history
+    n = F.sum("occurrences") if history is not None and "occurrences" in history.columns else F.count("*")
+    past = source.groupBy("source_ip", "threat_type", sec.alias("at")).agg(n.alias("n"))
     asked = threats.select("source_ip", "threat_type", sec.alias("sec")).distinct()
     at, n, zero = F.col("at"), F.col("n"), F.lit(0)
     ends = at + rules.HISTORY_LOOKBACK_S + 1

@@ -9,15 +9,17 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Iterator
+from datetime import timedelta
 from typing import Any
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from logwarden import rules
-from logwarden.common import operator
+from logwarden.common import operator, with_threat_id
 from logwarden.functions import scoring
 from logwarden.operators import alerts, correlate, iforest, risk
 from logwarden.operators.detect import brute_force_text, port_scan_text
@@ -386,34 +388,57 @@ def threat_writer(path: str, rank: Callable[[DataFrame], DataFrame] | None = Non
     """``foreachBatch`` function: scores a batch of threats against the stored history and writes
     threats, alerts and incidents of the batch.
 
-    Each batch owns its folders and overwrites them, so a batch that is run again leaves no
-    duplicates; history is what earlier batches stored.
+    Threats of a detector get the id that follows from their type, address and time.  History is what earlier batches
+    stored: occurrences by address, type and second under ``path/history``, by date, of which a batch reads the dates
+    that its look-back touches and no others.  Each batch owns its folders and overwrites them, so a batch that is run
+    again leaves no duplicates; its input is evaluated once, which state before it demands.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        history = None
-        try:
-            stored = spark.read.parquet(f"{path}/threat").where(F.col("batch_id") < batch_id)
-            oldest = batch.agg(F.min("timestamp")).scalar() - F.expr(f"INTERVAL {rules.HISTORY_LOOKBACK_S} SECOND")
-            history = stored.select("source_ip", "threat_type", "timestamp").where(F.col("timestamp") >= oldest)
-        except Exception as error:
-            if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
-                raise
-        scored = risk.risk_comprehensive(batch, history)
+
+        def kept(rows: DataFrame, name: str) -> DataFrame:
+            rows.write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch_id}")
+            return spark.read.schema(rows.schema).parquet(f"{path}/{name}/batch_id={batch_id}")
+
+        if "description" not in batch.columns:
+            batch = batch.withColumn("description", F.lit(None).cast("string"))
+        rows = kept(with_threat_id(batch.drop("batch_id"), id_column), "arrived")
+        first, last = rows.agg(F.min("timestamp") - F.expr(f"INTERVAL {rules.HISTORY_LOOKBACK_S} SECOND"), F.max("timestamp")).first()
+        scored = risk.risk_comprehensive(rows, _history(spark, path, batch_id, first, last))
         scored = rank(scored) if rank else scored
-        scored.drop("batch_id").write.mode("overwrite").parquet(f"{path}/threat/batch_id={batch_id}")
         # later tables read the written threats back, so a batch is scored once
-        done = spark.read.parquet(f"{path}/threat/batch_id={batch_id}")
+        done = kept(scored, "threat")
         alert = alerts.alert_candidates(done).select(
             F.col(id_column).alias("threat_id"), F.lit("message").alias("alert_type"), "description",
             F.lit(None).cast("string").alias("sent"), F.col("timestamp").alias("created_at"))
-        alert.write.mode("overwrite").parquet(f"{path}/alert/batch_id={batch_id}")
-        correlate.incident_create(done).write.mode("overwrite").parquet(f"{path}/incident/batch_id={batch_id}")
+        kept(alert, "alert")
+        kept(correlate.incident_create(done), "incident")
+        counts = rows.groupBy("source_ip", "threat_type", F.date_trunc("second", "timestamp").alias("timestamp")).agg(F.count("*").alias("occurrences"))
+        counts.withColumns({"event_date": F.to_date("timestamp"), "batch_id": F.lit(batch_id)}).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy("event_date", "batch_id").parquet(f"{path}/history")
 
     return write
 
 
+HISTORY = "source_ip string, threat_type string, timestamp timestamp, occurrences bigint, event_date date, batch_id int"
+
+
+def _history(spark: SparkSession, path: str, batch_id: int, first, last) -> DataFrame | None:
+    """Occurrences from ``first`` to ``last`` that earlier batches stored; only the folders of these dates are listed."""
+    if first is None:
+        return None
+    dates = ",".join(str((first + timedelta(days=i)).date()) for i in range((last.date() - first.date()).days + 1))
+    reader = spark.read.schema(HISTORY).option("basePath", f"{path}/history")
+    try:
+        found = reader.parquet(f"{path}/history/event_date={{{dates}}}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return found.where((F.col("batch_id") < batch_id) & (F.col("timestamp") >= F.lit(first)))
+
+
 def stream_sink_threats(threats: DataFrame, path: str, checkpoint: str, available_now: bool = False, interval: str = "15 seconds") -> StreamingQuery:
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     return (

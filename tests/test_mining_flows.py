@@ -1,11 +1,12 @@
 import itertools
 import random
+from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from logwarden.operators import correlate, enrich, flows, iforest, mining
+from logwarden.operators import alerts, correlate, enrich, flows, iforest, mining
 
 
 def transactions(spark, sets):
@@ -29,13 +30,40 @@ def test_small_rules(spark):
     assert mining.rules_association(itemsets, 0.1, None).count() == 12
 
 
-@pytest.mark.parametrize("width", [12, 2])
-def test_itemsets_both_ways(spark, monkeypatch, width):
+def test_itemsets_as_by_listing(spark):
     random.seed(4)
-    sets = [random.sample("abcdefg", random.randint(0, 5)) for _ in range(60)]
-    monkeypatch.setattr(mining, "MAX_LISTED_WIDTH", width)  # 2 forces FP-growth
-    got = {tuple(r["items"]): r["freq"] for r in mining.rules_itemsets(transactions(spark, sets), 0.1).collect()}
-    assert got == brute(sets, 0.1)
+    sets = [random.sample("abcdefg", random.randint(0, 5)) for _ in range(60)] + [["a", "a", "b"]]
+    for support in (0.02, 0.1):
+        got = {tuple(r["items"]): r["freq"] for r in mining.rules_itemsets(transactions(spark, sets), support).collect()}
+        assert got == brute([set(s) for s in sets], support)
+    assert mining.rules_itemsets(transactions(spark, sets).limit(0)).count() == 0
+    assert mining.rules_association(mining.rules_itemsets(transactions(spark, sets).limit(0))).count() == 0
+
+
+def test_rules_of_wide_transactions(spark):
+    # 40 items in one transaction, of which pairs are frequent: listing subsets would take 2 ** 40
+    sets = [[f"i{k:02}" for k in range(40)]] + [[f"i{k:02}", f"i{(k + 1) % 40:02}"] for k in range(40) for _ in range(3)]
+    itemsets = mining.rules_itemsets(transactions(spark, sets), 3 / len(sets))
+    freq = {tuple(r["items"]): r["freq"] for r in itemsets.collect()}
+    assert len(freq) == 80 and freq[("i00",)] == 7 and freq[("i00", "i01")] == 4 and freq[("i00", "i39")] == 4
+    found = mining.rules_association(itemsets, 0.5).collect()
+    assert len(found) == 80 and all(abs(r["confidence"] - 4 / 7) < 1e-12 for r in found)
+
+
+def test_rules_as_by_all_splits(spark):
+    random.seed(8)
+    sets = [random.choices("abcdef", k=random.randint(1, 6)) + ["z"] * (random.random() < 0.7) for _ in range(80)]
+    count = brute([set(s) for s in sets], 0.05)
+    want = set()
+    for items, n in count.items():
+        for size in range(1, len(items)):
+            for right in itertools.combinations(items, size):
+                left = tuple(x for x in items if x not in right)
+                if n / count[left] >= 0.15:
+                    want.add((left, right, round(n / count[left], 9), round(n / count[left] / (count[right] / len(sets)), 9)))
+    itemsets = mining.rules_itemsets(transactions(spark, sets), 0.05)
+    got = {(tuple(r["antecedents"]), tuple(r["consequents"]), round(r["confidence"], 9), round(r["lift"], 9)) for r in mining.rules_association(itemsets, 0.15).collect()}
+    assert got == want and any(len(w[1]) > 1 for w in want)
 
 
 def test_exact_quantiles(spark):
@@ -54,10 +82,37 @@ def test_contains_join_short_and_long_lists_agree(spark):
     parts = spark.createDataFrame([("".join(random.choices("abc.", k=k)),) for k in (1, 2, 3, 4, 5, 6) for _ in range(4)], "part string").distinct()
 
     def pairs(limit):
-        return sorted((r["id"], r["part"]) for r in enrich.contains_join(texts, "text", parts, "part", max_broadcast=limit).collect())
+        return sorted((r["id"], r["part"]) for r in enrich.contains_join(texts, "text", parts, "part", shard_chars=limit).collect())
 
     want = sorted((t["id"], p["part"]) for t in texts.collect() for p in parts.collect() if p["part"] in t["text"].lower())
-    assert pairs(100) == pairs(0) == want
+    assert pairs(1 << 24) == pairs(30) == want
+
+
+def test_many_patterns_with_one_prefix(spark):
+    words = [f"www.{i:05}.example" for i in range(5000)]
+    parts = spark.createDataFrame([(w, i) for i, w in enumerate(words)] + [("WWW.00007.Example", -1), ("", -2), (None, -3)], "part string, n int")
+    texts = spark.createDataFrame([(1, "see www.00007.example and WWW.04999.EXAMPLE"), (2, "www."), (3, None), (4, "")], "id int, text string")
+    joined = enrich.contains_join(texts, "text", parts, "part")
+    assert sorted((r["id"], r["n"]) for r in joined.collect()) == [(1, -1), (1, 7), (1, 4999)]
+    assert "NestedLoop" not in joined._jdf.queryExecution().toString()
+    assert enrich.contains_join(texts, "text", parts.limit(0), "part").count() == 0
+
+
+def test_many_score_rules(spark):
+    random.seed(3)
+    scores = [random.choice([random.uniform(0, 10), round(random.uniform(0, 10), 1), 7.0, None]) for _ in range(2000)] + [-3.0, 12.5, float("nan")]
+    threats = spark.createDataFrame([("t", x, datetime(2024, 1, 1) + timedelta(seconds=i)) for i, x in enumerate(scores)], "threat_type string, risk_score double, timestamp timestamp")
+    asked = [random.choice([random.uniform(-5, 15), round(random.uniform(0, 10), 1), 7.0]) for _ in range(10_000)]
+    table = spark.createDataFrame([(f"r{i}", "risk_threshold", "HIGH", True, '{"min_risk_score": %r}' % a) for i, a in enumerate(asked)],
+                                  "name string, rule_type string, severity_threshold string, is_active boolean, conditions string")
+    found = alerts.alert_rules_eval(threats, table)
+    assert "NestedLoop" not in found._jdf.queryExecution().toString()
+    got = {r["name"]: (r["matches"], r["last_match"]) for r in found.collect()}
+    known = np.array([x for x in scores if x is not None])
+    places = [i for i, x in enumerate(scores) if x is not None]
+    for i, a in enumerate(asked):
+        hit = (known >= a) | np.isnan(known)
+        assert got[f"r{i}"] == (hit.sum(), datetime(2024, 1, 1) + timedelta(seconds=max(p for p, h in zip(places, hit) if h)))
 
 
 def test_split_shares_are_exact_and_repeatable(spark):
