@@ -106,16 +106,21 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column], k: int =
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
 
 
+def with_stable_id(rows: DataFrame, keys: list[str], column: str = "id") -> DataFrame:
+    """Adds an id of 128 bits that follows from the values of ``keys``, unless the rows have one."""
+    if column in rows.columns:
+        return rows
+    micros = {f.name: F.unix_micros(f"`{f.name}`") for f in rows.schema.fields if f.dataType.typeName() == "timestamp"}
+    parts = [F.coalesce(micros.get(k, F.col(k)).cast("string"), F.lit("")) for k in keys]
+    return rows.withColumn(column, F.md5(F.concat_ws("\n", *parts)))
+
+
 def with_threat_id(threats: DataFrame, column: str = "id") -> DataFrame:
-    """Adds a stable id of 128 bits to threats that have none: it follows from type, address and time.
+    """Adds a stable id to threats that have none: it follows from type, address and time.
 
     A detector that runs again gives the same threat the same id, whatever the batch or the partitioning.
     """
-    if column in threats.columns:
-        return threats
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("threat_type", "source_ip")]
-    time = F.coalesce(F.unix_micros("timestamp").cast("string"), F.lit(""))
-    return threats.withColumn(column, F.md5(F.concat_ws("\n", *parts, time)))
+    return with_stable_id(threats, ["threat_type", "source_ip", "timestamp"], column)
 
 
 def epoch(ts: str | Column) -> Column:

@@ -278,12 +278,10 @@ def stream_suspicious_pattern(
     State is one count per (second, tag) of the window; it goes when its window and silence are over.
     """
     _use_rocksdb(logs)
-    hits = (
-        logs.withWatermark("timestamp", watermark)
-        .where("source_ip <> ''")
-        .select("source_ip", "timestamp", F.unix_seconds("timestamp").alias("sec"),
-                F.explode("parsed_data.suspicious_patterns").alias("tag"), F.lit(1).cast("bigint").alias("n"))
-    )
+    # as in _windowed, rows without tags are to move the watermark as well
+    tags = F.when(F.col("timestamp").isNotNull() & (F.col("source_ip") != ""), F.col("parsed_data.suspicious_patterns"))
+    hits = logs.withWatermark("timestamp", watermark).select(
+        "source_ip", "timestamp", F.unix_seconds("timestamp").alias("sec"), F.explode(tags).alias("tag"), F.lit(1).cast("bigint").alias("n"))
     found = hits.groupBy("source_ip").transformWithStateInPandas(
         PatternProcessor(window_s, min_matches, cooldown_s),
         outputStructType="source_ip string, sec bigint, total_matches bigint, risk_score double",

@@ -161,3 +161,23 @@ def test_threat_ids_are_stable(spark):
     again = [r["id"] for r in with_threat_id(rows.repartition(4)).orderBy("timestamp", "source_ip", "threat_type").collect()]
     assert ids == again and len(set(ids)) == 4
     assert with_threat_id(rows.withColumn("id", F.lit(7))).first()["id"] == 7
+
+
+def test_batch_job_over_a_folder(spark, tmp_path):
+    from logwarden.plans import soc
+
+    lines = [f'10.9.8.7 - - [05/Mar/2024:10:00:{i:02} +0000] "GET /login HTTP/1.1" 401 12 "-" "x"' for i in range(12)]
+    lines += ['10.9.8.8 - - [05/Mar/2024:10:00:30 +0000] "GET /?q=1%27+UNION+SELECT+1 HTTP/1.1" 200 12 "-" "union select 1 from x"'] * 4
+    folder = tmp_path / "logs"
+    folder.mkdir()
+    (folder / "a.log").write_text("\n".join(lines) + "\n")
+    (folder / "b.log").write_text("\n".join(lines[:5]) + "\n")  # repeats
+    tables = soc.soc_batch_files(spark, str(folder), str(tmp_path / "one"), as_of="2024-12-31 00:00:00", thresholds={"brute_force": 1}, anomalies=False)
+    assert tables["log_entry"].count() == len(set(lines))
+    threats = {r["id"]: r for r in tables["threat"].collect()}
+    assert {("brute_force", "10.9.8.7")} <= {(r["threat_type"], r["source_ip"]) for r in threats.values()}
+    assert {r["threat_id"] for r in tables["alert"].collect()} <= set(threats)
+    assert {i for r in tables["incident"].collect() for i in r["threat_ids"]} == {i for i, r in threats.items() if r["risk_score"] >= rules.INCIDENT_THRESHOLD}
+    assert ("brute_force", "10.9.8.7") in {(r["pattern_type"], r["pattern_key"]) for r in tables["attack_pattern"].collect()}
+    again = soc.soc_batch_files(spark, str(folder), str(tmp_path / "two"), as_of="2024-12-31 00:00:00", anomalies=False)
+    assert {r["id"] for r in again["threat"].collect()} == set(threats)
