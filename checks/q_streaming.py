@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from checks.q_detect import FAILED, SCAN, WEIGHT
 from checks.shape import flat, scratch
-from checks.sqlviews import V_EVENT, V_LOG, V_THREAT, day, log, round_1, threat, with_views
+from checks.sqlviews import V_EVENT, V_IOC, V_LOG, V_THREAT, day, log, round_1, threat, with_views
 from logwarden.operators import flows as fl
 from logwarden.operators import iforest
 from logwarden.operators.parsing import ENTRY_FEATURES, entry_features
@@ -138,12 +138,12 @@ def csv_back(s, d):
     return s.read.csv(path, header=True)
 
 
-def export_back(s, d, kind):
+def export_back(s, d, kind, part="search_history"):
     path = scratch(s, kind)
     history = v.v_log(s, d).select(F.col("source_ip").alias("indicator"), "timestamp", F.col("id").alias("score"))
     sinks.sink_intel_export(history, v.v_ioc(s, d), path, format=kind)
-    reader = s.read.option("header", True).option("rowTag", "search_history").format(kind)
-    return reader.load(f"{path}/search_history")
+    reader = s.read.option("header", True).option("rowTag", part).format(kind)
+    return reader.load(f"{path}/{part}")
 
 
 def tables_back(s, d):
@@ -192,6 +192,9 @@ QUERIES = {
     "sink_intel_export": lambda s, d: flat(export_back(s, d, "json"), "indicator", "CAST(score AS BIGINT) AS score"),
     "sink_intel_export_csv": lambda s, d: flat(export_back(s, d, "csv"), "indicator", "CAST(score AS BIGINT) AS score"),
     "sink_intel_export_xml": lambda s, d: flat(export_back(s, d, "xml"), "indicator", "CAST(score AS BIGINT) AS score"),
+    "sink_intel_export_database": lambda s, d: flat(export_back(s, d, "json", "ioc_database"), "ioc_type", "value", "id", "is_active"),
+    "sink_intel_export_totals": lambda s, d: flat(
+        export_back(s, d, "xml", "system_info"), "total_searches", "total_iocs", "export_timestamp IS NOT NULL AS dated"),
     "sink_soc_tables": lambda s, d: flat(tables_back(s, d)),
     "stream_log_source": lambda s, d: flat(log_source_stream(s, d), "raw_log AS raw"),
     "stream_parse": lambda s, d: flat(
@@ -243,6 +246,9 @@ ORACLE = {
         f"sink_intel_export{suffix}": log("SELECT source_ip AS indicator, id AS score FROM v_log ORDER BY ts DESC, source_ip LIMIT 50")
         for suffix in ("", "_csv", "_xml")
     },
+    "sink_intel_export_database": with_views("SELECT ioc_type, value, id, is_active FROM v_ioc", V_EVENT, V_IOC),
+    "sink_intel_export_totals": with_views(
+        "SELECT (SELECT count(*) FROM events) AS total_searches, (SELECT count(*) FROM v_ioc) AS total_iocs, true AS dated", V_EVENT, V_IOC),
     "sink_soc_tables": with_views("""
         SELECT name, strftime(ts, '%Y-%m-%d') AS event_date, count(*) AS n FROM v_event, (VALUES ('threat'), ('log_entry')) t(name) GROUP BY ALL""", V_EVENT),
     "stream_log_source": log("SELECT raw FROM v_log"),

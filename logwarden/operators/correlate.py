@@ -195,21 +195,18 @@ def threat_class(description: Column, threat_type: Column, classes=rules.THREAT_
             score = score + (text.contains(word) | kind.contains(word)).cast("int")
         for word in indicators:
             score = score + text.contains(word).cast("int") * 2
-        options.append(
-            F.struct(
-                F.least(score / len(keywords) * F.lit(base), F.lit(rules.MAX_CLASS_CONFIDENCE)).alias("confidence"),
-                F.lit(-order).alias("order"),
-                F.lit(name).alias("type"),
-                F.lit(severity).alias("severity"),
-                score.cast("bigint").alias("match_score"),
-            )
+        confidence = F.least(score / len(keywords) * F.lit(base), F.lit(rules.MAX_CLASS_CONFIDENCE))
+        option = F.struct(
+            confidence.alias("confidence"), F.lit(-order).alias("order"), F.lit(name).alias("type"), F.lit(severity).alias("severity"),
+            score.cast("bigint").alias("match_score"),
         )
+        options.append(F.when(confidence > rules.MIN_CLASS_CONFIDENCE, option))
     default = F.struct(
         F.lit(0.5).alias("confidence"), F.lit(0).alias("order"), F.lit("unknown").alias("type"),
         F.lit("medium").alias("severity"), F.lit(0).cast("bigint").alias("match_score"),
     )
-    good = F.filter(F.array(*options), lambda c: c["confidence"] > rules.MIN_CLASS_CONFIDENCE)
-    return F.coalesce(F.array_max(good), default)
+    # the greatest of what is not null: generated code, unlike a filter over an array
+    return F.coalesce(F.greatest(*options, F.lit(None)), default)
 
 
 @operator

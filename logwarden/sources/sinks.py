@@ -24,9 +24,15 @@ def sink_threat_csv(threats: DataFrame, path: str, mode: str = "append") -> None
 
 
 def sink_intel_export(history: DataFrame, ioc: DataFrame, path: str, format: str = "json", mode: str = "append", last: int = 50) -> None:
-    """The latest searches and the indicator counts, as ``json``, ``csv`` or ``xml`` under ``path``."""
+    """Threat intelligence as ``json``, ``csv`` or ``xml`` under ``path``, a folder for each part:
+
+    the latest searches, the indicator counts, the indicator table itself, and the totals with the time of the export.
+    """
     searches = history.orderBy(F.desc("timestamp"), "indicator").limit(last)
-    for name, rows in (("search_history", searches), ("ioc_summary", ioc_summary(ioc))):
+    database = ioc.select("ioc_type", "value", *[c for c in ("id", "threat_level", "source", "is_active", "created_at") if c in ioc.columns])
+    totals = history.agg(F.count("*").alias("total_searches")).crossJoin(ioc.agg(F.count("*").alias("total_iocs")))  # one row by one row
+    totals = totals.withColumn("export_timestamp", F.current_timestamp())
+    for name, rows in (("search_history", searches), ("ioc_summary", ioc_summary(ioc)), ("ioc_database", database), ("system_info", totals)):
         writer = rows.write.mode(mode).format(format)
         if format == "csv":
             writer = writer.option("header", True)
