@@ -133,11 +133,18 @@ def _score(k: int):
         q, v = np.stack([x for _, x in queries]), np.stack([x for _, x in rows])
         qid, vid = np.array([i for i, _ in queries]), np.array([i for i, _ in rows])
         scores = q @ v.T
-        top = np.argpartition(-scores, k - 1, axis=1)[:, :k] if len(rows) > k else np.broadcast_to(np.arange(len(rows)), (len(q), len(rows)))
-        at = np.repeat(np.arange(len(q)), top.shape[1])
-        to = top.reshape(-1)
+        least = np.full(len(q), -np.inf)
+        if len(rows) > k:
+            # a matrix product rounds in another order than the final sums: all rows that may tie with the k-th are looked at
+            margin = 1e-12 * np.linalg.norm(q, axis=1) * np.linalg.norm(v, axis=1).max()
+            least = -np.partition(-scores, k - 1, axis=1)[:, k - 1] - margin
+        at, to = np.nonzero(scores >= least[:, None])
         exact = np.concatenate([(q[at[i:i + 8192]] * v[to[i:i + 8192]]).sum(axis=1) for i in range(0, len(at), 8192)])
-        return qid[at], vid[to], exact
+        order = np.lexsort((vid[to], -exact, at))
+        at, to, exact = at[order], to[order], exact[order]
+        first = np.searchsorted(at, np.arange(len(q)))
+        kept = np.arange(len(at)) - first[at] < k
+        return qid[at[kept]], vid[to[kept]], exact[kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit, queries, rows = None, [], []

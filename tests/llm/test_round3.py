@@ -188,3 +188,20 @@ def test_piece_digest(spark, library, tmp_path):
         ids = library.encode(text or "")
         digest = lambda s: hashlib.sha256(s.encode()).hexdigest()
         assert (got[i].n_tokens, got[i].ids_sha256, got[i].decoded_sha256) == (len(ids), digest(",".join(map(str, ids))), digest(library.decode(ids)))
+
+
+def test_equal_products_go_to_the_smaller_ids():
+    import pyarrow as pa
+
+    from logwarden.llm.ann import _score
+
+    rng = np.random.default_rng(1)
+    rest = rng.normal(size=(401, 15))
+    ids = rng.permutation(400).tolist()
+    # one query and 400 different vectors whose product with it is 1, and a few above and below
+    rows = [(0, 1000, [1.0] + [0.0] * 15)] + [(1, i, [1.0, *rest[k]]) for k, i in enumerate(ids)]
+    rows += [(1, 500, [1.5, *rest[400]]), (1, 501, [0.999, *rest[400]])]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([7] * len(rows)), pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows]), pa.array([r[2] for r in rows])], ["unit", "kind", "id", "x"])
+    found = pa.Table.from_batches(list(_score(21)(iter([batch])))).to_pylist()
+    assert [r["v"] for r in found] == [500, *range(20)] and {r["q"] for r in found} == {1000}
