@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gc
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
@@ -85,21 +86,35 @@ class RankQueue:
         return rank, position
 
 
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+#: The bit of each rank inside its word, and of each word in the upper bitmap.
+_BIT = [1 << i for i in range(1 << RankQueue.BITS)]
+
+
+class Ranks:
+    """Token ranks with tables for the first look at a pre-token: ranks of single bytes and of two bytes (-1 for none)."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.get, self.one = ranks.get, [ranks.get(bytes([a]), -1) for a in range(256)]
+        self.two = [ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)]
+        self.upper = [1 << i for i in range((max(ranks.values(), default=0) >> RankQueue.BITS) + 1)]
+
+
+def merge(piece: bytes, ranks: Ranks) -> list[int]:
     """Ids of one pre-token: again and again the leftmost pair of the lowest rank becomes one token.
 
     The rank of a pair is the id of the token it becomes.  The queue is that of :class:`RankQueue`, written out here
     because calls would cost more than the work.
     """
-    get = ranks.get
+    get, bit, above = ranks.get, _BIT, ranks.upper
     if (whole := get(piece)) is not None:
         return [whole]
     n = len(piece)
     # the token that starts at i is token[i] = piece[i:end[i]], the one before it starts at left[i], and the pair that
     # starts at i has the rank pair[i], -1 for none
-    token = [ranks[piece[i:i + 1]] for i in range(n)]
+    one, two = ranks.one, ranks.two
+    token = [one[a] for a in piece]
     end, left = list(range(1, n + 1)), list(range(-1, n - 1))
-    pair = [get(piece[i:i + 2], -1) for i in range(n - 1)]
+    pair = [two[a << 8 | b] for a, b in zip(piece, piece[1:], strict=False)]
     pair.append(-1)
     buckets: dict[int, list[int]] = {}
     words: dict[int, int] = {}
@@ -112,21 +127,27 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
             else:
                 buckets[rank] = [i]
                 word = rank >> 8
-                words[word] = words.get(word, 0) | 1 << (rank & 255)
-                upper |= 1 << word
+                if word in words:
+                    words[word] |= bit[rank & 255]
+                else:
+                    words[word] = bit[rank & 255]
+                    upper |= above[word]
     while alive:
         word = (upper & -upper).bit_length() - 1
         bits = words[word]
-        rank = (word << 8) + (bits & -bits).bit_length() - 1
+        low = bits & -bits
+        rank = (word << 8) + low.bit_length() - 1
         bucket = buckets[rank]
         if len(bucket) > 1:
             i = heappop(bucket)
         else:
             i = bucket[0]
             del buckets[rank]
-            words[word] = bits = bits & (bits - 1)
-            if not bits:
-                upper &= upper - 1
+            if bits == low:
+                del words[word]
+                upper ^= above[word]
+            else:
+                words[word] = bits ^ low
         if pair[i] != rank:
             continue  # stale: one side has been merged since
         middle = end[i]
@@ -136,9 +157,10 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
         if pair[middle] >= 0:
             pair[middle] = -1
             alive -= 1
+        new = -1
         if stop < n:
             left[stop] = i
-            pair[i] = new = get(piece[i:end[stop]], -1)
+            new = get(piece[i:end[stop]], -1)
             if new >= 0:
                 alive += 1
                 if new in buckets:
@@ -146,10 +168,12 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
                 else:
                     buckets[new] = [i]
                     word = new >> 8
-                    words[word] = words.get(word, 0) | 1 << (new & 255)
-                    upper |= 1 << word
-        else:
-            pair[i] = -1
+                    if word in words:
+                        words[word] |= bit[new & 255]
+                    else:
+                        words[word] = bit[new & 255]
+                        upper |= above[word]
+        pair[i] = new
         i = left[i]
         if i >= 0:
             old, new = pair[i], get(piece[i:stop], -1)
@@ -162,8 +186,11 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
                     else:
                         buckets[new] = [i]
                         word = new >> 8
-                        words[word] = words.get(word, 0) | 1 << (new & 255)
-                        upper |= 1 << word
+                        if word in words:
+                            words[word] |= bit[new & 255]
+                        else:
+                            words[word] = bit[new & 255]
+                            upper |= above[word]
     out, i = [], 0
     while i < n:
         out.append(token[i])
@@ -171,9 +198,19 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+def _is_latin(text: str) -> bool:
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks, self.split = ranks, regex.compile(pattern)
+        self.ranks, self.table, self.split = ranks, Ranks(ranks), regex.compile(pattern)
         self.known: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -181,7 +218,7 @@ class Encoder:
         """Ids of a pre-token as little-endian 32-bit numbers."""
         packed = self.known.get(piece) or self.old.get(piece)
         if packed is None:
-            found = merge(piece.encode(), self.ranks)
+            found = merge(piece.encode(), self.table)
             packed = pack(f"<{len(found)}I", *found)
         if len(piece) <= CACHED_CHARS:
             if len(self.known) >= CACHED:
@@ -191,9 +228,7 @@ class Encoder:
 
     def pieces(self, text: str) -> Iterator[str]:
         """The matches of the pattern, one after another."""
-        try:
-            text.encode("latin-1")  # the usual texts, tested fast
-        except UnicodeEncodeError:
+        if not _is_latin(text):  # the usual texts, tested fast
             if _UNASSIGNED.search(text):
                 spans = self.split.finditer(_UNASSIGNED.sub(_STAND_IN, text))
                 return (text[m.start():m.end()] for m in spans)
@@ -208,6 +243,17 @@ class Encoder:
             parts.append(b"".join([known.get(p) or self.ids(p) for p in some]))
         return b"".join(parts)
 
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text.  Merging makes many short-lived lists and no cycles: the cycle collector would only walk
+        through the known pre-tokens again and again, so it rests meanwhile."""
+        resting = gc.isenabled()
+        gc.disable()
+        try:
+            return [self.encode(t) if t else b"" for t in texts]
+        finally:
+            if resting:
+                gc.enable()
+
 
 @lru_cache(1)
 def encoder_of(ranks: str, pattern: str) -> Encoder:
@@ -216,14 +262,26 @@ def encoder_of(ranks: str, pattern: str) -> Encoder:
 
 
 class Decoder:
+    """All tokens' bytes in one array, with the start and the length of each; a text is gathered from it."""
+
     def __init__(self, ranks: dict[bytes, int]):
-        self.tokens = [b""] * (max(ranks.values(), default=-1) + 1)
+        tokens = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
-            self.tokens[rank] = token
+            tokens[rank] = token
+        self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
+        self.lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        self.starts = np.cumsum(self.lengths) - self.lengths
 
     def decode(self, ids: bytes) -> bytes:
         numbers = np.frombuffer(ids, dtype="<u4")
-        return b"".join(b"".join(map(self.tokens.__getitem__, numbers[i:i + SLICE].tolist())) for i in range(0, len(numbers), SLICE))
+        return b"".join(self._gather(numbers[i:i + SLICE]) for i in range(0, len(numbers), SLICE))
+
+    def _gather(self, numbers: np.ndarray) -> bytes:
+        lengths = self.lengths[numbers]
+        ends = np.cumsum(lengths)
+        at = np.repeat(self.starts[numbers] - ends + lengths, lengths)
+        at += np.arange(len(at))
+        return self.bytes[at].tobytes()
 
 
 def encode_column(text: Column, ranks: str, pattern: str) -> Column:
@@ -236,7 +294,7 @@ def encode_column(text: Column, ranks: str, pattern: str) -> Column:
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = encoder_of(ranks, pattern)
         for batch in batches:
-            yield pd.Series([encoder.encode(t) if t else b"" for t in batch], dtype=object)
+            yield pd.Series(encoder.encode_all(batch.tolist()), dtype=object)
 
     return encode(text)
 
@@ -267,7 +325,7 @@ def tokenize(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id",
         for batch in batches:
             for start in range(0, batch.num_rows, OUT_ROWS):
                 some = batch.slice(start, OUT_ROWS)
-                ids = [encoder.encode(t) if t else b"" for t in some.column(1).to_pylist()]
+                ids = encoder.encode_all(some.column(1).to_pylist())
                 decoded = pa.array([decoder.decode(x) for x in ids], pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [some.column(0), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64()), decoded], ["id", "ids", "n_tokens", "decoded"])
