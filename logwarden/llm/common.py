@@ -34,22 +34,28 @@ def bounded_batches(spark: SparkSession, most: int = 8 << 20) -> None:
         spark.conf.set(name, str(most))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, group: str = "") -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
     This cuts the lineage (a lost executor costs no recomputation of earlier stages), and as Spark knows the size
     of the files, a small table is broadcast only after Spark's own size check.  The folders stay under
-    ``<spark.checkpoint.dir>/logwarden-llm/``, because lazy results read them; see :func:`clear_stored`.
+    ``<spark.checkpoint.dir>/logwarden-llm/``, because lazy results read them; see :func:`clear_stored`.  Tables of one
+    ``group`` can be removed together.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/logwarden-llm/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark)}/logwarden-llm/{group}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def clear_stored(spark: SparkSession) -> None:
-    """Remove what :func:`stored` wrote; call it when the results have been written elsewhere."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark)}/logwarden-llm")
+def new_group(name: str) -> str:
+    """A name for the tables of one call."""
+    return f"{name}-{uuid.uuid4().hex}"
+
+
+def clear_stored(spark: SparkSession, group: str = "") -> None:
+    """Remove what :func:`stored` wrote, or one group of it; call it when the results have been written elsewhere."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark)}/logwarden-llm/{group}")
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

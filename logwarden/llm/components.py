@@ -23,18 +23,18 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(own).where("u < v").distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, group: str = "") -> DataFrame:
     """(node, component) for every node of ``edges`` (u, v with u < v); the component is its smallest node.
 
     Each round is a few grouped joins whose partial minima keep a node with many neighbours cheap, and is written
     before the next, which takes the number of rounds to the logarithm of the longest path.  Ends when a round changes
-    nothing.
+    nothing.  The result reads tables stored in ``group``.
     """
     mark = lambda e: e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    edges = stored(edges.select("u", "v").distinct(), "links")
+    edges = stored(edges.select("u", "v").distinct(), "links", group)
     seen = mark(edges)
     while seen[0]:
-        edges = stored(_small_star(_large_star(edges)), "stars")
+        edges = stored(_small_star(_large_star(edges)), "stars", group)
         now = mark(edges)
         if now == seen:
             break

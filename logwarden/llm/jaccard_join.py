@@ -10,13 +10,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logwarden.llm.common import BITMAP_BITS, bounded_batches, in_bitmap, key_bitmap, stored
+from logwarden.llm.common import BITMAP_BITS, bounded_batches, clear_stored, in_bitmap, key_bitmap, new_group, stored
 from logwarden.llm.components import components
 from logwarden.llm.shingles import U, mix, shingle_sets
 
 #: Counters of the shingle frequencies.  They only set the order in which a set's shingles are looked at, so their
-#: number affects the work and never the result.
-COUNTERS = 1 << 18
+#: number affects the work and never the result.  They are counted and sent in pieces; a level takes one byte.
+COUNTERS, PIECE = 1 << 22, 1 << 16
 #: Size of the bitmaps that spare work (4 KiB a bucket), whatever the input's size.
 TILE_BUCKETS, SET_BUCKETS = 1024, 256
 #: Rows of a tile that are compared with each other at a time.
@@ -27,20 +27,34 @@ TURNS = 2
 
 
 def frequencies(texts: DataFrame, k: int) -> np.ndarray:
-    """How often shingles with each counter's number occur in the sets of all documents."""
+    """The whole part of the logarithm to base 2 of how often shingles with each counter's number occur in all sets."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(COUNTERS, np.int64)
+        total = np.zeros(COUNTERS, np.uint32)
         for batch in batches:
             for held in shingle_sets(batch.column(0), k):
-                np.add.at(total, (held & U(COUNTERS - 1)).astype(np.int64), 1)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["at", "n"])
+                np.add.at(total, (held & U(COUNTERS - 1)).astype(np.int64), np.uint32(1))
+        for at in range(COUNTERS // PIECE):
+            piece = total[at * PIECE:(at + 1) * PIECE]
+            if piece.any():
+                narrow = piece.astype(np.min_scalar_type(int(piece.max())))
+                yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([narrow.tobytes()], pa.binary())], ["at", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}  # at most COUNTERS numbers
+        for batch in batches:
+            for at, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                held = total.setdefault(at, np.zeros(PIECE, np.int64))
+                held += np.frombuffer(counts, f"u{len(counts) // PIECE}")
+        for at, held in total.items():
+            levels = np.floor(np.log2(np.maximum(held, 1))).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([levels.tobytes()], pa.binary())], ["at", "levels"])
 
-    rows = texts.select("text").mapInArrow(count, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
-    total = np.zeros(COUNTERS, np.int64)  # at most COUNTERS rows came
-    total[rows["at"].to_numpy(dtype=np.int64)] = rows["n"].to_numpy(dtype=np.int64)
-    return total
+    pieces = texts.select("text").mapInArrow(count, "at int, counts binary").repartition("at").mapInArrow(add, "at int, levels binary")
+    level = np.zeros(COUNTERS, np.uint8)
+    for row in pieces.toLocalIterator():  # at most COUNTERS / PIECE rows of 64 KiB
+        level[row["at"] * PIECE:(row["at"] + 1) * PIECE] = np.frombuffer(row["levels"], np.uint8)
+    return level
 
 
 def bands(num: int, den: int, largest: int = 1 << 40) -> list[int]:
@@ -76,7 +90,7 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def set_table(texts: DataFrame, k: int, num: int, den: int, counts: np.ndarray) -> DataFrame:
+def set_table(texts: DataFrame, k: int, num: int, den: int, levels: np.ndarray) -> DataFrame:
     """(doc_id, h, n, d1, d2, sketch, tiles) of every document: set size, 128-bit digest, signature and tiles.
 
     A tile is a shingle and a size band.  With its shingles ordered from rare to frequent, a set must share one of
@@ -85,9 +99,10 @@ def set_table(texts: DataFrame, k: int, num: int, den: int, counts: np.ndarray)
     tiles of its own band, the shorter to those of the next.
     """
     starts = np.array(bands(num, den))
-    level = np.floor(np.log2(np.maximum(counts, 1))).astype(U) << U(56)
+    shared = texts.sparkSession.sparkContext.broadcast(levels)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        level = shared.value
         for batch in batches:
             sizes, d1, d2, sketches, tiles = [], [], [], [], []
             for held in shingle_sets(batch.column(2), k):
@@ -101,7 +116,7 @@ def set_table(texts: DataFrame, k: int, num: int, den: int, counts: np.ndarray)
                     continue
                 sketches.append(signature(held))
                 mixed = mix(held + U(77))
-                order = level[(held & U(COUNTERS - 1)).astype(np.int64)] | mixed >> U(8)
+                order = level[(held & U(COUNTERS - 1)).astype(np.int64)].astype(U) << U(56) | mixed >> U(8)
                 long, short = n + num * n // -den + 1, n + 2 * num * n // -(num + den) + 1
                 first = np.argpartition(order, long - 1)[:long] if long < n else np.arange(n)
                 first = mixed[first[np.argsort(order[first])]]
@@ -173,32 +188,42 @@ class _Join:
     def __init__(self, texts: DataFrame, k: int, num: int, den: int):
         bounded_batches(texts.sparkSession)
         self.texts, self.k, self.num, self.den = texts, k, num, den
-        counts = frequencies(texts, k)
-        made = set_table(texts, k, num, den, counts)
-        self.sets = stored(made.withColumn("rid", F.monotonically_increasing_id()), "jaccard-sets")
+        #: tables of this call, removed when its result is written, or earlier
+        self.group = new_group("jaccard")
+        made = set_table(texts, k, num, den, frequencies(texts, k))
+        self.sets = self.stored(made.withColumn("rid", F.monotonically_increasing_id()), "jaccard-sets")
         held = self.sets.where("n > 0")
         # equal sets are one node, named by the smallest row number
-        self.classes = stored(held.groupBy("d1", "d2").agg(
+        self.classes = self.stored(held.groupBy("d1", "d2").agg(
             F.min("rid").alias("node"), F.count("*").alias("members"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "h")).alias("least")).select(
             "d1", "d2", "node", "members", F.col("least.doc_id").alias("least_id"), F.col("least.h").alias("h")), "jaccard-classes")
-        copies = stored(held.select("d1", "d2", "rid").join(self.classes.where("members > 1"), ["d1", "d2"])
+        copies = self.stored(held.select("d1", "d2", "rid").join(self.classes.where("members > 1"), ["d1", "d2"])
                         .where("rid != node").select("rid"), "jaccard-copies")
         self.nodes = held.join(copies, "rid", "left_anti")
 
+    def stored(self, df: DataFrame, name: str, part: str = "") -> DataFrame:
+        return stored(df, name, f"{self.group}/{part}")
+
+    def clear(self, part: str = "") -> None:
+        """Remove the tables of a finished part, or of the whole call."""
+        clear_stored(self.texts.sparkSession, f"{self.group}/{part}")
+
     def members(self) -> DataFrame:
         """(tile, rid, lo, hi) of the tiles that hold at least two nodes; lo and hi are its first and last."""
         rows = self.nodes.select("rid", F.explode("tiles").alias("tile"))
-        shared = stored(rows.groupBy("tile").agg(F.min("rid").alias("lo"), F.max("rid").alias("hi")).where("lo < hi"), "jaccard-tiles")
-        bitmap = stored(key_bitmap(shared, "tile", TILE_BUCKETS), "jaccard-tile-bits")
+        shared = self.stored(rows.groupBy("tile").agg(F.min("rid").alias("lo"), F.max("rid").alias("hi")).where("lo < hi"), "jaccard-tiles", "tiles")
+        bitmap = self.stored(key_bitmap(shared, "tile", TILE_BUCKETS), "jaccard-tile-bits", "tiles")
         maybe = in_bitmap(rows, "tile", bitmap, TILE_BUCKETS, "maybe").where("maybe").drop("maybe")
-        return stored(maybe.join(shared, "tile"), "jaccard-members")
+        members = self.stored(maybe.join(shared, "tile"), "jaccard-members")
+        self.clear("tiles")
+        return members
 
     def may_link(self, pairs: DataFrame) -> DataFrame:
         side = lambda c: self.nodes.select(F.col("rid").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
         sized = pairs.join(side("u").drop("su"), "u").join(side("v").drop("sv"), "v").where(
             self.den * F.least("nu", "nv") >= self.num * F.greatest("nu", "nv")).select("u", "v")
         both = sized.join(side("u"), "u").join(side("v"), "v")
-        return stored(both.mapInPandas(_may_link(self.num, self.den), "u long, v long"), "jaccard-pairs")
+        return self.stored(both.mapInPandas(_may_link(self.num, self.den), "u long, v long"), "jaccard-pairs")
 
     def whole_sets(self, pairs: DataFrame) -> DataFrame:
         """(rid, held) of the nodes in ``pairs``: their sorted shingle hashes, made again from the texts.
@@ -206,7 +231,7 @@ class _Join:
         A bitmap of fixed size picks the texts in the scan's tasks; only the sets of these are shuffled.
         """
         wanted = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
-        wanted = stored(self.classes.join(wanted, "node").select("d1", "d2", "h", "node"), "jaccard-wanted")
+        wanted = self.stored(self.classes.join(wanted, "node").select("d1", "d2", "h", "node"), "jaccard-wanted", "held")
         keyed = wanted.select(F.col("d1").bitwiseXOR(F.col("h")).alias("key"))
         bits = np.zeros(SET_BUCKETS * BITMAP_BITS // 8, np.uint8)
         for row in key_bitmap(keyed, "key", SET_BUCKETS).toLocalIterator():  # at most SET_BUCKETS rows of 4 KiB
@@ -234,8 +259,8 @@ class _Join:
                          pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([r[3] for r in some])))], ["d1", "d2", "h", "held"])
 
         made = self.texts.select("h", "text").mapInArrow(make, "d1 long, d2 long, h long, held array<long>")
-        return stored(made.groupBy("d1", "d2", "h").agg(F.first("held").alias("held")).join(wanted, ["d1", "d2", "h"])
-                      .select(F.col("node").alias("rid"), "held"), "jaccard-held")
+        return self.stored(made.groupBy("d1", "d2", "h").agg(F.first("held").alias("held")).join(wanted, ["d1", "d2", "h"])
+                      .select(F.col("node").alias("rid"), "held"), "jaccard-held", "held")
 
     def linked(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose sets reach the threshold, by the intersection of their sorted arrays."""
@@ -258,7 +283,14 @@ class _Join:
                 yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
         both = pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "su", "sv")
-        return stored(both.mapInArrow(exact, "u long, v long"), "jaccard-links")
+        links = self.stored(both.mapInArrow(exact, "u long, v long"), "jaccard-links")
+        self.clear("held")
+        return links
+
+    def components(self, links: DataFrame, name: str) -> DataFrame:
+        found = self.stored(components(links, f"{self.group}/stars"), name)
+        self.clear("stars")
+        return found
 
     def open_tiles(self, members: DataFrame, found: DataFrame) -> DataFrame:
         """(tile, rid, part, size) of the tiles of four nodes or more that hold several components.
@@ -267,9 +299,13 @@ class _Join:
         """
         parts = found.select(F.col("node").alias("rid"), F.col("component").alias("part"))
         rows = members.select("tile", "rid").join(parts, "rid", "left").withColumn("part", F.coalesce("part", "rid"))
-        rows = stored(rows, "jaccard-parts")
+        self.clear("open")  # of the turn before
+        rows = self.stored(rows, "jaccard-parts", "parts")
         mixed = rows.groupBy("tile").agg(F.count("*").alias("size"), F.min("part").alias("a"), F.max("part").alias("b")).where("a < b AND size > 3")
-        return stored(rows.join(stored(mixed.select("tile", "size"), "jaccard-open"), "tile"), "jaccard-open-rows")
+        mixed = self.stored(mixed.select("tile", "size"), "jaccard-mixed", "parts")
+        open_ = self.stored(rows.join(mixed, "tile"), "jaccard-open", "open")
+        self.clear("parts")
+        return open_
 
     def new_stars(self, open_: DataFrame, turn: int) -> DataFrame:
         """Pairs of a node drawn by hash in each open tile with the tile's nodes of other components.
@@ -294,13 +330,13 @@ class _Join:
             (F.col("own") == high).cast("int").alias("side"), (F.col("own") == F.col("other")).alias("same"))
         runs = dealt.repartition("unit").sortWithinPartitions("unit")
         pairs = runs.mapInPandas(_blocks(self.num, self.den), "u long, v long").distinct()
-        return stored(pairs.join(tested, ["u", "v"], "left_anti"), "jaccard-crossing")
+        return self.stored(pairs.join(tested, ["u", "v"], "left_anti"), "jaccard-crossing")
 
     def labels(self) -> DataFrame:
         members = self.members()
         stars = members.select(F.col("lo").alias("u"), F.col("rid").alias("v")).union(members.select(F.col("rid").alias("u"), F.col("hi").alias("v")))
         tested = self.may_link(stars.where("u < v").distinct())
-        found = stored(components(self.linked(tested)), "jaccard-stars")
+        found = self.components(self.linked(tested), "jaccard-stars")
         open_ = self.open_tiles(members, found)
         for turn in range(TURNS):
             pairs = self.may_link(self.new_stars(open_, turn).join(tested, ["u", "v"], "left_anti"))
@@ -310,12 +346,12 @@ class _Join:
             links = self.linked(pairs)
             if links.isEmpty():
                 break
-            found = stored(components(_edges(found).union(links)), "jaccard-stars")
+            found = self.components(_edges(found).union(links), "jaccard-stars")
             open_ = self.open_tiles(members, found)
         more = self.crossing(open_, tested)
         if more.isEmpty():
             return found
-        return stored(components(_edges(found).union(self.linked(more))), "jaccard-components")
+        return self.components(_edges(found).union(self.linked(more)), "jaccard-components")
 
 
 def jaccard_groups(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (80, 100), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -340,9 +376,12 @@ def jaccard_groups(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (80
     join = _Join(texts, k, *threshold)
     labels = join.labels()
     classes = join.classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    classes = stored(classes.select("d1", "d2", "component", "least_id"), "jaccard-labels")
+    classes = join.stored(classes.select("d1", "d2", "component", "least_id"), "jaccard-labels")
     least = classes.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    named = stored(classes.join(least, "component").select("d1", "d2", F.lit(True).alias("full"), "component_id"), "jaccard-named")
+    named = join.stored(classes.join(least, "component").select("d1", "d2", F.lit(True).alias("full"), "component_id"), "jaccard-named")
     rows = join.sets.select("doc_id", "n", "d1", "d2").join(named, (join.sets["d1"] == named["d1"]) & (join.sets["d2"] == named["d2"]) & (F.col("n") > 0), "left")
     component = F.when(F.col("full"), F.col("component_id")).otherwise(F.col("doc_id"))
-    return rows.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
+    rows = rows.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
+    rows = stored(rows, "jaccard-rows")
+    join.clear()
+    return rows
