@@ -15,7 +15,7 @@ from logwarden.llm.bpe import tokenize
 from logwarden.llm.common import stored, table
 from logwarden.llm.exact_dedup import exact_dedup
 from logwarden.llm.jaccard_join import jaccard_groups
-from logwarden.llm.mixing import mix_sources
+from logwarden.llm.mixing import mixed_rows
 from logwarden.llm.q_tables import vocabulary
 from logwarden.llm.quality import keep_quality
 
@@ -42,9 +42,7 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each source near its target: rows are left out, or repeated as often as the mix takes them."""
-    taken = mix_sources(docs, WEIGHTS, BUDGET_RATIO, MAX_REPEATS).select("doc_id", "repeats").where("repeats > 0").distinct()
-    joined = docs.join(taken, docs["doc_id"].eqNullSafe(taken["doc_id"])).drop(taken["doc_id"])
-    return joined.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("repeats"))).alias("_time")).drop("_time")
+    return mixed_rows(docs, WEIGHTS, BUDGET_RATIO, MAX_REPEATS)
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
