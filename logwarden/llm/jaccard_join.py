@@ -18,7 +18,12 @@ from logwarden.llm.shingles import U, mix, shingle_sets
 #: number affects the work and never the result.  They are counted and sent in pieces; a level takes one byte.
 COUNTERS, PIECE = 1 << 22, 1 << 16
 #: Size of the bitmaps that spare work (4 KiB a bucket), whatever the input's size.
-TILE_BUCKETS, SET_BUCKETS = 1024, 256
+NODE_BUCKETS, SET_BUCKETS = 1024, 256
+#: Tiles are dealt out in at least 2^8 pieces and at most 2^16, of about as many tiles each; a tile's name has 32 bits
+#: inside its piece.  Tiles that share a name cost comparisons and change no result.
+PIECE_BITS, PIECE_TILES, TILE_BYTES = 8, 1 << 20, 6
+#: Tiles that a task holds before it hands them on.
+HELD_TILES = 1 << 20
 #: Rows of a tile that are compared with each other at a time.
 BLOCK = 256
 #: How often tiles that still hold several components choose another centre before their pairs are compared in blocks.
@@ -91,7 +96,7 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def set_table(texts: DataFrame, k: int, num: int, den: int, levels: np.ndarray) -> DataFrame:
-    """(doc_id, h, n, d1, d2, sketch, tiles) of every document: set size, 128-bit digest, signature and tiles.
+    """(doc_id, h, n, d1, d2, sketch, tiles) of every document: set size, 128-bit digest, signature and tiles (six bytes each).
 
     A tile is a shingle and a size band.  With its shingles ordered from rare to frequent, a set must share one of
     its first n - ceil(threshold x n) + 1 with every linked set that is not larger, and one of its first
@@ -121,16 +126,87 @@ def set_table(texts: DataFrame, k: int, num: int, den: int, levels: np.ndarray)
                 first = np.argpartition(order, long - 1)[:long] if long < n else np.arange(n)
                 first = mixed[first[np.argsort(order[first])]]
                 band = int(np.searchsorted(starts, n, "right"))
-                tiles.append(_signed(np.concatenate([mix(first + U(band)), mix(first[:short] + U(band + 1))])))
-            ends = np.cumsum([0, *(0 if t is None else len(t) for t in tiles)])
-            flat = np.concatenate([t for t in tiles if t is not None]) if ends[-1] else np.zeros(0, np.int64)
+                both = np.concatenate([mix(first + U(band)), mix(first[:short] + U(band + 1))])
+                tiles.append(both.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :TILE_BYTES].tobytes())
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(_signed(np.array(d1, U))), pa.array(_signed(np.array(d2, U))),
-                pa.array(sketches, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
+                pa.array(sketches, pa.binary()), pa.array(tiles, pa.binary())],
                 ["doc_id", "h", "n", "d1", "d2", "sketch", "tiles"])
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.select("doc_id", "h", "text").mapInArrow(make, f"doc_id {kind}, h long, n long, d1 long, d2 long, sketch binary, tiles array<long>")
+    return texts.select("doc_id", "h", "text").mapInArrow(make, f"doc_id {kind}, h long, n long, d1 long, d2 long, sketch binary, tiles binary")
+
+
+def _dealt(bits: int):
+    """(piece, base, tiles, nodes): tiles of rows (rid, tiles) sorted by name; nodes are numbers of 16 bits from ``base``."""
+
+    def flush(base: int, rids: list[np.ndarray], tiles: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        rid, tile = np.concatenate(rids), np.concatenate(tiles)
+        order = np.argsort(tile)
+        rid, tile = rid[order], tile[order]
+        cuts = np.searchsorted(tile, np.arange((1 << bits) + 1, dtype=U) << U(32))
+        low = tile.astype(np.uint32)
+        pieces = np.flatnonzero(cuts[1:] > cuts[:-1])
+        for start in range(0, len(pieces), 64):
+            some = pieces[start:start + 64].tolist()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(some, pa.int32()), pa.array([base] * len(some), pa.int64()),
+                 *(pa.array([x[cuts[i]:cuts[i + 1]].tobytes() for i in some], pa.binary()) for x in (low, rid))], ["piece", "base", "tiles", "nodes"])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base, held, rids, tiles = None, 0, [], []
+        for batch in batches:
+            for rid, own in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if held and (rid >> 16 << 16 != base or held >= HELD_TILES):
+                    yield from flush(base, rids, tiles)
+                    held, rids, tiles = 0, [], []
+                base = rid >> 16 << 16
+                raw = np.frombuffer(own.as_buffer(), np.uint8).reshape(-1, TILE_BYTES)
+                names = np.zeros((len(raw), 8), np.uint8)
+                names[:, :TILE_BYTES] = raw
+                tiles.append(names.view("<u8").ravel() & U((1 << bits + 32) - 1))
+                rids.append(np.full(len(raw), rid - base, np.uint16))
+                held += len(raw)
+        if held:
+            yield from flush(base, rids, tiles)
+
+    return deal
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(tile, rid, lo, hi, size) of the tiles with several nodes, from rows of :func:`_dealt` in the order of pieces.
+
+    A task holds one piece, and of a node in it twelve bytes.
+    """
+
+    def members(piece: int, parts: list[tuple[int, bytes, bytes]]) -> Iterator[pa.RecordBatch]:
+        low = np.concatenate([np.frombuffer(t, np.uint32) for _, t, _ in parts])
+        rid = np.concatenate([np.frombuffer(r, np.uint16).astype(np.int64) + base for base, _, r in parts])
+        order = np.lexsort((rid, low))
+        low, rid = low[order], rid[order]
+        fresh = np.ones(len(low), bool)
+        fresh[1:] = (low[1:] != low[:-1]) | (rid[1:] != rid[:-1])
+        low, rid = low[fresh], rid[fresh]
+        starts = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
+        sizes = np.diff(np.append(starts, len(low)))
+        size = np.repeat(sizes, sizes)
+        keep = size > 1
+        lo, hi = np.repeat(rid[starts], sizes), np.repeat(rid[starts + sizes - 1], sizes)
+        tile = low.astype(np.int64) + (piece << 32)
+        columns = [x[keep] for x in (tile, rid, lo, hi, size)]
+        for start in range(0, len(columns[0]), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(x[start:start + (1 << 16)]) for x in columns], ["tile", "rid", "lo", "hi", "size"])
+
+    now, parts = None, []
+    for batch in batches:
+        for piece, *part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if piece != now and parts:
+                yield from members(now, parts)
+                parts = []
+            now = piece
+            parts.append(tuple(part))
+    if parts:
+        yield from members(now, parts)
 
 
 def _may_link(num: int, den: int):
@@ -209,21 +285,34 @@ class _Join:
         clear_stored(self.texts.sparkSession, f"{self.group}/{part}")
 
     def members(self) -> DataFrame:
-        """(tile, rid, lo, hi) of the tiles that hold at least two nodes; lo and hi are its first and last."""
-        rows = self.nodes.select("rid", F.explode("tiles").alias("tile"))
-        shared = self.stored(rows.groupBy("tile").agg(F.min("rid").alias("lo"), F.max("rid").alias("hi")).where("lo < hi"), "jaccard-tiles", "tiles")
-        bitmap = self.stored(key_bitmap(shared, "tile", TILE_BUCKETS), "jaccard-tile-bits", "tiles")
-        maybe = in_bitmap(rows, "tile", bitmap, TILE_BUCKETS, "maybe").where("maybe").drop("maybe")
-        members = self.stored(maybe.join(shared, "tile"), "jaccard-members")
-        self.clear("tiles")
-        return members
+        """(tile, rid, lo, hi, size) of the tiles that hold at least two nodes; lo and hi are its first and last.
+
+        Tiles are shuffled in sorted runs, some six bytes for a node in a tile; a run has the tiles of one task.
+        """
+        rows = self.nodes.select("rid", "tiles")
+        count = self.sets.agg(F.sum(F.octet_length("tiles"))).first()[0] or 0
+        bits = min(max((count // TILE_BYTES // PIECE_TILES).bit_length(), PIECE_BITS), 16)
+        runs = rows.mapInArrow(_dealt(bits), "piece int, base long, tiles binary, nodes binary").repartition("piece").sortWithinPartitions("piece")
+        return self.stored(runs.mapInArrow(_gathered, "tile long, rid long, lo long, hi long, size long"), "jaccard-members")
+
+    def signed(self, rids: DataFrame) -> DataFrame:
+        """(rid, n, sketch) of the nodes in ``rids`` (rid) and a few more: a bitmap keeps most others out of the shuffle."""
+        key = F.xxhash64("rid").alias("key")
+        bits = self.stored(key_bitmap(rids.select(key), "key", NODE_BUCKETS), "jaccard-node-bits", "bits")
+        rows = in_bitmap(self.nodes.select("rid", "n", "sketch", key), "key", bits, NODE_BUCKETS, "maybe")
+        return rows.where("maybe").select("rid", "n", "sketch")
 
     def may_link(self, pairs: DataFrame) -> DataFrame:
-        side = lambda c: self.nodes.select(F.col("rid").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
-        sized = pairs.join(side("u").drop("su"), "u").join(side("v").drop("sv"), "v").where(
-            self.den * F.least("nu", "nv") >= self.num * F.greatest("nu", "nv")).select("u", "v")
-        both = sized.join(side("u"), "u").join(side("v"), "v")
-        return self.stored(both.mapInPandas(_may_link(self.num, self.den), "u long, v long"), "jaccard-pairs")
+        size = lambda c: self.nodes.select(F.col("rid").alias(c), F.col("n").alias(f"n{c}"))
+        sized = pairs.join(size("u"), "u").join(size("v"), "v").where(
+            self.den * F.least("nu", "nv") >= self.num * F.greatest("nu", "nv")).select("u", "v", "nu", "nv")
+        sized = self.stored(sized, "jaccard-sized", "sized")
+        signed = self.signed(sized.select(F.col("u").alias("rid")).union(sized.select(F.col("v").alias("rid"))))
+        side = lambda c: signed.select(F.col("rid").alias(c), F.col("sketch").alias(f"s{c}"))
+        both = sized.join(side("u"), "u").join(side("v"), "v").select("u", "v", "nu", "nv", "su", "sv")
+        found = self.stored(both.mapInPandas(_may_link(self.num, self.den), "u long, v long"), "jaccard-pairs")
+        self.clear("sized")
+        return found
 
     def whole_sets(self, pairs: DataFrame) -> DataFrame:
         """(rid, held) of the nodes in ``pairs``: their sorted shingle hashes, made again from the texts.
@@ -298,11 +387,13 @@ class _Join:
         The pairs of smaller tiles all have its first or last node, so they have been tested.
         """
         parts = found.select(F.col("node").alias("rid"), F.col("component").alias("part"))
-        rows = members.select("tile", "rid").join(parts, "rid", "left").withColumn("part", F.coalesce("part", "rid"))
+        rows = members.where("size > 3").select("tile", "rid", "size").join(parts, "rid", "left").withColumn("part", F.coalesce("part", "rid"))
         self.clear("open")  # of the turn before
         rows = self.stored(rows, "jaccard-parts", "parts")
-        mixed = rows.groupBy("tile").agg(F.count("*").alias("size"), F.min("part").alias("a"), F.max("part").alias("b")).where("a < b AND size > 3")
-        mixed = self.stored(mixed.select("tile", "size"), "jaccard-mixed", "parts")
+        held = [F.bit_xor(F.xxhash64("rid", F.lit(i))).alias(f"x{i}") for i in range(2)]
+        mixed = rows.groupBy("tile", "size").agg(F.min("part").alias("a"), F.max("part").alias("b"), *held).where("a < b")
+        # tiles of the same nodes (a 128-bit digest, as for sets) are one
+        mixed = self.stored(mixed.groupBy("size", "x0", "x1").agg(F.min("tile").alias("tile")).select("tile"), "jaccard-mixed", "parts")
         open_ = self.stored(rows.join(mixed, "tile"), "jaccard-open", "open")
         self.clear("parts")
         return open_
@@ -319,7 +410,7 @@ class _Join:
 
     def crossing(self, open_: DataFrame, tested: DataFrame) -> DataFrame:
         """Pairs of different components in open tiles, compared in blocks by their signatures."""
-        open_ = open_.join(self.nodes.select("rid", "n", "sketch"), "rid")
+        open_ = open_.join(self.signed(open_.select("rid")), "rid")
         # a tile of many rows is dealt out to pairs of blocks
         blocks = F.ceil(F.col("size") / BLOCK).cast("int")
         own = F.pmod(F.xxhash64("rid"), blocks).cast("int")

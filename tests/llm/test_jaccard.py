@@ -2,11 +2,12 @@
 
 import itertools
 import random
+from collections import defaultdict
 
 import pytest
 
 from logwarden.llm.components import components
-from logwarden.llm.jaccard_join import jaccard_groups
+from logwarden.llm.jaccard_join import TILE_BYTES, _Join, jaccard_groups
 from tests.llm.test_tables import docs_of
 
 SPACES = " \t\n\x0b\x0c\r"
@@ -93,3 +94,24 @@ def test_chain_of_links(spark):
     got = dict(map(tuple, components(spark.createDataFrame(edges, "u long, v long")).collect()))
     assert got == {i: 0 for i in range(201)} | {i: 500 for i in (500, 600, 650, 700)} | {1000 + i: 1000 for i in range(300)}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_tiles_in_runs(spark, monkeypatch):
+    """Tiles shuffled as sorted runs are the groups of equal tiles, and of tiles with the same nodes one is left open."""
+    monkeypatch.setattr("logwarden.llm.jaccard_join.HELD_TILES", 50)
+    docs = docs_of(spark, corpus(5)).selectExpr("doc_id", "xxhash64(doc_id) AS h", "text")
+    join = _Join(docs, 4, 85, 100)
+    tiles, names = defaultdict(set), (1 << 40) - 1
+    for r in join.nodes.select("rid", "tiles").collect():
+        for i in range(0, len(r.tiles), TILE_BYTES):
+            tiles[int.from_bytes(r.tiles[i:i + TILE_BYTES], "little") & names].add(r.rid)
+    members = join.members()
+    want = {(t, i, min(s), max(s), len(s)) for t, s in tiles.items() if len(s) > 1 for i in s}
+    assert set(map(tuple, members.collect())) == want and members.count() == len(want) > 0
+    alone = spark.createDataFrame([], "node long, component long")
+    held = defaultdict(set)
+    for r in join.open_tiles(members, alone).collect():
+        held[r.tile].add(r.rid)
+    large = {frozenset(s) for s in tiles.values() if len(s) > 3}
+    assert sorted(map(sorted, held.values())) == sorted(map(sorted, large))
+    join.clear()
