@@ -182,18 +182,24 @@ def repeated_words(texts: DataFrame, order: DataFrame, min_words: int) -> DataFr
 
     ``texts`` (key, text) holds each text once; ``order`` (key, row) numbers them.
     """
-    grams = _grams(texts, min_words)
-    marks = grams.select(F.explode_outer(F.array_distinct(F.transform("runs", lambda r: r["m"]))).alias("m"))
-    twice = stored(marks.where("m IS NOT NULL").groupBy("m").agg(F.count("*").alias("n")).where("n > 1").select("m"), "word-marks")
+    marks = _grams(texts, min_words).select("key", "repeats", F.array_distinct(F.transform("runs", lambda r: r["m"])).alias("ms"))
+    marks = stored(marks, "word-runs").select("key", "repeats", F.explode("ms").alias("m"))
+    twice = stored(marks.groupBy("m").agg(F.count("*").alias("n")).where("n > 1").select("m"), "word-marks")
     bits = stored(key_bitmap(twice, "m", BITMAP_BUCKETS), "word-bits")
+    # only texts that hold such a mark are looked at again
+    asked = in_bitmap(marks, "m", bits, BITMAP_BUCKETS, "maybe").where("maybe OR repeats").select("key")
+    keys = stored(key_bitmap(asked, "key", BITMAP_BUCKETS), "word-keys")
+    grams = _grams(in_bitmap(texts, "key", keys, BITMAP_BUCKETS, "asked").where("asked").select("key", "text"), min_words)
     # only places that may occur again are dealt out
     pieces = F.transform("runs", lambda r: F.struct(r["at"].alias("at"), r["m"].alias("m"), F.slice("grams", r["at"] + 1, r["n"]).alias("grams")))
     rows = grams.select("key", "repeats", F.explode_outer(pieces).alias("r")).select("key", "repeats", "r.at", "r.m", "r.grams")
-    maybe = in_bitmap(rows, "m", bits, BITMAP_BUCKETS, "maybe").where("maybe OR repeats").select("key", "at", F.posexplode_outer("grams").alias("i", "gram"))
-    places = maybe.where("gram IS NOT NULL").join(order, "key").select((F.shiftleft("row", 32) + F.col("at") + F.col("i")).alias("start"), "gram")
-    places = stored(places, "word-places")
-    groups = places.groupBy("gram").agg(F.min("start").alias("first"), F.count("*").alias("n")).where("n > 1").select("gram", "first")
-    return places.join(stored(groups, "word-groups"), "gram").where("first < start").select("start", "first")
+    maybe = in_bitmap(rows, "m", bits, BITMAP_BUCKETS, "maybe").where("maybe OR repeats").select("key", "at", "grams")
+    places = maybe.join(order, "key").select((F.shiftleft("row", 32) + F.col("at")).alias("start"), F.posexplode_outer("grams").alias("i", "gram"))
+    places = stored(places.where("gram IS NOT NULL").select((F.col("start") + F.col("i")).alias("start"), "gram"), "word-places")
+    groups = stored(places.groupBy("gram").agg(F.min("start").alias("first"), F.count("*").alias("n")).where("n > 1").select("gram", "first"), "word-groups")
+    bits = stored(key_bitmap(groups, "gram", BITMAP_BUCKETS), "word-gram-bits")
+    again = in_bitmap(places, "gram", bits, BITMAP_BUCKETS, "maybe").where("maybe").select("start", "gram")
+    return again.join(groups, "gram").where("first < start").select("start", "first")
 
 
 def _spans(later: DataFrame, min_words: int) -> DataFrame:

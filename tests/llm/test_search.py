@@ -186,3 +186,14 @@ def test_recall_on_the_table(spark):
         s = x @ x[ids == q][0]
         want |= {(q, int(ids[i])) for i in [i for i in np.lexsort((ids, -s)) if ids[i] != q][:20]}
     assert len(got & want) >= 0.9 * len(want)
+
+
+def test_only_texts_that_may_repeat_are_hashed_twice(spark, monkeypatch):
+    from logwarden.llm import line_dedup
+
+    grams, seen = line_dedup._grams, []
+    monkeypatch.setattr(line_dedup, "_grams", lambda texts, n: seen.append(texts.count()) or grams(texts, n))
+    shared = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, " ".join(f"own{i}x{k}" for k in range(70)), "s") for i in range(40)] + [(90, shared, "s"), (91, "one " + shared + " two", "s")]
+    got = {r.doc_id: r.deleted_words for r in dedup_passages(docs_of(spark, rows), 50).collect()}
+    assert got == {i: 60 * (i == 91) for i, _, _ in rows} and seen == [42, 2]
