@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logwarden.llm.common import BITMAP_BITS, bounded_batches, clear_stored, in_bitmap, key_bitmap, new_group, stored
-from logwarden.llm.components import components
+from logwarden.llm.components import stars
 from logwarden.llm.shingles import U, mix, shingle_sets
 
 #: Counters of the shingle frequencies.  They only set the order in which a set's shingles are looked at, so their
@@ -26,9 +26,9 @@ PIECE_BITS, PIECE_TILES, TILE_BYTES = 8, 1 << 20, 6
 HELD_TILES = 1 << 20
 #: Rows of a tile that are compared with each other at a time.
 BLOCK = 256
-#: How often tiles that still hold several components choose another centre before their pairs are compared in blocks.
-#: More turns only spare work.
-TURNS = 2
+#: How many other centres tiles that still hold several components draw before their pairs are compared in blocks.
+#: More draws only spare work.
+DRAWS = 2
 
 
 def frequencies(texts: DataFrame, k: int) -> np.ndarray:
@@ -57,7 +57,7 @@ def frequencies(texts: DataFrame, k: int) -> np.ndarray:
 
     pieces = texts.select("text").mapInArrow(count, "at int, counts binary").repartition("at").mapInArrow(add, "at int, levels binary")
     level = np.zeros(COUNTERS, np.uint8)
-    for row in pieces.toLocalIterator():  # at most COUNTERS / PIECE rows of 64 KiB
+    for row in pieces.collect():  # at most COUNTERS / PIECE rows of 64 KiB; toLocalIterator() runs a job for each partition
         level[row["at"] * PIECE:(row["at"] + 1) * PIECE] = np.frombuffer(row["levels"], np.uint8)
     return level
 
@@ -82,13 +82,28 @@ def signature(held: np.ndarray) -> bytes:
     return np.packbits((np.bincount(((held >> U(8)) & U(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)).tobytes()
 
 
-def at_least_different(a: np.ndarray, b: np.ndarray) -> int:
-    """A lower bound of the symmetric difference from two signatures."""
-    while len(a) > len(b):
-        a = a[:len(a) // 2] ^ a[len(a) // 2:]
-    while len(b) > len(a):
-        b = b[:len(b) // 2] ^ b[len(b) // 2:]
-    return int(np.bitwise_count(a ^ b).sum())
+def _folded(a: np.ndarray, width: int) -> np.ndarray:
+    """Rows of signatures, as words of 64 bits, folded to ``width`` words."""
+    while a.shape[1] > width:
+        a = a[:, :a.shape[1] // 2] ^ a[:, a.shape[1] // 2:]
+    return a
+
+
+def _stacked(signatures: list[bytes]) -> np.ndarray:
+    """Signatures of one length as rows of 64-bit words."""
+    return np.frombuffer(b"".join(signatures), U).reshape(len(signatures), -1)
+
+
+def at_least_different(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """A lower bound of the symmetric difference of each pair of sets, from their signatures."""
+    out = np.zeros(len(a), np.int64)
+    wide = np.array([(len(x), len(y)) for x, y in zip(a, b, strict=True)], np.int64).reshape(-1, 2)
+    for x, y in np.unique(wide, axis=0).tolist():
+        at = np.flatnonzero((wide == (x, y)).all(axis=1))
+        width = min(x, y) // 8
+        left, right = (_folded(_stacked([c[i] for i in at.tolist()]), width) for c in (a, b))
+        out[at] = np.bitwise_count(left ^ right).sum(axis=1, dtype=np.int64)
+    return out
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -214,12 +229,9 @@ def _may_link(num: int, den: int):
 
     def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            good = []
-            for a, b, x, y in zip(pdf["nu"], pdf["nv"], pdf["su"], pdf["sv"], strict=True):
-                differ = at_least_different(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8))
-                shared = (a + b - differ) // 2
-                good.append(den * shared >= num * (a + b - shared))
-            yield pdf.loc[good, ["u", "v"]]
+            total = pdf["nu"].to_numpy(np.int64) + pdf["nv"].to_numpy(np.int64)
+            shared = (total - at_least_different(pdf["su"].tolist(), pdf["sv"].tolist())) // 2
+            yield pdf.loc[den * shared >= num * (total - shared), ["u", "v"]]
 
     return keep
 
@@ -229,15 +241,29 @@ def _blocks(num: int, den: int):
 
     def pairs_of(run: pd.DataFrame) -> list[tuple[int, int]]:
         ids, n, part, side = run["rid"].to_numpy(), run["n"].to_numpy(), run["part"].to_numpy(), run["side"].to_numpy()
-        sketches = [np.frombuffer(s, np.uint8) for s in run["sketch"]]
+        sketches = run["sketch"].tolist()
+        wide = np.array([len(s) // 8 for s in sketches])
+        # for each length: where the signatures of at least this length are, and these folded to it
+        folded = {}
+        for width in np.unique(wide).tolist():
+            place, rows = np.full(len(ids), -1), []
+            for w in np.unique(wide[wide >= width]).tolist():
+                at = np.flatnonzero(wide == w)
+                place[at] = sum(map(len, rows)) + np.arange(len(at))
+                rows.append(_folded(_stacked([sketches[i] for i in at.tolist()]), width))
+            folded[width] = place, np.concatenate(rows)
         out = []
         for i in range(len(ids)):
             small, large = np.minimum(n[i], n), np.maximum(n[i], n)
             near = (ids > ids[i]) if run["same"].iat[0] else (side != side[i]) & (side[i] == 0)
-            for j in np.flatnonzero(near & (part != part[i]) & (den * small >= num * large)).tolist():
-                shared = (n[i] + n[j] - at_least_different(sketches[i], sketches[j])) // 2
-                if den * shared >= num * (n[i] + n[j] - shared):
-                    out.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+            near = np.flatnonzero(near & (part != part[i]) & (den * small >= num * large))
+            least = np.minimum(wide[near], wide[i])
+            for width in np.unique(least).tolist():
+                some, (place, rows) = near[least == width], folded[width]
+                differ = np.bitwise_count(rows[place[some]] ^ rows[place[i]]).sum(axis=1, dtype=np.int64)
+                shared = (n[i] + n[some] - differ) // 2
+                good = some[den * shared >= num * (n[i] + n[some] - shared)]
+                out += [(min(ids[i], j), max(ids[i], j)) for j in ids[good]]
         return out
 
     def run_over(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -257,7 +283,7 @@ def _blocks(num: int, den: int):
 
 def _edges(found: DataFrame) -> DataFrame:
     """Known components as links of each node to the smallest."""
-    return found.where("component < node").select(F.col("component").alias("u"), F.col("node").alias("v"))
+    return found.select(F.col("component").alias("u"), F.col("node").alias("v"))
 
 
 class _Join:
@@ -298,7 +324,7 @@ class _Join:
     def signed(self, rids: DataFrame) -> DataFrame:
         """(rid, n, sketch) of the nodes in ``rids`` (rid) and a few more: a bitmap keeps most others out of the shuffle."""
         key = F.xxhash64("rid").alias("key")
-        bits = self.stored(key_bitmap(rids.select(key), "key", NODE_BUCKETS), "jaccard-node-bits", "bits")
+        bits = key_bitmap(rids.select(key), "key", NODE_BUCKETS)
         rows = in_bitmap(self.nodes.select("rid", "n", "sketch", key), "key", bits, NODE_BUCKETS, "maybe")
         return rows.where("maybe").select("rid", "n", "sketch")
 
@@ -323,7 +349,7 @@ class _Join:
         wanted = self.stored(self.classes.join(wanted, "node").select("d1", "d2", "h", "node"), "jaccard-wanted", "held")
         keyed = wanted.select(F.col("d1").bitwiseXOR(F.col("h")).alias("key"))
         bits = np.zeros(SET_BUCKETS * BITMAP_BITS // 8, np.uint8)
-        for row in key_bitmap(keyed, "key", SET_BUCKETS).toLocalIterator():  # at most SET_BUCKETS rows of 4 KiB
+        for row in key_bitmap(keyed, "key", SET_BUCKETS).collect():  # at most SET_BUCKETS rows of 4 KiB
             bits[row["_bucket"] * 4096:(row["_bucket"] + 1) * 4096] = np.frombuffer(row["_bits"], np.uint8)
         shared, k = self.texts.sparkSession.sparkContext.broadcast(bits), self.k
 
@@ -376,10 +402,9 @@ class _Join:
         self.clear("held")
         return links
 
-    def components(self, links: DataFrame, name: str) -> DataFrame:
-        found = self.stored(components(links, f"{self.group}/stars"), name)
-        self.clear("stars")
-        return found
+    def components(self, links: DataFrame) -> DataFrame:
+        """(node, component) of the nodes that are not the smallest of theirs; the others name themselves."""
+        return stars(links, self.group).select(F.col("v").alias("node"), F.col("u").alias("component"))
 
     def open_tiles(self, members: DataFrame, found: DataFrame) -> DataFrame:
         """(tile, rid, part, size) of the tiles of four nodes or more that hold several components.
@@ -388,23 +413,24 @@ class _Join:
         """
         parts = found.select(F.col("node").alias("rid"), F.col("component").alias("part"))
         rows = members.where("size > 3").select("tile", "rid", "size").join(parts, "rid", "left").withColumn("part", F.coalesce("part", "rid"))
-        self.clear("open")  # of the turn before
+        self.clear("open")  # of the call before
         rows = self.stored(rows, "jaccard-parts", "parts")
         held = [F.bit_xor(F.xxhash64("rid", F.lit(i))).alias(f"x{i}") for i in range(2)]
         mixed = rows.groupBy("tile", "size").agg(F.min("part").alias("a"), F.max("part").alias("b"), *held).where("a < b")
         # tiles of the same nodes (a 128-bit digest, as for sets) are one
-        mixed = self.stored(mixed.groupBy("size", "x0", "x1").agg(F.min("tile").alias("tile")).select("tile"), "jaccard-mixed", "parts")
+        mixed = mixed.groupBy("size", "x0", "x1").agg(F.min("tile").alias("tile")).select("tile")
         open_ = self.stored(rows.join(mixed, "tile"), "jaccard-open", "open")
         self.clear("parts")
         return open_
 
-    def new_stars(self, open_: DataFrame, turn: int) -> DataFrame:
-        """Pairs of a node drawn by hash in each open tile with the tile's nodes of other components.
+    def new_stars(self, open_: DataFrame) -> DataFrame:
+        """Pairs of nodes drawn by hash in each open tile with the tile's nodes of other components.
 
         Every tile draws for itself, so a group that meets in many tiles is tried from many of its nodes.
         """
-        drawn = F.struct(F.xxhash64("rid", "tile", F.lit(turn)).alias("at"), F.col("rid").alias("centre"), F.col("part").alias("centre_part"))
-        centres = open_.groupBy("tile").agg(F.min(drawn).alias("least")).select("tile", "least.centre", "least.centre_part")
+        drawn = [F.struct(F.xxhash64("rid", "tile", F.lit(i)).alias("at"), F.col("rid").alias("centre"), F.col("part").alias("centre_part")) for i in range(DRAWS)]
+        centres = open_.groupBy("tile").agg(*(F.min(d).alias(f"d{i}") for i, d in enumerate(drawn)))
+        centres = centres.select("tile", F.inline(F.array(*(F.struct(F.col(f"d{i}.centre").alias("centre"), F.col(f"d{i}.centre_part").alias("centre_part")) for i in range(DRAWS)))))
         pairs = open_.join(centres, "tile").where("part != centre_part")
         return pairs.select(F.least("centre", "rid").alias("u"), F.greatest("centre", "rid").alias("v")).distinct()
 
@@ -427,22 +453,19 @@ class _Join:
         members = self.members()
         stars = members.select(F.col("lo").alias("u"), F.col("rid").alias("v")).union(members.select(F.col("rid").alias("u"), F.col("hi").alias("v")))
         tested = self.may_link(stars.where("u < v").distinct())
-        found = self.components(self.linked(tested), "jaccard-stars")
+        found = self.components(self.linked(tested))
         open_ = self.open_tiles(members, found)
-        for turn in range(TURNS):
-            pairs = self.may_link(self.new_stars(open_, turn).join(tested, ["u", "v"], "left_anti"))
-            if pairs.isEmpty():
-                break
+        pairs = self.may_link(self.new_stars(open_).join(tested, ["u", "v"], "left_anti"))
+        if not pairs.isEmpty():
             tested = tested.union(pairs)
             links = self.linked(pairs)
-            if links.isEmpty():
-                break
-            found = self.components(_edges(found).union(links), "jaccard-stars")
-            open_ = self.open_tiles(members, found)
+            if not links.isEmpty():
+                found = self.components(_edges(found).union(links))
+                open_ = self.open_tiles(members, found)
         more = self.crossing(open_, tested)
         if more.isEmpty():
             return found
-        return self.components(_edges(found).union(self.linked(more)), "jaccard-components")
+        return self.components(_edges(found).union(self.linked(more)))
 
 
 def jaccard_groups(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (80, 100), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -469,7 +492,7 @@ def jaccard_groups(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (80
     classes = join.classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     classes = join.stored(classes.select("d1", "d2", "component", "least_id"), "jaccard-labels")
     least = classes.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    named = join.stored(classes.join(least, "component").select("d1", "d2", F.lit(True).alias("full"), "component_id"), "jaccard-named")
+    named = classes.join(least, "component").select("d1", "d2", F.lit(True).alias("full"), "component_id")
     rows = join.sets.select("doc_id", "n", "d1", "d2").join(named, (join.sets["d1"] == named["d1"]) & (join.sets["d2"] == named["d2"]) & (F.col("n") > 0), "left")
     component = F.when(F.col("full"), F.col("component_id")).otherwise(F.col("doc_id"))
     rows = rows.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))

@@ -4,8 +4,11 @@ import itertools
 import random
 from collections import defaultdict
 
+import numpy as np
+import pandas as pd
 import pytest
 
+from logwarden.llm import jaccard_join
 from logwarden.llm.components import components
 from logwarden.llm.jaccard_join import TILE_BYTES, _Join, jaccard_groups
 from tests.llm.test_tables import docs_of
@@ -115,3 +118,41 @@ def test_tiles_in_runs(spark, monkeypatch):
     large = {frozenset(s) for s in tiles.values() if len(s) > 3}
     assert sorted(map(sorted, held.values())) == sorted(map(sorted, large))
     join.clear()
+
+
+def test_no_job_for_each_partition(spark):
+    """Small tables come to the driver in one job, and a star of links is seen to be one without another round."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "100")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        spark.sparkContext.setJobGroup("jaccard-frequencies", "")
+        jaccard_join.frequencies(docs_of(spark, corpus(6, 40)), 4)
+        spark.sparkContext.setJobGroup("jaccard-star", "")
+        assert components(spark.createDataFrame([(1, i) for i in range(2, 40)], "u long, v long")).count() == 39
+    finally:
+        spark.sparkContext.setJobGroup("rest", "")
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    jobs = {g: len(spark.sparkContext.statusTracker().getJobIdsForGroup(g)) for g in ("jaccard-frequencies", "jaccard-star")}
+    assert jobs["jaccard-frequencies"] < 10 and jobs["jaccard-star"] < 20, jobs
+
+
+def test_bounds_of_many_pairs(spark):
+    """Signatures of any lengths bound the difference, and blocks give the pairs that single comparisons give."""
+    rng = np.random.default_rng(3)
+    whole = rng.integers(0, 2**63, 2000).astype(np.uint64)
+    sets = [np.unique(rng.choice(whole[:size], int(size * share))) for size in (9, 40, 150, 600, 2000) for share in (0.7, 0.8, 0.9, 0.95, 1.0)]
+    signed = [jaccard_join.signature(s) for s in sets]
+    pairs = list(itertools.combinations(range(len(sets)), 2))
+    least = jaccard_join.at_least_different([signed[i] for i, _ in pairs], [signed[j] for _, j in pairs])
+    assert all(low <= len(np.setxor1d(sets[i], sets[j])) for low, (i, j) in zip(least, pairs, strict=True)) and least.max() > 100
+    n = [len(s) for s in sets]
+    run = pd.DataFrame({"unit": 1, "rid": range(len(sets)), "n": n, "part": range(len(sets)), "sketch": signed, "side": 0, "same": True})
+    got = {tuple(p) for out in jaccard_join._blocks(85, 100)(iter([run])) for p in out.itertuples(index=False)}
+    want = set()
+    for low, (i, j) in zip(least, pairs, strict=True):
+        shared = (n[i] + n[j] - low) // 2
+        if 100 * min(n[i], n[j]) >= 85 * max(n[i], n[j]) and 100 * shared >= 85 * (n[i] + n[j] - shared):
+            want.add((i, j))
+    assert got == want and 0 < len(want) < len(pairs)
