@@ -147,24 +147,19 @@ def _joined(a: Column, shift: int, merge) -> Column:
 def _grams(texts: DataFrame, min_words: int) -> DataFrame:
     """Adds ``grams``, hashes of the ``min_words`` words from each place, and ``runs`` (at, n, m) of these places.
 
-    Hashes of 2^k words are made from two of half the length.  ``m`` is the least hash of the half-length runs within
+    Hashes of 2^k words are made from two of half the length.  ``m`` is the least hash of the longest such runs within
     the words from a place: equal runs have equal ``m``, and neighbours mostly share it, so few values stand for many
-    places.  ``repeats`` tells whether a half-length run occurs twice in the text.
+    places.  ``ms`` holds each value of ``m`` once, and twice if its run occurs again in the text.
     """
     trimmed = F.trim(F.col("text"), F.lit(SPACES))
     words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, f"[{SPACES}]+"))
     out = texts.withColumn("_h", F.transform(words, lambda x: F.xxhash64(x)))
     k = min_words.bit_length() - 1
-    half = 2 ** max(k - 1, 0)
     for i in range(k):
-        if 2 ** i == half:
-            out = out.withColumn("_half", F.col("_h"))
         out = out.withColumn("_h", _joined(F.col("_h"), 2 ** i, lambda a, b: F.xxhash64(a, b)))
-    if not k:
-        out = out.withColumn("_half", F.col("_h"))
     out = out.withColumn("grams", _joined(F.col("_h"), min_words - 2 ** k, lambda a, b: F.xxhash64(a, b)))
-    out = out.withColumn("repeats", F.size(F.array_distinct("_half")) < F.size("_half")).withColumn("_m", F.col("_half"))
-    many = min_words - half + 1
+    out = out.withColumn("_m", F.col("_h"))
+    many = min_words - 2 ** k + 1
     q = many.bit_length() - 1
     for i in range(q):
         out = out.withColumn("_m", _joined(F.col("_m"), 2 ** i, lambda a, b: F.least(a, b)))
@@ -174,7 +169,12 @@ def _grams(texts: DataFrame, min_words: int) -> DataFrame:
     first = F.filter(F.transform(m, lambda x, i: F.when((i == 0) | (x != F.get(m, i - 1)), F.struct(i.alias("at"), x.alias("m")))), lambda r: r.isNotNull())
     runs = F.transform(F.col("_first"), lambda r, i: F.struct(
         r["at"].alias("at"), (F.coalesce(F.get("_first", i + 1)["at"], F.size("_m")) - r["at"]).alias("n"), r["m"].alias("m")))
-    return out.withColumn("_first", first).withColumn("runs", runs).drop("_first", "_m", "_h", "_half")
+    out = out.withColumn("_first", first).withColumn("runs", runs).withColumn("_ms", F.array_distinct(F.transform("_first", lambda r: r["m"])))
+    # only texts with a repeated run are sorted
+    again = F.size(F.array_distinct("_h")) < F.size("_h")
+    sorted_ = out.withColumn("_s", F.when(again, F.sort_array("_h")).otherwise(F.array().cast("array<bigint>")))
+    twice = F.array_intersect("_ms", F.filter("_s", lambda x, i: (i > 0) & (x == F.get("_s", i - 1))))
+    return sorted_.withColumn("ms", F.concat("_ms", twice)).drop("_first", "_m", "_h", "_ms", "_s")
 
 
 def repeated_words(texts: DataFrame, order: DataFrame, min_words: int) -> DataFrame:
@@ -182,20 +182,19 @@ def repeated_words(texts: DataFrame, order: DataFrame, min_words: int) -> DataFr
 
     ``texts`` (key, text) holds each text once; ``order`` (key, row) numbers them.
     """
-    marks = _grams(texts, min_words).select("key", "repeats", F.array_distinct(F.transform("runs", lambda r: r["m"])).alias("ms"))
-    marks = stored(marks, "word-runs").select("key", "repeats", F.explode("ms").alias("m"))
+    marks = stored(_grams(texts, min_words).select("key", "ms"), "word-runs").select("key", F.explode("ms").alias("m"))
     twice = stored(marks.groupBy("m").agg(F.count("*").alias("n")).where("n > 1").select("m"), "word-marks")
     bits = stored(key_bitmap(twice, "m", BITMAP_BUCKETS), "word-bits")
     # only texts that hold such a mark are looked at again
-    asked = in_bitmap(marks, "m", bits, BITMAP_BUCKETS, "maybe").where("maybe OR repeats").select("key")
+    asked = in_bitmap(marks, "m", bits, BITMAP_BUCKETS, "maybe").where("maybe").select("key")
     keys = stored(key_bitmap(asked, "key", BITMAP_BUCKETS), "word-keys")
     grams = _grams(in_bitmap(texts, "key", keys, BITMAP_BUCKETS, "asked").where("asked").select("key", "text"), min_words)
     # only places that may occur again are dealt out
     pieces = F.transform("runs", lambda r: F.struct(r["at"].alias("at"), r["m"].alias("m"), F.slice("grams", r["at"] + 1, r["n"]).alias("grams")))
-    rows = grams.select("key", "repeats", F.explode_outer(pieces).alias("r")).select("key", "repeats", "r.at", "r.m", "r.grams")
-    maybe = in_bitmap(rows, "m", bits, BITMAP_BUCKETS, "maybe").where("maybe OR repeats").select("key", "at", "grams")
-    places = maybe.join(order, "key").select((F.shiftleft("row", 32) + F.col("at")).alias("start"), F.posexplode_outer("grams").alias("i", "gram"))
-    places = stored(places.where("gram IS NOT NULL").select((F.col("start") + F.col("i")).alias("start"), "gram"), "word-places")
+    rows = grams.select("key", F.explode(pieces).alias("r")).select("key", "r.at", "r.m", "r.grams")
+    maybe = in_bitmap(rows, "m", bits, BITMAP_BUCKETS, "maybe").where("maybe").select("key", "at", "grams")
+    places = maybe.join(order, "key").select((F.shiftleft("row", 32) + F.col("at")).alias("start"), F.posexplode("grams").alias("i", "gram"))
+    places = stored(places.select((F.col("start") + F.col("i")).alias("start"), "gram"), "word-places")
     groups = stored(places.groupBy("gram").agg(F.min("start").alias("first"), F.count("*").alias("n")).where("n > 1").select("gram", "first"), "word-groups")
     bits = stored(key_bitmap(groups, "gram", BITMAP_BUCKETS), "word-gram-bits")
     again = in_bitmap(places, "gram", bits, BITMAP_BUCKETS, "maybe").where("maybe").select("start", "gram")

@@ -197,3 +197,23 @@ def test_only_texts_that_may_repeat_are_hashed_twice(spark, monkeypatch):
     rows = [(i, " ".join(f"own{i}x{k}" for k in range(70)), "s") for i in range(40)] + [(90, shared, "s"), (91, "one " + shared + " two", "s")]
     got = {r.doc_id: r.deleted_words for r in dedup_passages(docs_of(spark, rows), 50).collect()}
     assert got == {i: 60 * (i == 91) for i, _, _ in rows} and seen == [42, 2]
+
+
+def test_only_places_near_a_repeat_are_dealt_out(spark, monkeypatch):
+    """A shorter repeat costs nothing; one inside a text deals out its own places, not all of the text."""
+    from logwarden.llm import line_dedup
+
+    dealt, write = [], line_dedup.stored
+
+    def counted(df, name):
+        out = write(df, name)
+        if name == "word-places":
+            dealt.append(out.count())
+        return out
+
+    monkeypatch.setattr(line_dedup, "stored", counted)
+    own = lambda i: " ".join(f"own{i}x{k}" for k in range(400))
+    short, long = (" ".join(f"{c}{k}" for k in range(n)) for c, n in (("s", 24), ("l", 60)))
+    rows = [(1, f"{own(1)} {short} {own(2)} {short}", "s"), (2, f"{own(3)} {long} {own(4)} {long}", "s"), (3, f"{short} {own(5)}", "s")]
+    got = {r.doc_id: r.deleted_words for r in dedup_passages(docs_of(spark, rows), 50).collect()}
+    assert got == {1: 0, 2: 60, 3: 0} and len(dealt) == 1 and 22 <= dealt[0] < 200, dealt
