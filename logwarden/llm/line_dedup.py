@@ -9,6 +9,9 @@ from logwarden.llm.common import SPACES, WORD, in_bitmap, key_bitmap, numbered,
 
 MIN_WORDS = 50
 BITMAP_BUCKETS = 1024
+#: A text may be cut after a word that ends in one of these, if the next AHEAD words do not.
+CUTS = ".,;:!?%05yg"
+AHEAD = 2
 
 
 def _lines(text: Column) -> Column:
@@ -144,56 +147,95 @@ def _joined(a: Column, shift: int, merge) -> Column:
     return F.zip_with(F.slice(a, F.lit(1), n), F.slice(a, F.lit(shift + 1), n), merge)
 
 
+def _once(df: DataFrame, keep: list[str], *columns: Column) -> DataFrame:
+    """``keep`` and ``columns``, which are worked out once however often and where they are read."""
+    return df.select(*keep, F.inline(F.array(F.struct(*columns))))
+
+
 def _grams(texts: DataFrame, min_words: int) -> DataFrame:
-    """Adds ``grams``, hashes of the ``min_words`` words from each place, and ``runs`` (at, n, m) of these places.
+    """Adds ``units``, the text cut at some of its words, their ``sizes`` in words and hashes (``marks``), and ``seams``.
 
-    Hashes of 2^k words are made from two of half the length.  ``m`` is the least hash of the longest such runs within
-    the words from a place: equal runs have equal ``m``, and neighbours mostly share it, so few values stand for many
-    places.  ``ms`` holds each value of ``m`` once, and twice if its run occurs again in the text.
+    A text is cut after a word that ends in one of ``CUTS``, unless one of the next ``AHEAD`` words does as well.  So
+    equal runs of words are cut alike but for their ends, whatever stands around them.  ``seams`` (lo, hi, words, last)
+    are the pairs of neighbours so long that ``min_words`` words within them may hold no whole unit.
     """
-    trimmed = F.trim(F.col("text"), F.lit(SPACES))
-    words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, f"[{SPACES}]+"))
-    out = texts.withColumn("_h", F.transform(words, lambda x: F.xxhash64(x)))
-    k = min_words.bit_length() - 1
-    for i in range(k):
-        out = out.withColumn("_h", _joined(F.col("_h"), 2 ** i, lambda a, b: F.xxhash64(a, b)))
-    out = out.withColumn("grams", _joined(F.col("_h"), min_words - 2 ** k, lambda a, b: F.xxhash64(a, b)))
-    out = out.withColumn("_m", F.col("_h"))
-    many = min_words - 2 ** k + 1
-    q = many.bit_length() - 1
-    for i in range(q):
-        out = out.withColumn("_m", _joined(F.col("_m"), 2 ** i, lambda a, b: F.least(a, b)))
-    if many > 2 ** q:
-        out = out.withColumn("_m", _joined(F.col("_m"), many - 2 ** q, lambda a, b: F.least(a, b)))
-    m = F.col("_m")
-    first = F.filter(F.transform(m, lambda x, i: F.when((i == 0) | (x != F.get(m, i - 1)), F.struct(i.alias("at"), x.alias("m")))), lambda r: r.isNotNull())
-    runs = F.transform(F.col("_first"), lambda r, i: F.struct(
-        r["at"].alias("at"), (F.coalesce(F.get("_first", i + 1)["at"], F.size("_m")) - r["at"]).alias("n"), r["m"].alias("m")))
-    out = out.withColumn("_first", first).withColumn("runs", runs).withColumn("_ms", F.array_distinct(F.transform("_first", lambda r: r["m"])))
-    # only texts with a repeated run are sorted
-    again = F.size(F.array_distinct("_h")) < F.size("_h")
-    sorted_ = out.withColumn("_s", F.when(again, F.sort_array("_h")).otherwise(F.array().cast("array<bigint>")))
-    twice = F.array_intersect("_ms", F.filter("_s", lambda x, i: (i > 0) & (x == F.get("_s", i - 1))))
-    return sorted_.withColumn("ms", F.concat("_ms", twice)).drop("_first", "_m", "_h", "_ms", "_s")
+    keep = [c for c in texts.columns if c != "text"]
+    # one space between words; white space other than blanks and line ends is rare
+    rare = [c for c in SPACES if c not in " \n"]
+    some = F.lit(False)
+    for c in rare:
+        some = some | F.contains("text", F.lit(c))
+    spaced = F.when(some, F.translate("text", "".join(rare), " " * len(rare))).otherwise(F.col("text"))
+    out = _once(texts, keep, F.trim(F.replace(spaced, F.lit("\n"), F.lit(" "))).alias("_x"))
+    plain = F.when(F.contains("_x", F.lit("  ")), F.regexp_replace("_x", "  +", " ")).otherwise(F.col("_x"))
+    cut = F.split(plain, rf" (?<=[{CUTS}] )(?=(?:[^ ]++(?<![{CUTS}])(?: |\z)){{{AHEAD}}})")
+    out = _once(out, keep, F.when(F.col("_x") == "", F.array().cast("array<string>")).otherwise(cut).alias("units"))
+    size = lambda u: F.octet_length(u) - F.octet_length(F.replace(u, F.lit(" "), F.lit(""))) + 1
+    out = _once(out, [*keep, "units"], F.transform("units", size).alias("sizes"), F.transform("units", lambda u: F.xxhash64(u)).alias("marks"))
+    final = F.size("sizes") - 1
+    right = lambda i: F.least(i + 1, final)
+    words = lambda i: F.get("sizes", i) + F.when(i < final, F.get("sizes", i + 1)).otherwise(0)
+    at = F.when(final >= 0, F.sequence(F.lit(0), F.greatest(final - 1, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+    wide = F.filter(at, lambda i: words(i) + (AHEAD - 1) >= min_words)
+    return out.withColumn("seams", F.transform(wide, lambda i: F.struct(
+        i.alias("lo"), right(i).alias("hi"), words(i).alias("words"), F.get("sizes", right(i)).alias("last"))))
+
+
+def _regions(found: DataFrame, min_words: int) -> DataFrame:
+    """(key, spans): neighbouring rows of ``found`` (key, lo, hi, words, last) as one, where they hold ``min_words`` words.
+
+    Rows that share a seam, the place between two units, are neighbours; each takes in one unit more at most.
+    """
+    a = F.col("a")
+    fresh = lambda x, i: (i == 0) | (x["lo"] >= F.get(a, i - 1)["hi"])
+    more = F.transform(a, lambda x, i: F.when(fresh(x, i), x["words"]).when(x["hi"] > F.get(a, i - 1)["hi"], x["last"]).otherwise(F.lit(0)))
+    heads = F.filter(F.transform(a, lambda x, i: F.when(fresh(x, i), i)), lambda i: i.isNotNull())
+    stop = lambda k: F.coalesce(F.get("heads", k + 1), F.size("a"))
+    spans = F.transform("heads", lambda s, k: F.struct(
+        F.get("a", s)["lo"].alias("lo"), F.get("a", stop(k) - 1)["hi"].alias("hi"),
+        F.aggregate(F.slice("more", s + 1, stop(k) - s), F.lit(0), lambda n, x: n + x).alias("words")))
+    sorted_ = found.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("lo", "hi", "words", "last"))).alias("a"))
+    merged = _once(sorted_, ["key", "a"], more.alias("more"), heads.alias("heads"))
+    long = F.filter(spans, lambda s: s["words"] + (AHEAD - 1) >= min_words)
+    return _once(merged, ["key"], long.alias("spans")).where(F.size("spans") > 0)
 
 
 def repeated_words(texts: DataFrame, order: DataFrame, min_words: int) -> DataFrame:
     """(start, first) of the places whose ``min_words`` words occur earlier, and where first; a place is row * 2^32 + word.
 
     ``texts`` (key, text) holds each text once; ``order`` (key, row) numbers them.
+
+    A run that occurs twice has its whole units twice.  So a unit that occurs once rules out all runs that hold it whole
+    (with a word before and ``AHEAD`` behind, as the cuts depend on these); what is left of a text are regions of repeated
+    units, each with the unit before and behind, and long units.  Only there every place gets the hash of its words.
     """
-    marks = stored(_grams(texts, min_words).select("key", "ms"), "word-runs").select("key", F.explode("ms").alias("m"))
-    twice = stored(marks.groupBy("m").agg(F.count("*").alias("n")).where("n > 1").select("m"), "word-marks")
+    cut = stored(_grams(texts, min_words).select("key", "sizes", "marks", "seams"), "word-runs")
+    # the first and the last unit are cut by the text's ends
+    inner = F.slice("marks", F.lit(2), F.greatest(F.size("marks") - 2, F.lit(0)))
+    marks = cut.select("key", "sizes", F.posexplode(inner).alias("lo", "m"))
+    twice = cut.select(F.explode(inner).alias("m"))
+    twice = stored(twice.groupBy("m").agg(F.count("*").alias("n")).where("n > 1").select("m"), "word-marks")
     bits = stored(key_bitmap(twice, "m", BITMAP_BUCKETS), "word-bits")
-    # only texts that hold such a mark are looked at again
-    asked = in_bitmap(marks, "m", bits, BITMAP_BUCKETS, "maybe").where("maybe").select("key")
-    keys = stored(key_bitmap(asked, "key", BITMAP_BUCKETS), "word-keys")
-    grams = _grams(in_bitmap(texts, "key", keys, BITMAP_BUCKETS, "asked").where("asked").select("key", "text"), min_words)
-    # only places that may occur again are dealt out
-    pieces = F.transform("runs", lambda r: F.struct(r["at"].alias("at"), r["m"].alias("m"), F.slice("grams", r["at"] + 1, r["n"]).alias("grams")))
-    rows = grams.select("key", F.explode(pieces).alias("r")).select("key", "r.at", "r.m", "r.grams")
-    maybe = in_bitmap(rows, "m", bits, BITMAP_BUCKETS, "maybe").where("maybe").select("key", "at", "grams")
-    places = maybe.join(order, "key").select((F.shiftleft("row", 32) + F.col("at")).alias("start"), F.posexplode("grams").alias("i", "gram"))
+    size = lambda i: F.get("sizes", F.col("lo") + i)
+    units = in_bitmap(marks, "m", bits, BITMAP_BUCKETS, "maybe").where("maybe").select(
+        "key", "lo", (F.col("lo") + 2).alias("hi"), (size(0) + size(1) + size(2)).alias("words"), size(2).alias("last"))
+    found = units.union(cut.select("key", F.inline("seams")))
+    regions = stored(_regions(found, min_words).join(order, "key"), "word-regions")
+    # only texts with such regions are looked at again
+    keys = stored(key_bitmap(regions, "key", BITMAP_BUCKETS), "word-keys")
+    asked = in_bitmap(texts, "key", keys, BITMAP_BUCKETS, "asked").where("asked").select("key", "text").join(regions, "key")
+    behind = lambda s: F.slice(F.split(F.get("units", s["hi"] + 1), " "), 1, AHEAD - 1)
+    pieces = F.transform("spans", lambda s: F.struct(
+        F.aggregate(F.slice("sizes", F.lit(1), s["lo"]), F.lit(0), lambda n, x: n + x).alias("at"),
+        F.concat(F.split(F.array_join(F.slice("units", s["lo"] + 1, s["hi"] - s["lo"] + 1), " "), " "),
+                 F.coalesce(behind(s), F.array().cast("array<string>"))).alias("words")))
+    rows = _once(_grams(asked, min_words), ["row"], pieces.alias("p")).select("row", F.inline("p"))
+    rows = rows.select((F.shiftleft("row", 32) + F.col("at")).alias("start"), F.transform("words", lambda x: F.xxhash64(x)).alias("grams"))
+    # hashes of 2^k words are made from two of half the length
+    k = min_words.bit_length() - 1
+    for shift in [2 ** i for i in range(k)] + [min_words - 2 ** k]:
+        rows = rows.withColumn("grams", _joined(F.col("grams"), shift, lambda a, b: F.xxhash64(a, b)))
+    places = _once(rows, ["start"], F.col("grams")).select("start", F.posexplode("grams").alias("i", "gram"))
     places = stored(places.select((F.col("start") + F.col("i")).alias("start"), "gram"), "word-places")
     groups = stored(places.groupBy("gram").agg(F.min("start").alias("first"), F.count("*").alias("n")).where("n > 1").select("gram", "first"), "word-groups")
     bits = stored(key_bitmap(groups, "gram", BITMAP_BUCKETS), "word-gram-bits")
@@ -223,14 +265,14 @@ def dedup_passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "d
     columns are not read.
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), _doc_key(F.col(text_col)).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    order = texts.groupBy("doc_id", "key").agg(F.count("*").alias("_rows")).select("doc_id", "key")
+    order = texts.groupBy("doc_id", "key").agg(F.count("*").alias("rows"))
     order = stored(numbered(order, ["doc_id", "key"], "word-docs"), "word-order")
-    firsts = stored(order.groupBy("key").agg(F.min("row").alias("row"), F.count("*").alias("n")), "word-firsts")
+    firsts = stored(order.groupBy("key").agg(F.min("row").alias("row"), F.count("*").alias("n"), F.sum("rows").alias("rows")), "word-firsts")
     # equal texts are looked at once: all but the first go as a whole
-    several = stored(texts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "word-several")
-    bits = stored(key_bitmap(several, "key", BITMAP_BUCKETS), "word-several-bits")
+    bits = stored(key_bitmap(firsts.where("rows > 1"), "key", BITMAP_BUCKETS), "word-several-bits")
     flagged = in_bitmap(texts.select("key", "text"), "key", bits, BITMAP_BUCKETS, "maybe")
-    once = flagged.where("NOT maybe").select("key", "text").union(flagged.where("maybe").groupBy("key").agg(F.first("text").alias("text")))
+    several = stored(flagged.where("maybe").groupBy("key").agg(F.first("text").alias("text")), "word-several")
+    once = flagged.where("NOT maybe").select("key", "text").union(several)
     spans = _spans(repeated_words(once, firsts.select("key", "row"), min_words), min_words)
     copies = order.join(firsts.where("n > 1").select("key", F.col("row").alias("_first")), "key").where("row != _first")
     every = F.array(F.struct(F.lit(0).alias("start"), F.lit(2 ** 31 - 1).alias("stop")))
@@ -250,7 +292,7 @@ def _without_words(texts: DataFrame, gone: DataFrame, min_words: int, id_col: st
     joined = some.join(named, some["doc_id"].eqNullSafe(named["_id"]) & (some["key"] == named["_key"]), "left")
     # \0 will stand for a deleted word; texts that hold it are written with \1 before
     safe = F.replace(F.replace("text", F.lit("\x01"), F.lit("\x01a")), F.lit("\x00"), F.lit("\x01b"))
-    cut = joined.where("spans IS NOT NULL").select("doc_id", "text", "spans", F.inline(F.array(F.struct(safe.alias("safe")))))
+    cut = _once(joined, ["doc_id", "text", F.coalesce("spans", F.array().cast("array<struct<start:int,stop:int>>")).alias("spans")], safe.alias("safe"))
     cut = cut.select("*", F.inline(F.array(F.struct(F.regexp_extract_all("safe", F.lit(f"[{SPACES}]*{WORD}"), F.lit(0)).alias("words")))))
     size = F.size("words")
     # copies of a short text stay
@@ -259,22 +301,23 @@ def _without_words(texts: DataFrame, gone: DataFrame, min_words: int, id_col: st
 
     def part(s, i):
         before = F.coalesce(F.get("spans", i - 1)["stop"], F.lit(0))
-        lost = F.transform(F.slice("words", s["start"] + 1, s["stop"] - s["start"]), lambda x: F.regexp_replace(x, WORD, "\x00"))
-        return F.concat(F.slice("words", before + 1, s["start"] - before), lost)
+        lost = F.array_join(F.slice("words", s["start"] + 1, s["stop"] - s["start"]), "")
+        return F.concat(F.array_join(F.slice("words", before + 1, s["start"] - before), ""), F.regexp_replace(lost, WORD, "\x00"))
 
     last = F.coalesce(F.get("spans", F.size("spans") - 1)["stop"], F.lit(0))
     rest = F.slice("words", last + 1, size - last)
     tail = F.substring("safe", F.length(F.rtrim("safe", F.lit(SPACES))) + 1, F.length("safe"))
-    marked = F.concat(F.array_join(F.concat(F.flatten(F.transform("spans", part)), rest), ""), tail)
+    marked = F.concat(F.array_join(F.transform("spans", part), ""), F.array_join(rest, ""), tail)
     words_gone = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
     cut = cut.select("doc_id", "text", words_gone.alias("words_gone"), F.inline(F.array(F.struct(_lines(marked).alias("_lines")))))
     empty = lambda x: F.contains(x, F.lit("\x00")) & (F.translate(x, SPACES + "\x00", "") == "")
     lines_gone = F.filter(F.transform("_lines", lambda x, i: F.when(empty(x), i)), lambda i: i.isNotNull())
 
     def kept(x):
-        x = F.regexp_replace(F.regexp_replace(x, f"^[{SPACES}\x00]*\x00[{SPACES}]*", ""), f"[{SPACES}]*\x00", "")
+        left = F.regexp_replace(F.regexp_replace(x, f"^[{SPACES}\x00]*\x00[{SPACES}]*", ""), f"[{SPACES}]*\x00", "")
+        x = F.when(F.contains(x, F.lit("\x00")), left).otherwise(x)
         return F.replace(F.replace(x, F.lit("\x01b"), F.lit("\x00")), F.lit("\x01a"), F.lit("\x01"))
 
     text = F.array_join(F.transform(F.filter("_lines", lambda x: ~empty(x)), kept), "\n")
     changed = cut.select(F.col("doc_id").alias(id_col), n_lines, lines_gone.alias("deleted_lines"), F.col("words_gone").alias("deleted_words"), text.alias("text"))
-    return flagged.where("NOT maybe").select(*same).union(joined.where("spans IS NULL").select(*same)).union(changed)
+    return flagged.where("NOT maybe").select(*same).union(changed)

@@ -217,3 +217,25 @@ def test_only_places_near_a_repeat_are_dealt_out(spark, monkeypatch):
     rows = [(1, f"{own(1)} {short} {own(2)} {short}", "s"), (2, f"{own(3)} {long} {own(4)} {long}", "s"), (3, f"{short} {own(5)}", "s")]
     got = {r.doc_id: r.deleted_words for r in dedup_passages(docs_of(spark, rows), 50).collect()}
     assert got == {1: 0, 2: 60, 3: 0} and len(dealt) == 1 and 22 <= dealt[0] < 200, dealt
+
+
+def test_a_unit_that_occurs_once_rules_out_the_places_around_it(spark, monkeypatch):
+    """48 equal words on both sides of a word that differs are no run of 50; of their 192 places only those at the ends are dealt out."""
+    from logwarden.llm import line_dedup
+
+    dealt, write = [], line_dedup.stored
+
+    def counted(df, name):
+        out = write(df, name)
+        if name == "word-places":
+            dealt.append(out.count())
+        return out
+
+    monkeypatch.setattr(line_dedup, "stored", counted)
+    side = lambda c: " ".join(f"{c}{k}" for k in range(48))
+    rows = [(i, f"{side('a')} own{i}x1 {side('b')}", "s") for i in range(4)]
+    # white space is not compared, nor does it change the cuts; without cuts every place is looked at
+    plain = [f"w{'q' * k}r" for k in range(70)]
+    rows += [(10, " ".join(plain), "s"), (11, "\t" + "\r\n ".join(plain[5:60]) + "\x0b\x0c", "s")]
+    got = {r.doc_id: r.deleted_words for r in dedup_passages(docs_of(spark, rows), 50).collect()}
+    assert got == {0: 0, 1: 0, 2: 0, 3: 0, 10: 0, 11: 55} and dealt == [4 * 4 + 21 + 6], dealt
