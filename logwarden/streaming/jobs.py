@@ -7,6 +7,7 @@ their time, not of their arrival.  Rows behind the watermark are dropped by Spar
 
 from __future__ import annotations
 
+import pickle
 from collections import Counter
 from collections.abc import Callable, Iterator
 from datetime import timedelta
@@ -14,8 +15,9 @@ from typing import Any
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from logwarden import rules
@@ -158,65 +160,82 @@ def stream_state_ttl(df: DataFrame, keep: str = "24 hours") -> DataFrame:
 # --- rules with a silent time ---------------------------------------------------------
 
 
+#: Keys that a task remembers within a batch, at most.
+SEEN = 100_000
+
+
 class InOrder(StatefulProcessor):
     """Holds the rows of a key until the watermark has passed their second and releases them in the order of time.
 
     A second is complete when the watermark passes its end: rows of it that come later are dropped by Spark.  The state
-    of a key ends ``keep_s`` after its last released row.
+    of a key ends ``keep_s`` after its last released row.  Each call of the state goes to the JVM and back, so what a key
+    gets in a batch is one packed entry, and a key whose timers expire together is looked at once.
     """
 
-    def __init__(self, waiting: str, columns: list[str], keep_s: int) -> None:
-        self.waiting_schema, self.columns, self.keep_s = waiting, columns, keep_s
+    def __init__(self, columns: list[str], keep_s: int) -> None:
+        self.columns, self.keep_s = columns, keep_s
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", self.waiting_schema)
+        self.waiting = handle.getListState("waiting", "rows binary")
         self.latest = handle.getValueState("latest", "sec bigint")
+        self.seen: set = set()  # keys whose timers of this batch have been worked off
         self.open(handle)
 
     def open(self, handle: StatefulProcessorHandle) -> None:
         """Declare further state."""
 
-    def taken(self, rows: Iterator[pd.DataFrame]) -> list[tuple]:
+    def taken(self, rows: Iterator) -> list[tuple]:
         """What is to wait, as tuples that begin with the second."""
         raise NotImplementedError
 
-    def release(self, key: Any, rows: list[tuple]) -> list[tuple]:
-        """Results of rows that are complete, in the order of time."""
+    def release(self, key: Any, rows: list[tuple], complete: int) -> list[tuple]:
+        """Results of rows that are complete, in the order of time; what comes later is at ``complete`` or after."""
         raise NotImplementedError
 
     def forget(self) -> None:
         """Clear further state."""
 
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+    def given(self, out: list[tuple]) -> Iterator:
+        """Results as the operator wants them."""
+        return map(Row(*self.columns), *zip(*out)) if out else iter(())
+
+    def handleInputRows(self, key: Any, rows: Iterator, timerValues: Any) -> Iterator:
         new = self.taken(rows)
         if new:
-            self.waiting.appendList(new)
+            self.waiting.appendValue((pickle.dumps(new),))
             self.handle.registerTimer((min(r[0] for r in new) + 1) * 1000)
-        yield pd.DataFrame(columns=self.columns)
-
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        return iter(())
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator:
+        if (name := tuple(key)) in self.seen:
+            return
+        if len(self.seen) >= SEEN:  # looking at a key again changes nothing
+            self.seen.clear()
+        self.seen.add(name)
         complete = timerValues.getCurrentWatermarkInMs() // 1000  # seconds before this one
-        waiting = list(self.waiting.get()) if self.waiting.exists() else []
-        due = sorted((tuple(r) for r in waiting if r[0] < complete), key=lambda r: tuple((x is None, x) for x in r))
-        rest = [tuple(r) for r in waiting if r[0] >= complete]
-        out = self.release(key, due) if due else []
-        if due:
-            self.latest.update((due[-1][0],))
-        latest = int(self.latest.get()[0]) if self.latest.exists() else None
+        waiting = [r for (packed,) in self.waiting.get() for r in pickle.loads(packed)]
+        due = sorted((r for r in waiting if r[0] < complete), key=lambda r: tuple((x is None, x) for x in r))
+        rest = [r for r in waiting if r[0] >= complete]
+        out = self.release(key, due, complete) if due else []
         if rest:
-            self.waiting.put(rest)
+            if due:
+                self.waiting.put([(pickle.dumps(rest),)])
+                self.latest.update((due[-1][0],))
             self.handle.registerTimer((min(r[0] for r in rest) + 1) * 1000)
-        elif waiting:
-            self.waiting.clear()
-        if latest is not None:
-            ends = latest + self.keep_s + 1
-            if ends <= complete and not rest:
-                self.latest.clear()
-                self.forget()
-            elif due:
-                self.handle.registerTimer(ends * 1000)
-        yield pd.DataFrame(out, columns=self.columns)
+        else:
+            if waiting:
+                self.waiting.clear()
+            latest = (due[-1][0],) if due else self.latest.get()
+            if latest is not None:
+                ends = int(latest[0]) + self.keep_s + 1
+                if ends <= complete:
+                    self.latest.clear()
+                    self.forget()
+                elif due:
+                    self.latest.update(latest)
+                    self.handle.registerTimer(ends * 1000)
+        yield from self.given(out)
 
     def close(self) -> None:
         pass
@@ -227,22 +246,24 @@ class PatternProcessor(InOrder):
     ``min_matches`` and then stays silent for ``cooldown_s``."""
 
     def __init__(self, window_s: int, min_matches: int, cooldown_s: int) -> None:
-        super().__init__("sec bigint, tag string, n bigint", ["source_ip", "sec", "total_matches", "risk_score"], max(window_s, cooldown_s))
+        super().__init__(["source_ip", "sec", "total_matches", "risk_score"], max(window_s, cooldown_s))
         self.window_s, self.min_matches, self.cooldown_s = window_s, min_matches, cooldown_s
 
     def open(self, handle: StatefulProcessorHandle) -> None:
-        self.hits = handle.getListState("hits", "sec bigint, tag string, n bigint")
+        self.hits = handle.getValueState("hits", "rows binary")
         self.emitted = handle.getValueState("emitted", "sec bigint")
 
-    def taken(self, rows: Iterator[pd.DataFrame]) -> list[tuple]:
+    def taken(self, rows: Iterator[Row]) -> list[tuple]:
         counts: Counter = Counter()
-        for part in rows:  # a key may have more rows than fit into one frame
-            counts.update(part.groupby(["sec", "tag"])["n"].sum().to_dict())
-        return [(int(sec), tag, int(n)) for (sec, tag), n in counts.items()]
-
-    def release(self, key: Any, rows: list[tuple]) -> list[tuple]:
-        known = [(int(s), t, int(n)) for s, t, n in self.hits.get()] if self.hits.exists() else []
-        last = int(self.emitted.get()[0]) if self.emitted.exists() else None
+        for r in rows:
+            if r["tag"] is not None:
+                counts[r["sec"], r["tag"]] += r["n"]
+        return [(sec, tag, n) for (sec, tag), n in counts.items()]
+
+    def release(self, key: Any, rows: list[tuple], complete: int) -> list[tuple]:
+        packed, before = self.hits.get(), self.emitted.get()
+        known = pickle.loads(packed[0]) if packed else []
+        last = before = int(before[0]) if before else None
         out = []
         for i, (sec, tag, n) in enumerate(rows):
             known.append((sec, tag, n))
@@ -254,8 +275,8 @@ class PatternProcessor(InOrder):
                 last = sec
                 weighted = sum(n * rules.TAG_WEIGHTS.get(t, rules.OTHER_TAG_WEIGHT) for _, t, n in known)
                 out.append((key[0], sec, total, round(min(weighted, 10.0), 1)))
-        self.hits.put(known)
-        if last is not None:
+        self.hits.update((pickle.dumps(known),))
+        if last != before:
             self.emitted.update((last,))
         return out
 
@@ -282,7 +303,7 @@ def stream_suspicious_pattern(
     tags = F.when(F.col("timestamp").isNotNull() & (F.col("source_ip") != ""), F.col("parsed_data.suspicious_patterns"))
     hits = logs.withWatermark("timestamp", watermark).select(
         "source_ip", "timestamp", F.unix_seconds("timestamp").alias("sec"), F.explode(tags).alias("tag"), F.lit(1).cast("bigint").alias("n"))
-    found = hits.groupBy("source_ip").transformWithStateInPandas(
+    found = hits.groupBy("source_ip").transformWithState(
         PatternProcessor(window_s, min_matches, cooldown_s),
         outputStructType="source_ip string, sec bigint, total_matches bigint, risk_score double",
         outputMode="Append",
@@ -294,27 +315,57 @@ def stream_suspicious_pattern(
     )
 
 
+#: A group of (ip, type) pairs shares its state, as a call for each pair costs more than the pair's rows.
+GROUPS = 1024
+
+
 class SilenceProcessor(InOrder):
-    """Lets one threat per (ip, type) pass and drops those up to ``gap_s`` after it."""
+    """Lets one threat per (ip, type) pass and drops those up to ``gap_s`` after it; a key holds many such pairs.
+
+    Keys have many rows here, so rows come and go as frames.  Whole numbers of the id come as text, which a frame keeps
+    as it is beside missing ones.
+    """
 
-    def __init__(self, gap_s: int, waiting: str, columns: list[str]) -> None:
-        super().__init__(waiting, columns, gap_s)
-        self.gap_s = gap_s
+    def __init__(self, gap_s: int, columns: list[str], whole_ids: bool) -> None:
+        super().__init__(columns, gap_s)
+        self.gap_s, self.whole_ids = gap_s, whole_ids
+        self.pair = [columns.index(c) for c in ("source_ip", "threat_type")]
 
     def open(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "sec bigint")
+        self.last = handle.getValueState("last", "rows binary")
 
     def taken(self, rows: Iterator[pd.DataFrame]) -> list[tuple]:
-        return [r for part in rows for r in part[self.columns].astype(object).where(part[self.columns].notna(), None).itertuples(index=False, name=None)]
+        out = []
+        for part in rows:
+            values = {c: [None if x is None or x != x else x for x in part[c].tolist()] for c in self.columns}
+            if self.whole_ids:
+                values["id"] = [None if x is None else int(x) for x in values["id"]]
+            out += zip(*values.values())
+        return out
 
-    def release(self, key: Any, rows: list[tuple]) -> list[tuple]:
-        last = int(self.last.get()[0]) if self.last.exists() else None
+    def given(self, out: list[tuple]) -> Iterator[pd.DataFrame]:
+        if out:
+            frame = pd.DataFrame(out, columns=self.columns, dtype=object)
+            if self.whole_ids:
+                frame["id"] = frame["id"].map(str, na_action="ignore")
+            yield frame
+
+    def release(self, key: Any, rows: list[tuple], complete: int) -> list[tuple]:
+        packed = self.last.get()
+        last = pickle.loads(packed[0]) if packed else {}
+        ip, kind = self.pair
         kept = []
         for row in rows:
-            if last is None or row[0] - last > self.gap_s:
-                last = int(row[0])
+            before = last.get((row[ip], row[kind]))
+            if before is None or row[0] - before > self.gap_s:
+                last[row[ip], row[kind]] = row[0]
                 kept.append(row)
-        self.last.update((last,))
+        # a pair whose silence is over is as one that was never seen
+        last = {pair: sec for pair, sec in last.items() if sec + self.gap_s >= complete}
+        if last:
+            self.last.update((pickle.dumps(last),))
+        elif packed:
+            self.last.clear()
         return kept
 
     def forget(self) -> None:
@@ -322,16 +373,23 @@ class SilenceProcessor(InOrder):
 
 
 @operator
-def stream_threat_dedup(threats: DataFrame, watermark: str = "5 minutes", gap_s: int = rules.THREAT_DEDUP_S) -> DataFrame:
-    """One threat per (ip, type), then silence for ``gap_s``; of one second the smallest id comes first."""
+def stream_threat_dedup(
+    threats: DataFrame, watermark: str = "5 minutes", gap_s: int = rules.THREAT_DEDUP_S, groups: int = GROUPS,
+) -> DataFrame:
+    """One threat per (ip, type), then silence for ``gap_s``; of one second the smallest id comes first.
+
+    State is kept for ``groups`` groups of pairs; the number must stay as it is over the life of a checkpoint.
+    """
     _use_rocksdb(threats)
     columns = ["sec", "id", "source_ip", "threat_type", "risk_score", "description"]
+    id_type = threats.schema["id"].dataType
+    whole = isinstance(id_type, T.IntegralType)
     rows = threats.withWatermark("timestamp", watermark).select(
-        F.unix_seconds("timestamp").alias("sec"), "id", "source_ip", "threat_type", F.col("risk_score").cast("double").alias("risk_score"), "description", "timestamp")
+        F.unix_seconds("timestamp").alias("sec"), F.col("id").cast("string" if whole else id_type).alias("id"), "source_ip", "threat_type", F.col("risk_score").cast("double").alias("risk_score"), "description", "timestamp")
     schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in columns)
-    kept = rows.groupBy("source_ip", "threat_type").transformWithStateInPandas(
-        SilenceProcessor(gap_s, schema, columns), outputStructType=schema, outputMode="Append", timeMode="EventTime")
-    return kept.select("id", "source_ip", "threat_type", "risk_score", "description", F.timestamp_seconds("sec").alias("timestamp"))
+    kept = rows.withColumn("pairs", F.pmod(F.xxhash64("source_ip", "threat_type"), F.lit(groups))).groupBy("pairs").transformWithStateInPandas(
+        SilenceProcessor(gap_s, columns, whole), outputStructType=schema, outputMode="Append", timeMode="EventTime")
+    return kept.select(F.col("id").cast(id_type).alias("id"), "source_ip", "threat_type", "risk_score", "description", F.timestamp_seconds("sec").alias("timestamp"))
 
 
 # --- late rows ------------------------------------------------------------------------

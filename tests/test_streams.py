@@ -102,6 +102,31 @@ def test_silence_in_event_time(spark, tmp_path):
     assert sorted(r["id"] for r in got) == sorted(want)
 
 
+def test_pairs_share_state(spark, tmp_path):
+    """State grows with the groups, not with the pairs of address and type; ids beside missing ones stay whole."""
+    rng = random.Random(8)
+    big = 2**53 + 1
+    ips = [*[f"10.0.0.{i}" for i in range(60)], None]
+    threats = [(big + 2 * i if i % 50 else None, rng.choice(ips), rng.choice(["x", "y"]), float("nan") if i % 7 == 0 else 5.0, None, at(rng.randrange(4000))) for i in range(600)]
+    order = sorted(threats, key=lambda t: t[5])
+    batches = [order[:300], order[300:], [(1, "q", "x", 1.0, None, at(9000))], [(2, "q", "x", 1.0, None, at(9001))]]
+    stream = Stream(spark, str(tmp_path), SCHEMA["threats"])
+    job = lambda t: jobs.stream_threat_dedup(t, "3 minutes", gap_s=300, groups=8)
+    stream.written(batches[:1], job)
+    assert len({tuple(r["key"]) for r in stream.state("waiting")}) <= 8
+    got = stream.written(batches[1:], job)
+    want, last = [], {}
+    for t in sorted(threats, key=lambda t: (t[5], t[0] is None, t[0])):
+        key = t[1:3]
+        if key not in last or (t[5] - last[key]).total_seconds() > 300:
+            last[key] = t[5]
+            want.append((t[0], *key, t[5]))
+    assert sorted(((r["id"], r["source_ip"], r["threat_type"], r["timestamp"].replace(tzinfo=timezone.utc)) for r in got), key=str) == sorted(want, key=str)
+    assert {r["risk_score"] for r in got} <= {5.0, None}
+    # what is left is what waits and the group of q
+    assert len({tuple(r["key"]) for r in stream.state("waiting")}) == 1 and stream.state("last") == [] and len(stream.state("latest")) <= 1
+
+
 def test_windows_close_once_and_late_rows_are_listed(spark, tmp_path):
     schema = "id bigint, timestamp timestamp"
     batches = [[(1, at(10)), (2, at(30)), (3, at(400))], [(4, at(20)), (5, at(390)), (6, at(700))], [(7, at(290)), (8, at(580))], [(9, at(5000))], [(10, at(5001))]]
