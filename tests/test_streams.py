@@ -127,6 +127,19 @@ def test_pairs_share_state(spark, tmp_path):
     assert len({tuple(r["key"]) for r in stream.state("waiting")}) == 1 and stream.state("last") == [] and len(stream.state("latest")) <= 1
 
 
+def test_a_batch_waits_as_one_entry(spark, tmp_path):
+    """Each entry of the state costs a call, so an address has one for each batch, whatever its rows."""
+    tags = ["other", "other", "sql_injection", None]
+    hits = [("a", sec, tags[sec % 4]) for sec in range(0, 600, 7)]
+    stream = Stream(spark, str(tmp_path), LOG)
+    job = lambda logs: jobs.stream_suspicious_pattern(logs, "5 minutes", window_s=60, min_matches=3, cooldown_s=90)
+    stream.written([[(ip, at(sec), ([tag],)) for ip, sec, tag in hits]], job)
+    assert len(stream.state("waiting")) == 1
+    got = stream.written([[("y", at(s), (["other"],))] for s in (9000, 9001)], job)
+    mine = sorted((r["source_ip"], int((r["timestamp"].replace(tzinfo=timezone.utc) - START).total_seconds()), r["total_matches"], r["risk_score"]) for r in got)
+    assert mine == replayed([(ip, sec, [tag]) for ip, sec, tag in hits if tag], 60, 3, 90) and mine
+
+
 def test_windows_close_once_and_late_rows_are_listed(spark, tmp_path):
     schema = "id bigint, timestamp timestamp"
     batches = [[(1, at(10)), (2, at(30)), (3, at(400))], [(4, at(20)), (5, at(390)), (6, at(700))], [(7, at(290)), (8, at(580))], [(9, at(5000))], [(10, at(5001))]]
