@@ -1,10 +1,11 @@
 """Random forests against plain recursion, planted rules and odd tables."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from logwarden.operators import flows, forest
+from logwarden.operators import descent, flows, forest, iforest
 
 
 def gini(labels, weight):
@@ -127,3 +128,42 @@ def test_odd_tables(spark):
     holes = holes.withColumn("is_attack", F.when(F.col("c") > -1, F.col("is_attack")))
     model = flows.flow_random_forest(holes, list("abcd"), trees=3)
     assert 0 < model.sampled < 60 and flows.flow_predict(holes, model).where("p IS NULL").count() == 0
+
+
+def test_words_lead_to_the_same_leaves():
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(size=(500, 3)), 1)
+    y = (rng.random(500) < 0.4).astype(np.int8)
+    trees = [forest.grow(*forest.ranked(x), y, np.ones(500), 1, depth, np.random.default_rng(i)) for i, depth in enumerate([None, None, 2, 0])]
+    rows = np.vstack((x[:200], rng.normal(size=(200, 3)), [[np.inf, -np.inf, 0.0], [-0.0, 9e99, -9e99]]))
+    want = sum(follow(t, rows) for t in trees)
+    assert (descent.Trees([(t["feature"], t["value"], t["child"]) for t in trees], 3).total(rows) == want).all()
+    assert descent.Trees([], 3).total(rows).tolist() == [0.0] * len(rows)
+    # isolation trees: not a number goes to the right
+    rows[::7, 1] = np.nan
+    grown = [iforest.grow(x[i : i + 100], np.random.default_rng(i)) for i in range(5)]
+    want = np.zeros(len(rows))
+    for t in grown:
+        for i, row in enumerate(rows):
+            node = 0
+            while t["feature"][node] >= 0:
+                node = t["left"][node] if row[t["feature"][node]] <= t["threshold"][node] else t["right"][node]
+            want[i] += t["depth"][node]
+    assert (descent.Trees([iforest.paired(t) for t in grown], 3).total(rows) == want).all()
+
+
+def test_equal_rows_are_scored_once(spark):
+    seen = []
+    batches = [pd.DataFrame({"a": [1.0, 1.0, 2.0]}), pd.DataFrame({"a": [2.0]}), pd.DataFrame({"a": []}), pd.DataFrame({"a": [3.0, 1.0]})]
+    got = list(descent.by_blocks(iter(batches), lambda x: seen.append(len(x)) or x[:, 0] * 10))
+    assert [list(s) for s in got] == [[10, 10, 20], [20], [], [30, 10]] and seen == [4]
+    rows = flow_rows(spark, 200)
+    many = rows.unionByName(rows).unionByName(rows.withColumn("flow_id", F.concat("flow_id", F.lit("x")))).withColumn("b", F.when(F.col("b") > 0, F.col("b")))
+    model, odd = flows.flow_random_forest(rows, list("abcd"), trees=5), flows.flow_iforest_fit(rows, list("abcd"), trees=5)
+    judged = flows.flow_predict(many, model, odd)
+    plain = model.transform(many.fillna(0.0, list("abcd")))
+    assert judged.columns[: len(many.columns)] == many.columns
+    assert judged.select("flow_id", "p").exceptAll(plain.select("flow_id", "p")).count() == 0 and judged.count() == 600
+    # equal flows meet also where only totals are asked for
+    plan = judged.agg(F.count("*"), F.max("risk"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort [" in plan and "RebalancePartitions" in plan
